@@ -76,10 +76,10 @@ def curve_points(spark: SparkSession, folder: str) -> DataFrame:
     "roc_points",
     f"""
 WITH {V.EVENT_SCORES}, {CURVE},
-steps AS (SELECT *, lead(tp) OVER down AS next_tp, lead(fp) OVER down AS next_fp FROM curve
-          WINDOW down AS (ORDER BY p DESC))
+steps AS (SELECT *, lead(tp) OVER down AS next_tp, lead(fp) OVER down AS next_fp, lag(p) OVER down AS last_p
+          FROM curve WINDOW down AS (ORDER BY p DESC))
 SELECT round(cum_fp / total_fp, 8) AS fpr, round(cum_tp / total_tp, 8) AS tpr, p AS threshold
-FROM steps WHERE NOT coalesce(tp = next_tp AND fp = next_fp, false)
+FROM steps WHERE NOT coalesce(tp = next_tp AND fp = next_fp AND last_p IS NOT NULL, false)
 UNION ALL SELECT 0, 0, 'infinity'::DOUBLE
 """,
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import survey_year, to_code, text_to_double, yes_no, zero_is_niu
+from ..functions.cleaning import clean
 from ..functions.features import add_bands
 from ..operators import profiles as P
 from ..operators.weights import class_weights, with_balanced_weight
@@ -18,17 +18,14 @@ ATTRIBUTES = ["c1", "c2", "yes_no", "industry", "year"]
 def coded_profile(spark: SparkSession, folder: str) -> DataFrame:
     """The profile view with its codes recoded to categories."""
 
-    def code(name: str):
-        return to_code(text_to_double(F.col(name)))
-
+    names = {
+        "code_yn": ("own business or self employed", "yes_no"),
+        "code_niu": ("detailed industry recode", "industry"),
+        "yr": ("year", "year"),
+    }
     rows = V.profile(spark, folder)
-    return rows.withColumns(
-        {
-            "yes_no": yes_no(code("code_yn")),
-            "industry": zero_is_niu(code("code_niu")),
-            "year": survey_year(code("yr")),
-        }
-    )
+    coded = clean(rows.withColumnsRenamed({c: survey_name for c, (survey_name, _) in names.items()}))
+    return coded.withColumnsRenamed({survey_name: out for survey_name, out in names.values()})
 
 
 CODED = f"""{V.PROFILE},

@@ -11,7 +11,7 @@ from ..operators.profiles import segment_summary
 from ..plans import classify, segment
 from ..sources import writer
 from ..sources.reader import read_survey, with_row_id
-from ..storage import new_path
+from ..storage import new_path, settle
 from . import views as V
 from .profiling import ATTRIBUTES, coded_profile
 from .registry import query
@@ -23,7 +23,8 @@ ROUNDS = {"rf": 50, "xgb": 10, "lgbm": 10, "cat": 10}
 
 def train(models: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        made = classify.train_and_evaluate(V.training(spark, folder), DOCUMENT_SPEC, models=models, rounds=ROUNDS)
+        rows = settle(V.training(spark, folder), "documents")
+        made = classify.train_and_evaluate(rows, DOCUMENT_SPEC, models=models, rounds=ROUNDS)
         return made.metrics
 
     return run
@@ -39,7 +40,8 @@ query("train_boosted_cat")(train("cat"))
 @query("classification_job")
 def classification_job(spark: SparkSession, folder: str) -> DataFrame:
     """Linear and boosted model on the labelled documents: the reports at their thresholds."""
-    made = classify.train_and_evaluate(V.training(spark, folder), DOCUMENT_SPEC, models="sgd,xgb", rounds=ROUNDS)
+    rows = settle(V.training(spark, folder), "documents")
+    made = classify.train_and_evaluate(rows, DOCUMENT_SPEC, models="sgd,xgb", rounds=ROUNDS)
     return made.reports
 
 
@@ -51,7 +53,7 @@ PROFILE_SPEC = FeatureSpec(
 @query("segmentation_job")
 def segmentation_job(spark: SparkSession, folder: str) -> DataFrame:
     """Six clusters of the orders with their weighted summary."""
-    rows = coded_profile(spark, folder).drop("segment", "raw_num")
+    rows = settle(coded_profile(spark, folder).drop("segment", "raw_num"), "orders")
     made = segment.cluster_and_profile(
         rows, PROFILE_SPEC, means=["x", "dividends"], crosstabs=ATTRIBUTES, tops=ATTRIBUTES, k=6, restarts=2
     )
@@ -64,7 +66,7 @@ def segmentation_job(spark: SparkSession, folder: str) -> DataFrame:
 )
 def model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Save the fitted preparation and clustering, load them, and compare all assignments."""
-    rows = coded_profile(spark, folder).drop("segment", "raw_num")
+    rows = settle(coded_profile(spark, folder).drop("segment", "raw_num"), "orders")
     made = segment.cluster_and_profile(rows, PROFILE_SPEC, k=3, restarts=1)
     path = new_path(spark, "model")
     made.model.write().save(path)

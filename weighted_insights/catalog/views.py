@@ -11,8 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table by its declared schema: no job to look into the files."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def profile(spark: SparkSession, folder: str) -> DataFrame:

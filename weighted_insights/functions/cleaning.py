@@ -94,17 +94,20 @@ def drop_missing_tokens(df: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """Type and recode the survey columns that are present, in one projection."""
-    recoded: dict[str, Column] = {}
-    for name in present(df, survey.NUMERIC_COLUMNS):
-        recoded[name] = to_double(df, name)
-    for name in present(df, survey.YES_NO_COLUMNS):
-        recoded[name] = yes_no(to_code(to_double(df, name)))
-    for name in present(df, survey.ZERO_IS_NIU_COLUMNS):
-        recoded[name] = zero_is_niu(to_code(to_double(df, name)))
-    for name in present(df, [survey.YEAR_COLUMN]):
-        recoded[name] = survey_year(to_code(to_double(df, name)))
-    return df.select([recoded.get(c, quoted(c)).alias(c) for c in df.columns])
+    """Type and recode the survey columns that are present.
+
+    Three narrow projections, so that every text is parsed once although its code
+    is looked at several times.
+    """
+    recodes = {
+        **{name: yes_no for name in present(df, survey.YES_NO_COLUMNS)},
+        **{name: zero_is_niu for name in present(df, survey.ZERO_IS_NIU_COLUMNS)},
+        **{name: survey_year for name in present(df, [survey.YEAR_COLUMN])},
+    }
+    parsed = [*present(df, survey.NUMERIC_COLUMNS), *recodes]
+    numbers = df.select([(to_double(df, c) if c in parsed else quoted(c)).alias(c) for c in df.columns])
+    codes = numbers.select([(to_code(quoted(c)) if c in recodes else quoted(c)).alias(c) for c in df.columns])
+    return codes.select([(recodes[c](quoted(c)) if c in recodes else quoted(c)).alias(c) for c in df.columns])
 
 
 def label_and_weight(

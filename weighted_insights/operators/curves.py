@@ -56,11 +56,12 @@ def f1_score(precision: Column, recall: Column) -> Column:
 def roc_points(curve: DataFrame, keys: Sequence[str] = (), drop_collinear: bool = True) -> DataFrame:
     """``(fpr, tpr, threshold)`` from the origin (threshold infinite) to (1, 1).
 
-    ``drop_collinear`` leaves out inner points whose step equals the next step.
+    ``drop_collinear`` leaves out points whose step equals the next step; the highest and the
+    lowest score always stay.
     """
     kept = curve
     if drop_collinear:
-        inner = F.col("next_p").isNotNull()
+        inner = F.col("next_p").isNotNull() & ~F.col("is_first")
         same_step = (F.col("tp") == F.col("next_tp")) & (F.col("fp") == F.col("next_fp"))
         kept = curve.where(~(inner & same_step))
     # The point with the highest score also carries the origin.

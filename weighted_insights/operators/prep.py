@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 from .. import survey
 from ..functions.cleaning import present, quoted
-from .quantiles import exact_quantiles
+from .longform import aggregate_long
+from .quantiles import Sizes, exact_quantiles, measure
 
 # A step turns the SQL text of a number into the SQL text of another number.
 Step = Callable[[str], str]
@@ -199,17 +200,15 @@ class FittedPrep:
         return self.pipeline(df).transform(df).select(*[quoted(c) for c in keep], self.features)
 
 
-def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+def fit_medians(df: DataFrame, numbers: dict[str, Column], sizes: Sizes) -> dict[str, float]:
     """Exact interpolated medians; a column without any value is left out."""
-    numbers = {c: quoted(c).cast("double") for c in columns}
-    return {c: q[0] for c, q in exact_quantiles(df, numbers, [0.5]).items() if q is not None}
+    return {c: q[0] for c, q in exact_quantiles(df, numbers, [0.5], sizes).items() if q is not None}
 
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(attribute, category, n)`` for all columns in one shuffle; missing values are not counted."""
-    texts = df.select([quoted(c).cast("string").alias(c) for c in columns])
-    long = texts.unpivot([], [quoted(c) for c in columns], "attribute", "category")
-    return long.where(F.col("category").isNotNull()).groupBy("attribute", "category").agg(F.count("*").alias("n"))
+    texts = {c: quoted(c).cast("string") for c in columns}
+    return aggregate_long(df, texts, F.count("*"), "n", keep_missing=False)
 
 
 def fit_categories(df: DataFrame, columns: Sequence[str]) -> tuple[CategoricalFit, ...]:
@@ -229,10 +228,13 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> tuple[CategoricalFi
     return tuple(fits)
 
 
-def _robust(df: DataFrame, fits: Sequence[NumericFit]) -> dict[str, tuple[float, float]]:
+def _robust(df: DataFrame, fits: Sequence[NumericFit], sizes: Sizes) -> dict[str, tuple[float, float]]:
+    if not fits:
+        return {}
     prepared: dict[str, Column] = {n.name: F.expr(n.prepared()) for n in fits}
     result = {}
-    for name, (low, middle, high) in exact_quantiles(df, prepared, QUARTILES).items():
+    # Imputing and monotone steps can only merge values, so the sizes still hold.
+    for name, (low, middle, high) in exact_quantiles(df, prepared, QUARTILES, sizes.after_imputation()).items():
         result[name] = (middle, (high - low) or 1.0)
     return result
 
@@ -250,11 +252,13 @@ def _standard(df: DataFrame, fits: Sequence[NumericFit]) -> dict[str, tuple[floa
 
 def fit_prep(df: DataFrame, spec: FeatureSpec, features: str = "features") -> FittedPrep:
     """Fit medians, scales and vocabularies on ``df`` (the training rows)."""
-    medians = fit_medians(df, spec.numeric)
+    numbers = {c: quoted(c).cast("double") for c in spec.numeric}
+    sizes = measure(df, numbers) if numbers else None
+    medians = fit_medians(df, numbers, sizes)
     numeric = [
         NumericFit(c, medians[c], spec.skew_steps if c in spec.skewed else ()) for c in spec.numeric if c in medians
     ]
-    scales = _robust(df, [n for n in numeric if n.name in spec.skewed + spec.robust])
+    scales = _robust(df, [n for n in numeric if n.name in spec.skewed + spec.robust], sizes)
     scales.update(_standard(df, [n for n in numeric if n.name in spec.standard]))
     scaled = tuple(
         replace(n, center=scales[n.name][0], scale=scales[n.name][1]) if n.name in scales else n for n in numeric

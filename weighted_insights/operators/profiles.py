@@ -1,6 +1,6 @@
 """Weighted profiles of segments: shares, rates, means, crosstabs, top categories.
 
-All attributes of a profile go through one ``unpivot`` and one ``groupBy``, which
+All attributes of a profile go through one ``groupBy``, which
 pre-aggregates on the map side: what is shuffled is at most one row per task and
 (segment, attribute, category), however the rows are spread over segments.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import present, quoted
 from ..functions.features import category_or_na, guarded, number_or_zero, share_text
+from .longform import aggregate_long
 
 
 def row_and_column_count(df: DataFrame) -> DataFrame:
@@ -92,6 +93,8 @@ def numeric_means(
     """Long form ``(segment, attribute, weighted_mean)`` for the bar plots."""
     if not isinstance(numbers, Mapping):
         numbers = {c: quoted(c).cast("double") for c in present(df, numbers)}
+    if not numbers:
+        return df.select(segment, F.lit("").alias("attribute"), F.lit(0.0).alias("weighted_mean")).limit(0)
     w = F.col(weight)
     wide = df.groupBy(segment).agg(*[weighted_mean(number, w).alias(name) for name, number in numbers.items()])
     return wide.unpivot([segment], [quoted(name) for name in numbers], "attribute", "weighted_mean")
@@ -101,11 +104,9 @@ def category_cells(
     df: DataFrame, attributes: Sequence[str], segment: str = "segment", weight: str = "w"
 ) -> DataFrame:
     """Weight per ``(segment, attribute, category)`` for all attributes in one shuffle."""
-    texts = [category_or_na(quoted(name)).alias(name) for name in attributes]
-    long = df.select(F.col(segment), F.col(weight).alias("w"), *texts).unpivot(
-        [segment, "w"], [quoted(name) for name in attributes], "attribute", "category"
-    )
-    return long.groupBy(segment, "attribute", "category").agg(F.sum("w").alias("w"))
+    texts = {name: category_or_na(quoted(name)) for name in attributes}
+    rows = df.withColumn("w", F.col(weight))
+    return aggregate_long(rows, texts, F.sum("w"), "w", keys=[segment], inputs=["w"])
 
 
 def category_weights(df: DataFrame, attribute: str, weight: str = "w") -> DataFrame:

@@ -11,40 +11,81 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .longform import aggregate_long
 from .running import range_cuts, running_sums
 
-FEW_DISTINCT = 5_000
+# ``percentile`` keeps one counter per distinct value and merges the counters of all tasks in one.
+MOST_DISTINCT = 200_000
+MOST_MERGED = 500_000_000
 RANK_ERROR = 1e-3
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """How many values, and roughly how many different ones, the columns have."""
+
+    rows: int
+    tasks: int
+    filled: Mapping[str, int]
+    distinct: Mapping[str, int]
+
+    def after_imputation(self) -> Sizes:
+        """The same columns with every gap filled by one value."""
+        filled = {c: self.rows if n else 0 for c, n in self.filled.items()}
+        return Sizes(self.rows, self.tasks, filled, {c: n + 1 for c, n in self.distinct.items()})
+
+    def is_small(self, column: str) -> bool:
+        distinct = self.distinct[column]
+        return distinct <= MOST_DISTINCT and distinct * self.tasks <= MOST_MERGED
+
+
+def measure(df: DataFrame, numbers: Mapping[str, Column]) -> Sizes:
+    """One pass over the columns; the distinct counts are sketches."""
+    values = df.select(
+        F.spark_partition_id().alias("task"),
+        *[number.cast("double").alias(f"c{i}") for i, number in enumerate(numbers.values())],
+    )
+    row = values.agg(
+        F.count("*").alias("rows"),
+        F.approx_count_distinct("task").alias("tasks"),
+        *[F.count(c).alias(f"n_{c}") for c in values.columns[1:]],
+        *[F.approx_count_distinct(c).alias(f"d_{c}") for c in values.columns[1:]],
+    ).first()
+    return Sizes(
+        rows=row["rows"],
+        tasks=row["tasks"],
+        filled={name: row[f"n_c{i}"] for i, name in enumerate(numbers)},
+        distinct={name: row[f"d_c{i}"] for i, name in enumerate(numbers)},
+    )
+
+
 def exact_quantiles(
-    df: DataFrame, numbers: Mapping[str, Column], probabilities: Sequence[float], few: int = FEW_DISTINCT
+    df: DataFrame, numbers: Mapping[str, Column], probabilities: Sequence[float], sizes: Sizes | None = None
 ) -> dict[str, list[float] | None]:
     """``{name: [quantile per probability]}``; None for a column without any value."""
     if not numbers:
         return {}
-    names = {f"c{i}": name for i, name in enumerate(numbers)}
-    values = df.select([numbers[name].cast("double").alias(short) for short, name in names.items()])
-    sizes = values.agg(
-        *[F.count(c).alias(f"n_{c}") for c in names],
-        *[F.approx_count_distinct(c).alias(f"d_{c}") for c in names],
-    ).first()
-    counts = {c: sizes[f"n_{c}"] for c in names}
-    simple = [c for c in names if counts[c] > 0 and sizes[f"d_{c}"] <= few]
-    wide = [c for c in names if counts[c] > 0 and c not in simple]
+    sizes = sizes or measure(df, numbers)
+    short = {name: f"c{i}" for i, name in enumerate(numbers)}
+    values = df.select([numbers[name].cast("double").alias(c) for name, c in short.items()])
+    simple = [n for n in numbers if sizes.filled[n] and sizes.is_small(n)]
+    wide = [n for n in numbers if sizes.filled[n] and not sizes.is_small(n)]
 
     found: dict[str, list[float]] = {}
     if simple:
         wanted = F.array([F.lit(float(q)) for q in probabilities])
-        row = values.agg(*[F.percentile(c, wanted).alias(c) for c in simple]).first()
-        found.update({c: list(row[c]) for c in simple})
+        row = values.agg(*[F.percentile(short[n], wanted).alias(short[n]) for n in simple]).first()
+        found.update({n: list(row[short[n]]) for n in simple})
     if wide:
-        found.update(_bracketed(values.select(wide), {c: counts[c] for c in wide}, probabilities))
-    return {name: found.get(short) for short, name in names.items()}
+        counts = {short[n]: sizes.filled[n] for n in wide}
+        bracketed = _bracketed(values.select(list(counts)), counts, probabilities)
+        found.update({n: bracketed[short[n]] for n in wide})
+    return {name: found.get(name) for name in numbers}
 
 
 def _neighbours(q: float, n: int) -> tuple[int, int, float]:
@@ -84,16 +125,9 @@ def _bracketed(
     columns = list(counts)
     grid = [min(max(q + side * 2 * RANK_ERROR, 0.0), 1.0) for q in probabilities for side in (-1, 1)]
     sketched = values.approxQuantile(columns, grid, RANK_ERROR)
-    narrowed = values.select(
-        [_collapse(F.col(c), _brackets(s, probabilities)).alias(c) for c, s in zip(columns, sketched)]
-    )
-    points = (
-        narrowed.unpivot([], columns, "attribute", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("attribute", "value")
-        .agg(F.count("*").cast("double").alias("n"))
-        .persist()
-    )
+    narrowed = {c: _collapse(F.col(c), _brackets(s, probabilities)) for c, s in zip(columns, sketched)}
+    count = F.count("*").cast("double")
+    points = aggregate_long(values, narrowed, count, "n", value="value", keep_missing=False).persist()
     try:
         cuts = [c for c in range_cuts(points, "value") if math.isfinite(c)]
         counted = running_sums(points, "value", ["n"], cuts, ["attribute"])

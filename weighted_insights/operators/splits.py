@@ -67,23 +67,16 @@ def fit_split(
     rows = df.select(
         F.col(label).alias("label"), F.col(row_id).alias("id"), row_hash(F.col(row_id), seed).alias("digest")
     ).withColumn("prefix", F.substring("digest", 1, prefix_digits))
-    # At most 16 ** prefix_digits rows per class.
-    per_prefix = rows.groupBy("label", "prefix").agg(F.count("*").alias("n")).persist()
-    try:
-        counts = {r["label"]: r["n"] for r in per_prefix.groupBy("label").agg(F.sum("n").alias("n")).collect()}
-        if not counts:
-            return Split(row_id, label, seed, {})
-        quotas = {c: q for c, q in class_quotas(counts, test_size).items() if q > 0}
-        upto = Window.partitionBy("label").orderBy("prefix")
-        ends = per_prefix.withColumn("upto", F.sum("n").over(upto)).where(
-            _any(
-                (F.col("label") == F.lit(c)) & (F.col("upto") - F.col("n") < q) & (F.col("upto") >= q)
-                for c, q in quotas.items()
-            )
-        )
-        border = {r["label"]: (r["prefix"], quotas[r["label"]] - (r["upto"] - r["n"])) for r in ends.collect()}
-    finally:
-        per_prefix.unpersist()
+    # At most 16 ** prefix_digits rows per class reach the driver, whatever the size of the data.
+    per_prefix = rows.groupBy("label", "prefix").agg(F.count("*").alias("n")).toPandas()
+    quotas = class_quotas(per_prefix.groupby("label")["n"].sum().to_dict(), test_size)
+    border: dict[object, tuple[str, int]] = {}
+    for c, of_class in per_prefix.sort_values("prefix").groupby("label"):
+        upto = of_class["n"].cumsum()
+        reached = upto >= quotas[c]
+        if quotas[c] > 0:
+            at = reached.idxmax()
+            border[c] = (of_class.loc[at, "prefix"], int(quotas[c] - (upto[at] - of_class.loc[at, "n"])))
     ranked = rows.where(
         _any((F.col("label") == F.lit(c)) & (F.col("prefix") == p) for c, (p, _) in border.items())
     ).withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("digest", "id")))

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean, label_and_weight
 from ..functions.features import derive
@@ -60,12 +61,15 @@ def train_and_evaluate(
     # Scored once, read by the curves, the reports and the threshold search.
     scored = settle(M.score_all(fitted, valid_vectors, columns), "scored")
     curve = settle(score_curve(scored, keys=["model"]), "curve")
-    metrics = settle(evaluate(curve, ["model"], align), "metrics")
-    preset = M.MODEL_NAMES[M.PRECISION_PRESET]
+    # One row per model.
+    found = evaluate(curve, ["model"], align)
+    metrics = rows.sparkSession.createDataFrame(found.collect(), found.schema)
+    thresholds = {r["model"]: r["best_thr"] for r in metrics.collect()}
+    preset = F.col("model") == M.MODEL_NAMES[M.PRECISION_PRESET]
     return Evaluation(
         metrics=rank_models(metrics),
-        reports=M.report_at_best(scored, metrics),
-        precision_report=M.report_at_precision(scored.where(scored.model == preset), target_precision, align)
+        reports=M.report_at_best(scored, thresholds),
+        precision_report=M.report_at_precision(scored.where(preset), target_precision, align, curve.where(preset))
         if M.PRECISION_PRESET in chosen
         else None,
         roc=roc_points(curve, ["model"]),

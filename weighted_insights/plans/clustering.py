@@ -42,7 +42,7 @@ def fit_best(
     seed: int = SEED,
     max_iter: int = 300,
     tol: float = 1e-4,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> list[Fit]:
     """The restart of lowest weighted inertia for every k.
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import sigmoid
-from ..operators.curves import evaluate, precision_threshold_measure, score_curve
+from ..operators.curves import evaluate, precision_threshold_measure, rank_models, score_curve
 from ..operators.reports import at_threshold, classification_report
 
 SEED = 42
@@ -108,21 +108,24 @@ def score_all(models: Mapping[str, Model], valid: DataFrame, columns: Columns =
     return long
 
 
-def report_at_best(scored: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Classification report per model at its reported threshold; ``metrics`` has one row per model."""
-    rows = scored.join(F.broadcast(metrics.select("model", "best_thr")), "model")
-    return classification_report(
-        rows.withColumn("yhat", at_threshold(F.col("p"), F.col("best_thr"))), keys=["model"]
-    )
+def report_at_best(scored: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
+    """Classification report per model, each at its own threshold."""
+    limit = F.lit(None).cast("double")
+    for model, threshold in thresholds.items():
+        limit = F.when(F.col("model") == model, F.lit(float(threshold))).otherwise(limit)
+    return classification_report(scored.withColumn("yhat", at_threshold(F.col("p"), limit)), keys=["model"])
 
 
-def report_at_precision(scored: DataFrame, target: float = 0.70, align: str = "reference") -> DataFrame:
+def report_at_precision(
+    scored: DataFrame, target: float = 0.70, align: str = "reference", curve: DataFrame | None = None
+) -> DataFrame:
     """Classification report at the threshold chosen for a target precision, with that threshold."""
-    threshold = score_curve(scored).agg(precision_threshold_measure(target, align).alias("thr")).first()["thr"]
+    curve = score_curve(scored) if curve is None else curve
+    threshold = curve.agg(precision_threshold_measure(target, align).alias("thr")).first()["thr"]
     report = classification_report(scored.withColumn("yhat", at_threshold(F.col("p"), threshold)))
     return report.withColumn("threshold", F.lit(threshold))
 
 
 def compare(scored: DataFrame, align: str = "reference") -> DataFrame:
     """Areas and threshold per model, best average precision first."""
-    return evaluate(score_curve(scored, keys=["model"]), ["model"], align).orderBy(F.col("pr_auc_w").desc(), "model")
+    return rank_models(evaluate(score_curve(scored, keys=["model"]), ["model"], align))
