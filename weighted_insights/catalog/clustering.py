@@ -112,8 +112,7 @@ def elbow_suggest(spark: SparkSession, folder: str) -> DataFrame:
 def elbow_sweep(spark: SparkSession, folder: str) -> DataFrame:
     """Inertia of the best of ten restarts for every k of the sweep."""
     rows = V.vectors(spark, folder).select(array_to_vector("v").alias("features"), "w")
-    fits = C.fit_best(rows, range(C.K_MIN, C.K_MAX + 1))
-    return Z.second_differences(C.elbow_table(fits, rows))
+    return Z.second_differences(C.sweep(rows, range(C.K_MIN, C.K_MAX + 1)))
 
 
 @query("kmeans_profile")
@@ -122,5 +121,5 @@ def kmeans_profile(spark: SparkSession, folder: str) -> DataFrame:
     rows = V.vectors(spark, folder).select(
         array_to_vector("v").alias("features"), "w", "label", (F.col("label") < 5).cast("int").alias("y")
     )
-    model = C.fit_best(rows, [10])[0].model
+    model = C.fit_best(rows, 10).model
     return segment_summary(model.transform(rows), "cluster", "w", "y", ["label"])

@@ -11,6 +11,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 
 from ..operators.centres import suggest_k
+from ..operators.lloyd import best_per_k, fit_trials
 
 DEFAULT_K = 6
 K_MIN, K_MAX = 3, 9
@@ -35,7 +36,7 @@ def _fit_once(rows: DataFrame, k: int, seed: int, weight: str, features: str, ma
 
 def fit_best(
     rows: DataFrame,
-    ks: Sequence[int],
+    k: int,
     weight: str = "w",
     features: str = "features",
     restarts: int = RESTARTS,
@@ -43,8 +44,8 @@ def fit_best(
     max_iter: int = 300,
     tol: float = 1e-4,
     parallelism: int = 8,
-) -> list[Fit]:
-    """The restart of lowest weighted inertia for every k.
+) -> Fit:
+    """The restart of lowest weighted inertia, as an MLlib model that saves and loads.
 
     All fits read one cached frame of vectors; ``parallelism`` fits run at a time,
     so that the small jobs of one fill the gaps of another.
@@ -52,22 +53,29 @@ def fit_best(
     cached = rows.select(features, weight).persist()
 
     @inheritable_thread_target(rows.sparkSession)
-    def run(task: tuple[int, int]) -> Fit:
-        k, attempt = task
+    def run(attempt: int) -> Fit:
         return _fit_once(cached, k, seed + attempt, weight, features, max_iter, tol)
 
     try:
         cached.count()
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            fits = list(pool.map(run, [(k, attempt) for k in ks for attempt in range(restarts)]))
+            return min(pool.map(run, range(restarts)), key=lambda fit: fit.inertia)
     finally:
         cached.unpersist()
-    return [min((f for f in fits if f.k == k), key=lambda f: f.inertia) for k in ks]
 
 
-def elbow_table(fits: Sequence[Fit], like: DataFrame) -> DataFrame:
-    """``(k, inertia)``, one row per k tried."""
-    return like.sparkSession.createDataFrame([(f.k, float(f.inertia)) for f in fits], "k int, inertia double")
+def sweep(
+    rows: DataFrame,
+    ks: Sequence[int],
+    weight: str = "w",
+    features: str = "features",
+    restarts: int = RESTARTS,
+    seed: int = SEED,
+) -> DataFrame:
+    """``(k, inertia)``: the lowest weighted inertia over the restarts of every k."""
+    best = best_per_k(fit_trials(rows, ks, restarts, weight, features, seed))
+    points = [(k, float(best[k].inertia)) for k in ks]
+    return rows.sparkSession.createDataFrame(points, "k int, inertia double")
 
 
 @dataclass(frozen=True)
@@ -93,11 +101,7 @@ def segment(
     """A positive ``k`` is used as it is; otherwise the sweep runs and suggests, but ``default_k`` is used."""
     options = {"weight": weight, "features": features, "restarts": restarts, "seed": seed}
     if k > 0:
-        return Segmentation(fit_best(rows, [k], **options)[0].model, k, None, None)
-    ks = list(range(k_min, k_max + 1))
-    # The used k is one of the sweep's fits whenever it lies in its range.
-    fits = fit_best(rows, ks if default_k in ks else [*ks, default_k], **options)
-    elbow = elbow_table([f for f in fits if f.k in ks], rows)
+        return Segmentation(fit_best(rows, k, **options).model, k, None, None)
+    elbow = sweep(rows, range(k_min, k_max + 1), **options)
     suggested = suggest_k(elbow, rule).first()["suggested_k"]
-    chosen = next(f for f in fits if f.k == default_k)
-    return Segmentation(chosen.model, default_k, elbow, suggested)
+    return Segmentation(fit_best(rows, default_k, **options).model, default_k, elbow, suggested)
