@@ -172,3 +172,39 @@ def _one_model(name: str) -> str:
 )
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(compare(V.two_models(spark, folder)), "roc_auc_w", "pr_auc_w")
+
+
+def _one_roc(name: str) -> str:
+    curve = CURVE.replace("FROM scored WHERE", f"FROM scored WHERE model = '{name}' AND")
+    return f"""(WITH {curve}
+  SELECT '{name}' AS model, cum_fp / total_fp AS fpr, cum_tp / total_tp AS tpr, p AS threshold FROM curve
+  UNION ALL SELECT '{name}', 0, 0, 'infinity'::DOUBLE)"""
+
+
+@query(
+    "model_roc_points",
+    f"""
+WITH {V.TWO_MODELS}
+SELECT model, round(fpr, 8) AS fpr, round(tpr, 8) AS tpr, threshold
+FROM ({_one_roc('by value')} UNION ALL {_one_roc('by user')})
+""",
+)
+def model_roc_points(spark: SparkSession, folder: str) -> DataFrame:
+    """The stacked ROC curves of all models, every point kept."""
+    curve = K.score_curve(V.two_models(spark, folder), keys=["model"])
+    return rounded(K.roc_points(curve, ["model"], drop_collinear=False), "fpr", "tpr")
+
+
+@query(
+    "zero_weight_rows",
+    f"""
+WITH {V.EVENT_SCORES}
+SELECT CAST(w <> 0 AS INTEGER) AS on_curve, count(*) AS n, count(DISTINCT p) AS n_scores FROM scored GROUP BY 1
+""",
+)
+def zero_weight_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows on and off the curve: weight zero leaves it."""
+    rows = V.event_scores(spark, folder)
+    return rows.groupBy((F.col("w") != 0).cast("int").alias("on_curve")).agg(
+        F.count("*").alias("n"), F.count_distinct("p").alias("n_scores")
+    )

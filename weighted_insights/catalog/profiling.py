@@ -222,3 +222,17 @@ SELECT age_band, weeks_band, count(*) AS n, sum(w) AS w FROM (SELECT {BAND_SQL},
 def band_profile(spark: SparkSession, folder: str) -> DataFrame:
     rows = add_bands(V.bands(spark, folder))
     return rows.groupBy("age_band", "weeks_band").agg(F.count("*").alias("n"), F.sum("w").alias("w"))
+
+
+@query(
+    "one_segment",
+    f"""
+WITH {V.PROFILE}
+SELECT c2 AS category, sum(w) AS w, sum(w) / sum(sum(w)) OVER () AS share FROM profile WHERE segment = 2 GROUP BY c2
+""",
+)
+def one_segment(spark: SparkSession, folder: str) -> DataFrame:
+    """Categories of a single segment, which is filtered rather than grouped."""
+    rows = V.profile(spark, folder).where("segment = 2")
+    weights = P.category_weights(rows, "c2")
+    return weights.withColumn("share", F.col("w") / weights.select(F.sum("w")).scalar())

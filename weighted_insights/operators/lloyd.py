@@ -134,6 +134,14 @@ def _assign_and_sum(rows: DataFrame, trials: Sequence[Trial]) -> dict[int, tuple
     return found
 
 
+def still_shift(vectors: DataFrame, features: str, tol: float) -> float:
+    """Sum of squared centre moves that counts as standing still: ``tol`` times the mean variance of the features."""
+    summary = vectors.select(Summarizer.metrics("variance", "count").summary(F.col(features)).alias("s"))
+    found = summary.select("s.variance", "s.count").first()
+    sample_variance = float(np.mean(found["variance"].toArray()))
+    return tol * sample_variance * (found["count"] - 1) / max(found["count"], 1)
+
+
 def fit_trials(
     vectors: DataFrame,
     ks: Sequence[int],
@@ -144,12 +152,13 @@ def fit_trials(
     max_iter: int = 300,
     tol: float = 1e-4,
 ) -> list[Trial]:
-    """Every restart of every k, seeded like k-means++ and iterated until no centre moves by more than ``tol``."""
+    """Every restart of every k, seeded like k-means++ and iterated until the centres stop (see ``still_shift``)."""
     rows = settle(
         vectors.select(vector_to_array(features).alias("v"), F.col(weight).cast("double").alias("w")).where("w > 0"),
         "vectors",
     )
     width = len(rows.first()["v"])
+    still_moving = still_shift(vectors, features, tol)
     trials = [Trial(k, attempt, np.empty((0, width))) for k in ks for attempt in range(restarts)]
     for step in range(max(ks)):
         _draw_centres(rows, [t for t in trials if t.k > step], seed, step)
@@ -163,9 +172,9 @@ def fit_trials(
         for trial, low in zip(moving, offsets):
             # A centre that no row chose stays where it is.
             new = np.array([found[low + j][2] if low + j in found else c for j, c in enumerate(trial.centres)])
-            shift = np.sqrt(((new - trial.centres) ** 2).sum(1)).max()
+            shift = ((new - trial.centres) ** 2).sum()
             trial.centres = new
-            if shift > tol:
+            if shift > still_moving:
                 still.append(trial)
         moving = still
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -11,12 +12,14 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 
 from ..operators.centres import suggest_k
-from ..operators.lloyd import best_per_k, fit_trials
+from ..operators.lloyd import best_per_k, fit_trials, still_shift
 
 DEFAULT_K = 6
 K_MIN, K_MAX = 3, 9
 RESTARTS = 10
 SEED = 42
+# Fewer rows than this do not pay for a task of their own.
+WORTH_A_TASK = 10_000
 
 
 @dataclass(frozen=True)
@@ -34,6 +37,18 @@ def _fit_once(rows: DataFrame, k: int, seed: int, weight: str, features: str, ma
     return Fit(k, model, model.summary.trainingCost)
 
 
+def _cached(rows: DataFrame) -> DataFrame:
+    """Keep the vectors in memory and on disk, in at least one part per core if there are enough of them."""
+    cached = rows.persist()
+    wanted = min(rows.sparkSession.sparkContext.defaultParallelism, cached.count() // WORTH_A_TASK)
+    if cached.rdd.getNumPartitions() >= wanted:
+        return cached
+    spread = cached.repartition(wanted).persist()
+    spread.count()
+    cached.unpersist()
+    return spread
+
+
 def fit_best(
     rows: DataFrame,
     k: int,
@@ -50,14 +65,15 @@ def fit_best(
     All fits read one cached frame of vectors; ``parallelism`` fits run at a time,
     so that the small jobs of one fill the gaps of another.
     """
-    cached = rows.select(features, weight).persist()
+    cached = _cached(rows.select(features, weight))
+    # MLlib bounds the move of each centre; k such moves add up to the bound on all of them.
+    each_move = math.sqrt(still_shift(cached, features, tol) / k)
 
     @inheritable_thread_target(rows.sparkSession)
     def run(attempt: int) -> Fit:
-        return _fit_once(cached, k, seed + attempt, weight, features, max_iter, tol)
+        return _fit_once(cached, k, seed + attempt, weight, features, max_iter, each_move)
 
     try:
-        cached.count()
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             return min(pool.map(run, range(restarts)), key=lambda fit: fit.inertia)
     finally:

@@ -100,12 +100,20 @@ def fit_all(
 
 
 def score_all(models: Mapping[str, Model], valid: DataFrame, columns: Columns = Columns()) -> DataFrame:
-    """Long form ``(model, p, y, w)`` over all models."""
-    long = None
+    """Long form ``(model, p, y, w)``: one scan, in which every model scores the row."""
+    rows, offers = valid.select(columns.label, columns.weight, columns.features), []
     for key, model in models.items():
-        rows = score(model, valid, columns).select(F.lit(MODEL_NAMES[key]).alias("model"), "p", "y", "w")
-        long = rows if long is None else long.unionByName(rows)
-    return long
+        named = model.copy()
+        named.setPredictionCol(f"prediction_{key}")
+        named.setRawPredictionCol(f"raw_{key}")
+        named.setProbabilityCol(f"probability_{key}")
+        rows = named.transform(rows)
+        p = vector_to_array(f"probability_{key}")[1]
+        offers.append(F.struct(F.lit(MODEL_NAMES[key]).alias("model"), p.alias("p")))
+    long = rows.select(
+        F.col(columns.label).alias("y"), F.col(columns.weight).alias("w"), F.inline(F.array(offers)).alias("model", "p")
+    )
+    return long.select("model", "p", "y", "w")
 
 
 def report_at_best(scored: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
