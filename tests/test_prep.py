@@ -133,10 +133,10 @@ def test_quotas_of_the_published_split():
     assert class_quotas({0: 187_141, 1: 12_382}, 0.2) == {0: 37_429, 1: 2_476}
 
 
-@pytest.mark.parametrize("digits", [1, 2, 4])
-def test_split_is_exact_and_equals_ranking_every_row(spark, digits):
+@pytest.mark.parametrize("digits,at_most", [(1, 5), (3, 100_000), (2, 1)])
+def test_split_is_exact_and_equals_ranking_every_row(spark, digits, at_most):
     df = spark.range(0, 3000, 1, 5).select(F.col("id").alias("row_id"), (F.col("id") % 7 == 0).cast("int").alias("y"))
-    split = fit_split(df, prefix_digits=digits)
+    split = fit_split(df, step_digits=digits, rank_at_most=at_most)
     marked = split.mark(df)
     sizes = {(r.split, r.y): r.n for r in split_sizes(marked).collect()}
     quotas = class_quotas({0: sizes["valid", 0] + sizes["train", 0], 1: sizes["valid", 1] + sizes["train", 1]}, 0.2)
@@ -149,7 +149,7 @@ def test_split_is_exact_and_equals_ranking_every_row(spark, digits):
     wanted = {i for c in ids for _, i in sorted(ids[c])[: quotas[c]]}
     assert {r.row_id for r in marked.where("split = 'valid'").collect()} == wanted
     # membership does not depend on partitioning
-    again = fit_split(df.repartition(3), prefix_digits=digits).mark(df.repartition(11))
+    again = fit_split(df.repartition(3), step_digits=digits).mark(df.repartition(11))
     assert {r.row_id for r in again.where("split = 'valid'").collect()} == wanted
 
 

@@ -2,9 +2,8 @@
 
 Rows are ordered inside their class by ``md5(seed|row id)``, and the first
 ``quota`` rows go to validation.  Membership depends on the seed and the row id
-only, never on partitioning.  Fitting counts rows per hash prefix, so just the one
-prefix in which a class's quota ends is ranked row by row; applying the fitted
-split is a plain projection.
+only, never on partitioning.  Fitting counts rows per hash prefix, so only the rows
+around the end of a quota are ranked; applying the fitted split is a plain projection.
 """
 
 from __future__ import annotations
@@ -61,29 +60,59 @@ def fit_split(
     label: str = "y",
     test_size: float = 0.2,
     seed: int = 42,
-    prefix_digits: int = 4,
+    step_digits: int = 3,
+    rank_at_most: int = 100_000,
 ) -> Split:
-    """Find where each class's quota ends.  Two narrow scans; the driver sees one row per class."""
+    """Find where each class's quota ends.
+
+    Rows are counted per hash prefix, then per longer prefix inside the one where the
+    quota ends, until few enough rows share it to be ranked one by one.  Every pass is
+    a narrow scan with a small aggregate: the driver sees ``16 ** step_digits`` counts
+    per class, and no task ranks more than ``rank_at_most`` rows of a class.
+    """
     rows = df.select(
         F.col(label).alias("label"), F.col(row_id).alias("id"), row_hash(F.col(row_id), seed).alias("digest")
-    ).withColumn("prefix", F.substring("digest", 1, prefix_digits))
-    # At most 16 ** prefix_digits rows per class reach the driver, whatever the size of the data.
-    per_prefix = rows.groupBy("label", "prefix").agg(F.count("*").alias("n")).toPandas()
-    quotas = class_quotas(per_prefix.groupby("label")["n"].sum().to_dict(), test_size)
-    border: dict[object, tuple[str, int]] = {}
-    for c, of_class in per_prefix.sort_values("prefix").groupby("label"):
-        upto = of_class["n"].cumsum()
-        reached = upto >= quotas[c]
-        if quotas[c] > 0:
-            at = reached.idxmax()
-            border[c] = (of_class.loc[at, "prefix"], int(quotas[c] - (upto[at] - of_class.loc[at, "n"])))
-    ranked = rows.where(
-        _any((F.col("label") == F.lit(c)) & (F.col("prefix") == p) for c, (p, _) in border.items())
-    ).withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("digest", "id")))
-    last = ranked.where(_any((F.col("label") == F.lit(c)) & (F.col("rank") == r) for c, (_, r) in border.items()))
+    )
+    border: dict[object, Border] = {}
+    for length in range(step_digits, 32 + step_digits, step_digits):
+        inside = _any(b.holds(c) for c, b in border.items()) if border else F.lit(True)
+        prefix = F.substring("digest", 1, length)
+        counts: dict[object, dict[str, int]] = {}
+        for r in rows.where(inside).groupBy("label", prefix.alias("prefix")).agg(F.count("*").alias("n")).collect():
+            counts.setdefault(r["label"], {})[r["prefix"]] = r["n"]
+        if length == step_digits:
+            quotas = class_quotas({c: sum(n.values()) for c, n in counts.items()}, test_size)
+            border = {c: Border("", q) for c, q in quotas.items() if q > 0}
+        border = {c: b.narrow(counts[c]) for c, b in border.items()}
+        if all(b.size <= rank_at_most for b in border.values()):
+            break
+    place = Window.partitionBy("label").orderBy("digest", "id")
+    ranked = rows.where(_any(b.holds(c) for c, b in border.items())).withColumn("rank", F.row_number().over(place))
+    last = ranked.where(_any((F.col("label") == F.lit(c)) & (F.col("rank") == b.quota) for c, b in border.items()))
     return Split(row_id, label, seed, {r["label"]: (r["digest"], r["id"]) for r in last.collect()})
 
 
+@dataclass(frozen=True)
+class Border:
+    """The hash prefix in which a class's quota ends, and how many of its rows are still wanted."""
+
+    prefix: str
+    quota: int
+    size: int = 0
+
+    def holds(self, label: object) -> Column:
+        return (F.col("label") == F.lit(label)) & F.col("digest").startswith(self.prefix)
+
+    def narrow(self, counts: Mapping[str, int]) -> Border:
+        """The longer prefix in which the quota ends; ``counts`` are the rows per longer prefix."""
+        wanted = self.quota
+        for prefix in sorted(counts):
+            if counts[prefix] >= wanted:
+                return Border(prefix, wanted, counts[prefix])
+            wanted -= counts[prefix]
+        raise ValueError("the counts do not reach the quota")
+
+
 def _any(conditions) -> Column:
     result = F.lit(False)
     for condition in conditions:
