@@ -41,6 +41,12 @@ def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
             yield flat.reshape(part.num_rows, -1), part.column("w").to_numpy(zero_copy_only=False)
 
 
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    """One list per row of a matrix."""
+    starts = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(starts), pa.array(rows.ravel(), pa.float64()))
+
+
 def _squared_distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distance of every row to every centre."""
     mixed = x @ centres.T
@@ -114,7 +120,7 @@ def _assign_and_sum(rows: DataFrame, trials: Sequence[Trial]) -> dict[int, tuple
                 pa.array(used, pa.int32()),
                 pa.array(weights[used], pa.float64()),
                 pa.array(costs[used], pa.float64()),
-                pa.array(list(sums[used] / weights[used, None]), pa.list_(pa.float64())),
+                _lists(sums[used] / weights[used, None]),
             ],
             ["centre", "w", "cost", "mean"],
         )
@@ -129,9 +135,11 @@ def _assign_and_sum(rows: DataFrame, trials: Sequence[Trial]) -> dict[int, tuple
             vector_to_array(Summarizer.mean(F.col("mean"), F.col("w"))).alias("mean"),
         )
     )
-    found = {r["centre"]: (r["w"], r["cost"], np.array(r["mean"])) for r in added.collect()}
+    found = added.toArrow()
     shared.unpersist()
-    return found
+    means = found["mean"].combine_chunks().flatten().to_numpy().reshape(found.num_rows, -1)
+    measures = zip(found["w"].to_pylist(), found["cost"].to_pylist(), means)
+    return dict(zip(found["centre"].to_pylist(), measures))
 
 
 def still_shift(vectors: DataFrame, features: str, tol: float) -> float:

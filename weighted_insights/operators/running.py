@@ -10,6 +10,8 @@ safe to broadcast whatever the size of the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -74,9 +76,9 @@ def running_sums(
     across = Window.partitionBy(*keys).orderBy(along(RANGE))
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
+    match = [*keys, RANGE]
     offsets = ranges.select(
-        *keys,
-        RANGE,
+        *[F.col(c).alias(f"_of_{c}") for c in match],
         *[F.coalesce(F.sum(f"_sum_{s}").over(before), F.lit(0.0)).alias(f"_before_{s}") for s in sums],
         *[F.sum(f"_sum_{s}").over(whole).alias(f"total_{s}") for s in sums],
         (F.row_number().over(across) == 1).alias("_first_range"),
@@ -85,8 +87,10 @@ def running_sums(
     )
     inside = Window.partitionBy(*keys, RANGE).orderBy(along(order))
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # One row per range and key: bounded by the number of cuts, not by the data.
-    joined = ranged.join(F.broadcast(offsets), [*keys, RANGE])
+    # One row per range and key: bounded by the number of cuts, not by the data.  A null-safe
+    # match adds no null filter to one side only, so that both sides share one aggregation.
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in match])
+    joined = ranged.join(F.broadcast(offsets), same)
     kept = [c for c in points.columns if c not in keys]
     return joined.select(
         *keys,
