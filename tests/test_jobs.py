@@ -71,6 +71,7 @@ def test_classification_job(spark, survey_file, tmp_path):
     ranked = [r.pr_auc_w for r in made.metrics.collect()]
     assert ranked == sorted(ranked, reverse=True)
     assert made.pos_factor > 0
+    assert sum(r.n for r in made.target_counts.collect()) == 400
     assert made.reports.count() == 10
     assert {r["class"] for r in made.precision_report.collect()} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
 
@@ -170,3 +171,25 @@ def test_published_models_rank_by_average_precision(spark):
     ]
     rows = spark.createDataFrame(published, "model string, roc_auc_w double, pr_auc_w double")
     assert [r.model for r in rank_models(rows).collect()] == ["LightGBM", "XGBoost", "CatBoost", "RandomForest", "SGD Logistic"]
+
+
+def test_roles_of_the_survey_columns(spark):
+    from weighted_insights.functions.cleaning import clean, label_and_weight
+    from weighted_insights.functions.features import derive
+    from weighted_insights.operators.prep import segment_spec, spec_by_type
+
+    raw = spark.createDataFrame([], survey.text_schema())
+    typed = label_and_weight(derive(clean(raw)))
+    spec = spec_by_type(typed, exclude=["y", "w"])
+    assert (len(spec.skewed), len(spec.unscaled), len(spec.robust), len(spec.categorical)) == (4, 3, 2, 38)
+    assert spec.robust == ("age", "invest_income")
+    chosen = segment_spec(label_and_weight(clean(raw)))
+    assert (len(chosen.skewed), len(chosen.standard), len(chosen.categorical)) == (3, 4, 29)
+
+
+def test_settled_tables_live_in_the_shared_folder(spark):
+    from weighted_insights.storage import settle, shared_folder
+
+    kept = settle(spark.range(5), "numbers")
+    assert kept.inputFiles() and all(shared_folder(spark).split(":")[-1] in f for f in kept.inputFiles())
+    assert kept.count() == 5

@@ -98,3 +98,13 @@ def test_summary_reads_only_its_columns(spark, folder):
 
     plan = QUERIES["segment_summary"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "o_orderpriority" not in plan and "c_name" not in plan and "c_mktsegment" not in plan
+
+
+def test_curve_aggregates_its_scores_once(spark, folder):
+    from weighted_insights.catalog import QUERIES
+
+    for name in ("auc_ap", "model_comparison"):
+        plan = executed(QUERIES[name](spark, folder))
+        assert plan.count("FileScan") == 1 and "ReusedExchange" in plan, name
+        # every window runs inside a value range or over the small table of ranges
+        assert "SinglePartition" not in plan.split("BroadcastExchange")[0], name

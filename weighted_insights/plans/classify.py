@@ -12,6 +12,7 @@ from ..functions.cleaning import clean, label_and_weight
 from ..functions.features import derive
 from ..operators.curves import evaluate, pr_points, rank_models, roc_points, score_curve
 from ..operators.prep import FeatureSpec, fit_prep, spec_by_type
+from ..operators.profiles import value_counts
 from ..operators.splits import fit_split
 from ..operators.weights import class_weights, with_balanced_weight
 from ..sources import writer
@@ -24,6 +25,7 @@ from . import models as M
 class Evaluation:
     """What the classification job found."""
 
+    target_counts: DataFrame
     metrics: DataFrame
     reports: DataFrame
     precision_report: DataFrame | None
@@ -67,6 +69,7 @@ def train_and_evaluate(
     thresholds = {r["model"]: r["best_thr"] for r in metrics.collect()}
     preset = F.col("model") == M.MODEL_NAMES[M.PRECISION_PRESET]
     return Evaluation(
+        target_counts=value_counts(rows, label),
         metrics=rank_models(metrics),
         reports=M.report_at_best(scored, thresholds),
         precision_report=M.report_at_precision(scored.where(preset), target_precision, align, curve.where(preset))
