@@ -195,7 +195,7 @@ def balanced(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row_id", F.round("w_balanced", 6).alias("w_balanced"))
 
 
-@query("row_count", "SELECT count(*) AS n_rows, 6 AS n_columns FROM orders")
+@query("row_count", "SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns FROM orders")
 def row_count(spark: SparkSession, folder: str) -> DataFrame:
     return P.row_and_column_count(V.table(spark, folder, "orders"))
 
