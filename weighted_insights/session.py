@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -25,3 +29,18 @@ def local_session(cores: int | str = 8, app: str = "weighted-insights", **conf:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per Spark application.
+
+    Tasks that run Python name functions of the package; a worker finds them wherever it was started.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_weighted_insights_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "weighted_insights")
+    path = shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(path)
+    context._weighted_insights_shipped = True
