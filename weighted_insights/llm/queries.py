@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, fertility, packing
 from .registry import QUERIES, SQL_TWINS, query
 from .text import read_table
 
 __all__ = ["QUERIES", "SQL_TWINS"]
 
 
+@query("op2_tokeniser_fertility")
+def op2_tokeniser_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    return fertility.rate_documents(read_table(spark, folder, "documents"))
+
+
+@query("op3_cost_balanced_packing")
+def op3_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.piece_digests(packing.pack_documents(read_table(spark, folder, "documents")))
+
+
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_round_trip(read_table(spark, folder, "documents"))

@@ -180,7 +180,7 @@ def repeats(group: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class WordStore:
     """Number lists by word hash, kept between slices; begins anew when ``most`` words are held."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list], most: int = 300_000):
+    def __init__(self, encode: Callable[[list[bytes]], list], most: int = 600_000):
         self.encode, self.most = encode, most
         self._clear()
 
