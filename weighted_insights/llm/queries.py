@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, packing
+from . import bpe, fertility, packing, warc
 from .registry import QUERIES, SQL_TWINS, query
 from .text import read_table
 
@@ -24,3 +24,9 @@ def op3_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_round_trip(read_table(spark, folder, "documents"))
+
+
+@query("op9_seekable_warc")
+def op9_seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
+    made = warc.read_archives(*warc.write_archives(read_table(spark, folder, "pages")))
+    return made.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
