@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, packing, warc
+from . import bpe, fertility, linecrf, packing, warc
 from .registry import QUERIES, SQL_TWINS, query
 from .text import read_table
 
@@ -21,6 +21,11 @@ def op3_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.piece_digests(packing.pack_documents(read_table(spark, folder, "documents")))
 
 
+@query("op4_line_crf")
+def op4_line_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return linecrf.quality_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_round_trip(read_table(spark, folder, "documents"))
