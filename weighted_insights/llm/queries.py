@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, linecrf, packing, warc
+from . import bpe, fertility, lattice, linecrf, packing, warc
 from .registry import QUERIES, SQL_TWINS, query
 from .text import read_table
 
@@ -35,3 +35,8 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op9_seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
     made = warc.read_archives(*warc.write_archives(read_table(spark, folder, "pages")))
     return made.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_lattice_near_dedup")
+def op10_lattice_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(read_table(spark, folder, "embeddings"))
