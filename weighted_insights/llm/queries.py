@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, lattice, linecrf, packing, warc
+from . import bpe, fertility, hyperminhash, lattice, linecrf, packing, warc
 from .registry import QUERIES, SQL_TWINS, query
 from .text import read_table
 
@@ -31,6 +31,11 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_round_trip(read_table(spark, folder, "documents"))
 
 
+@query("op6_hyperminhash")
+def op6_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return hyperminhash.near_duplicates(read_table(spark, folder, "documents"), hyperminhash.Settings(shingle=3, percent=85))
+
+
 @query("op9_seekable_warc")
 def op9_seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
     made = warc.read_archives(*warc.write_archives(read_table(spark, folder, "pages")))
