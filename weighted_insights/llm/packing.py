@@ -76,20 +76,23 @@ def assign(lengths: list[int], capacity: int = CAPACITY, cost: Cost = Cost()) ->
 
 @lru_cache(maxsize=2)
 def word_store(path: str) -> WordStore:
-    """Ids by word, one store per worker process.  No id of this vocabulary spans a blank."""
+    """Ids by word, one store per worker process.  No id of this vocabulary spans a blank, or a letter and a mark."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
 
     def encode(words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+        return [e.ids for e in tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
 
-    return WordStore(encode)
+    return WordStore(encode, most=1_000_000)
 
 
 def document_ids(texts: list[bytes], store: WordStore, end_id: int) -> list[np.ndarray]:
     """The ids of every text, ``end_id`` last."""
-    read = Texts(texts)
+    # The vocabulary is lower case, so words can be looked up without case and marks; but a special
+    # token is a word of its own and is only known as it is written.
+    special = any(b"<|" in text for text in texts)
+    read = Texts(texts, lower=not special, cut=not special)
     values, sizes = store.lookup(read)
     ends = np.concatenate(([0], np.cumsum(sizes)))[read.first_word]
     return [np.append(values[a:b], end_id).astype("<u4") for a, b in zip(ends[:-1], ends[1:])]

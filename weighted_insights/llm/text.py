@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import cached_property
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,16 @@ LOWER[65:91] += 32
 CONTINUES = np.zeros(256, bool)
 CONTINUES[0x80:0xC0] = True
 
+#: Blanks, ASCII letters and digits, the apostrophe, other ASCII marks, and the rest.
+CLASS = np.full(256, 4, np.uint8)
+CLASS[:128] = 3
+CLASS[BLANK] = 0
+CLASS[48:58] = CLASS[65:91] = CLASS[97:123] = 1
+CLASS[39] = 2
+#: Whether a word can be cut between bytes of two classes: between letters and marks, but not after an apostrophe.
+CUT = np.zeros((5, 5), bool)
+CUT[1, 2] = CUT[1, 3] = CUT[3, 1] = True
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE_CODES = np.random.Generator(np.random.PCG64(20240611)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -82,9 +93,13 @@ def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
 
 
 class Texts:
-    """The words and lines of some texts, laid end to end with a newline after each."""
+    """The words and lines of some texts, laid end to end with a newline after each.
+
+    ``lower`` hashes A-Z as a-z; ``cut`` also cuts words between ASCII letters or digits and ASCII marks.
+    """
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    def __init__(self, texts: list[bytes], lower: bool = False, cut: bool = False):
+        self.cut = cut
         self.n = len(texts)
         self.raw = b"\n".join(texts) + b"\n"
         self.data = np.frombuffer(self.raw, np.uint8)
@@ -97,7 +112,11 @@ class Texts:
     def _spans(self) -> tuple[np.ndarray, np.ndarray]:
         blank = BLANK[self.data]
         edges = np.flatnonzero(np.diff(blank, prepend=True))
-        return edges[0::2], edges[1::2]
+        if not self.cut:
+            return edges[0::2], edges[1::2]
+        kind = CLASS[self.data]
+        inner = np.flatnonzero(CUT[kind[:-1], kind[1:]]) + 1
+        return np.sort(np.append(edges[0::2], inner)), np.sort(np.append(edges[1::2], inner))
 
     @property
     def word_start(self) -> np.ndarray:
@@ -195,15 +214,16 @@ class WordStore:
         if len(self.at) + len(keys) > self.most:
             self._clear()
         names = keys.tolist()
-        missing = [i for i, k in enumerate(names) if k not in self.at]
-        if missing:
-            found = self.encode([texts.word(i) for i in first[missing]])
+        rows = np.fromiter(map(self.at.get, names, repeat(-1)), np.int64, len(names))
+        missing = np.flatnonzero(rows < 0)
+        if len(missing):
+            found = self.encode([texts.word(i) for i in first[missing].tolist()])
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            begin = len(self.at)
-            self.at.update((names[i], begin + j) for j, i in enumerate(missing))
+            rows[missing] = np.arange(len(self.at), len(self.at) + len(missing))
+            self.at.update(zip(keys[missing].tolist(), rows[missing].tolist()))
             self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(sizes)))
-            self.values = np.concatenate((self.values, np.fromiter((v for f in found for v in f), np.int32, sizes.sum())))
-        rows = np.fromiter(map(self.at.__getitem__, names), np.int64, len(names))[back]
+            self.values = np.concatenate((self.values, np.fromiter(chain.from_iterable(found), np.int32, sizes.sum())))
+        rows = rows[back]
         sizes = self.start[rows + 1] - self.start[rows]
         return self.values[spread(self.start[rows], sizes)], sizes
 
