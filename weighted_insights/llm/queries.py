@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, hyperminhash, lattice, linecrf, packing, warc
+from . import bpe, fertility, hyperminhash, lattice, linecrf, packing, pii, warc
 from .registry import QUERIES, SQL_TWINS, query
 from .text import read_table
 
 __all__ = ["QUERIES", "SQL_TWINS"]
 
 
+@query("op1_semi_markov_pii")
+def op1_semi_markov_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.span_digests(pii.find_personal_data(read_table(spark, folder, "documents")))
+
+
 @query("op2_tokeniser_fertility")
 def op2_tokeniser_fertility(spark: SparkSession, folder: str) -> DataFrame:
     return fertility.rate_documents(read_table(spark, folder, "documents"))
