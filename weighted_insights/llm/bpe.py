@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -41,22 +42,38 @@ class Transducer:
     """Byte-pair encoding of one piece of text at a time, by table lookups."""
 
     MOST_TRANSITIONS = 1_000_000
-    MOST_PIECES = 250_000
+    MOST_PIECES = 400_000
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes = {rank: token for token, rank in ranks.items()}
-        self.prefixes = {token[:i] for token in ranks for i in range(1, len(token))}
-        self.follows: dict[tuple[int, int], bool] = {}
+        self._grow_trie()
+        self.follows: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
         self.made_of: dict[int, tuple[bytes, bytes] | None] = {}
         self._forget()
         self.pieces: dict[str, list[int]] = {}
         self.spaced: dict[str, list[int]] = {}
 
+    def _grow_trie(self) -> None:
+        """Numbered prefixes of all tokens: the next prefix by ``number * 256 + byte``, and the token each one is."""
+        self.next: dict[int, int] = {}
+        self.token_at, self.grows = [-1], [True]
+        for token, rank in self.ranks.items():
+            node = 0
+            for byte in token:
+                self.grows[node] = True
+                key = node << 8 | byte
+                if key not in self.next:
+                    self.next[key] = len(self.token_at)
+                    self.token_at.append(-1)
+                    self.grows.append(False)
+                node = self.next[key]
+            self.token_at[node] = rank
+
     def _forget(self) -> None:
-        # State 0: nothing read, nothing open.
-        self.states = [(((), -1, b""),)]
+        # State 0: nothing read, nothing open.  A reading: tokens not yet emitted, the last token, the open prefix.
+        self.states = [(((), -1, 0),)]
         self.number = {self.states[0]: 0}
         self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
         self.last: list[tuple[int, ...]] = [()]
@@ -79,12 +96,13 @@ class Transducer:
             self.whole[token] = len(self.merge(self.bytes[token])) == 1
         if before < 0 or not self.whole[token]:
             return self.whole[token]
-        pair = (before, token)
-        if pair not in self.follows:
+        pair = before << 32 | token
+        found = self.follows.get(pair)
+        if found is None:
             if len(self.follows) > self.MOST_TRANSITIONS:
                 self.follows.clear()
-            self.follows[pair] = self._stay_apart(before, token)
-        return self.follows[pair]
+            found = self.follows[pair] = self._stay_apart(before, token)
+        return found
 
     def _halves(self, token: int) -> tuple[bytes, bytes] | None:
         """The two parts whose merge makes a token; None for a single byte."""
@@ -119,28 +137,34 @@ class Transducer:
                 lefts.append(a)
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        readings, closed, one = [], None, bytes((byte,))
-        for waiting, before, part in self.states[state]:
-            part += one
-            if part in self.prefixes:
-                readings.append((waiting, before, part))
-            token = self.ranks.get(part)
-            if closed is None and token is not None and self.may_follow(before, token):
-                closed = (waiting + (token,), token, b"")
+        readings, closed = [], None
+        for waiting, before, node in self.states[state]:
+            node = self.next.get(node << 8 | byte)
+            if node is None:
+                continue
+            if self.grows[node]:
+                readings.append((waiting, before, node))
+            token = self.token_at[node]
+            if closed is None and token >= 0 and self.may_follow(before, token):
+                closed = (waiting + (token,), token, 0)
         # Every string has one way to be merged, so one reading closes here; it opened last.
         readings.append(closed)
         # What all readings agree on is certain by now.
         first = readings[0][0]
         agreed = 0
-        while agreed < len(first) and all(len(w) > agreed and w[agreed] == first[agreed] for w, _, _ in readings):
-            agreed += 1
-        reached = tuple((w[agreed:], b, p) for w, b, p in readings) if agreed else tuple(readings)
-        if reached not in self.number:
-            self.number[reached] = len(self.states)
+        if first:
+            for column in zip(*[w for w, _, _ in readings]):
+                if len(set(column)) > 1:
+                    break
+                agreed += 1
+        reached = tuple([(w[agreed:], b, p) for w, b, p in readings]) if agreed else tuple(readings)
+        number = self.number.get(reached)
+        if number is None:
+            number = self.number[reached] = len(self.states)
             self.states.append(reached)
             self.moves.append({})
             self.last.append(reached[-1][0])
-        result = self.number[reached], first[:agreed]
+        result = number, first[:agreed]
         self.moves[state][byte] = result
         self.n_moves += 1
         return result
@@ -151,27 +175,31 @@ class Transducer:
             return [token]
         if self.n_moves > self.MOST_TRANSITIONS:
             self._forget()
-        state, out = 0, []
+        state, out, moves = 0, [], self.moves
         for byte in piece:
-            move = self.moves[state].get(byte) or self._move(state, byte)
-            state = move[0]
-            if move[1]:
-                out += move[1]
+            move = moves[state].get(byte) or self._move(state, byte)
+            state, emitted = move
+            if emitted:
+                out += emitted
         out += self.last[state]
         return out
 
+    def known(self, piece: str) -> list[int]:
+        """The ids of one piece, looked up if it was met before."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self.encode_piece(piece.encode())
+            if len(piece) <= 64:
+                if len(self.pieces) > self.MOST_PIECES:
+                    self.pieces.clear()
+                self.pieces[piece] = ids
+        return ids
+
     def encode(self, pieces: Iterable[str]) -> list[int]:
         """The ids of all pieces end to end; repeated pieces are looked up."""
-        if len(self.pieces) > self.MOST_PIECES:
-            self.pieces.clear()
-        known, out = self.pieces, []
+        out: list[int] = []
         for piece in pieces:
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.encode_piece(piece.encode())
-                if len(piece) <= 64:
-                    known[piece] = ids
-            out += ids
+            out += self.known(piece)
         return out
 
 
@@ -195,7 +223,14 @@ def encode_text(coder: Transducer, split, text: str) -> list[int]:
     for word in words[1:]:
         ids = known.get(word)
         if ids is None:
-            ids = coder.encode(split.findall(" " + word))
+            # Letters are one piece, and so is a mark after them.
+            if word.isalpha():
+                # Held here under the word; no need to hold the piece, too.
+                ids = coder.pieces.get(" " + word) or coder.encode_piece((" " + word).encode())
+            elif word[-1] in ".,;:" and word[:-1].isalpha():
+                ids = coder.known(" " + word[:-1]) + coder.known(word[-1])
+            else:
+                ids = coder.encode(split.findall(" " + word))
             if len(word) <= 64:
                 known[word] = ids
         out += ids
@@ -283,7 +318,7 @@ def bpe_round_trip(docs: DataFrame, path: str | None = None, pattern: str = publ
                     digest.update(part)
                     n_chars += len(chars)
                     valid &= "�" not in chars or b"\xef\xbf\xbd" in text
-                out.append((len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), digest.hexdigest(), n_chars, valid))
+                out.append((len(ids), hashlib.sha256(np.array(array("I", ids), "<u4").tobytes()).hexdigest(), digest.hexdigest(), n_chars, valid))
             counts, encoded, decoded, chars, valid = zip(*out)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(encoded), pa.array(decoded), pa.array(chars, pa.int64()), pa.array(valid)],
