@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, hyperminhash, lattice, licenses, linecrf, packing, pii, warc
+from . import bpe, fertility, hyperminhash, lattice, licenses, linecrf, lm, packing, pii, warc
 from .registry import QUERIES, SQL_TWINS, query
 from .text import read_table
 
@@ -41,6 +41,11 @@ def op6_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
     return hyperminhash.near_duplicates(read_table(spark, folder, "documents"), hyperminhash.Settings(shingle=3, percent=85))
 
 
+@query("op7_attention_lm")
+def op7_attention_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.folded_scores(read_table(spark, folder, "documents"))
+
+
 @query("op8_license_scan")
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.find_licenses(read_table(spark, folder, "documents"))
