@@ -1,12 +1,52 @@
-"""From raw documents to packed training sequences: the stages in order."""
+"""From raw documents to packed training sequences: the stages in order.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all documents that the one before kept.  All but the last return
+the columns of ``documents``; the last returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from weighted_insights.llm import fertility, hyperminhash, linecrf, packing, pii
 from weighted_insights.storage import settle
 
-STAGES = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no rule on words, symbols, repetition or tokeniser fertility rejects."""
+    return fertility.keep_documents(docs)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose lines look good.  The model learns from the raw documents, as the rules leave hardly any bad ones."""
+    raw = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return linecrf.keep_documents(docs, linecrf.train(raw, labels))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word shingles: that of smallest id."""
+    return hyperminhash.keep_one_of_each(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind; ``n_chars`` follows."""
+    return pii.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences, with their ids and a checksum of them."""
+    return packing.pack_documents(docs).withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classifier),
+    ("near_dedup", near_dedup),
+    ("personal_data", personal_data),
+    ("pack", pack),
+]
 
 #: Models and tokenizers cannot be told in SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None

@@ -234,6 +234,16 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     return map_texts(docs, run, SCHEMA)
 
 
+def keep_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score ``threshold`` or more, with all their columns, in one pass."""
+
+    def run(batches):
+        for batch, texts in slices(batches):
+            yield batch.filter(pa.array(score_texts(texts, model)[0] >= threshold))
+
+    return map_texts(docs, run, docs.schema, tuple(docs.columns))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, fold: int = 4, held_out: int = 2) -> DataFrame:
     """Fit on the labels outside the held-out fold of ids and score all documents."""
     model = train(docs, labels.where(crc_mod("doc_id", fold) != held_out))
