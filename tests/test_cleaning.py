@@ -136,3 +136,19 @@ def test_the_survey_has_42_columns_and_36_segment_features():
     assert len(survey.PROFILE_TOP_CATEGORIES) == 35
     assert len(survey.PROFILE_CROSSTABS) == 15
     assert len(survey.EDUCATION_LEVELS) == 17
+
+
+def test_row_ids_follow_the_files(spark, tmp_path):
+    """A small first file, which Spark deals out last."""
+    (tmp_path / "part-0.csv").write_text("a\nb\n")
+    (tmp_path / "part-1.csv").write_text("".join(f"r{i}\n" for i in range(2000)))
+    rows = reader.with_row_id(reader.read_survey(spark, str(tmp_path), ["v"]))
+    assert [r.v for r in rows.orderBy("row_id").limit(4).collect()] == ["a", "b", "r0", "r1"]
+    assert rows.agg(F.max("row_id")).first()[0] == 2001
+
+
+def test_missing_tokens_do_not_hide_numbers(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("NaN,1.5,x,NA,7d\nnull,,2,n/a,8\n3,2,3,#N/A,9\n")
+    rows = reader.read_survey(spark, str(tmp_path / "t.csv"), list("abcde"), infer_types=True)
+    assert dict(rows.dtypes) == {"a": "int", "b": "double", "c": "string", "d": "int", "e": "string"}
+    assert [r.a for r in rows.collect()] == [None, None, 3]

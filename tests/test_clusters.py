@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -89,3 +93,29 @@ def test_choice_of_k(line):
     assert swept.k == 2 and swept.suggested_k == 2 and swept.elbow.count() == 3
     fixed = C.segment(line, k=3, restarts=1)
     assert fixed.k == 3 and fixed.elbow is None and fixed.suggested_k is None
+
+
+def test_sweep_does_not_depend_on_partitions(spark):
+    rows = spark.range(2000).select(F.array(F.randn(1), F.randn(2)).alias("v"), F.lit(1.0).alias("w"), "id").persist()
+    rows = rows.select(array_to_vector("v").alias("features"), "w", "id")
+    one, two = ([t.inertia for t in fit_trials(rows.repartition(n), [3, 4], restarts=2, row_id="id")] for n in (2, 5))
+    assert one == pytest.approx(two, rel=1e-9)
+    assert C.fit_best(rows.repartition(2), 3, restarts=2).inertia == pytest.approx(C.fit_best(rows.repartition(5), 3, restarts=2).inertia, rel=1e-9)
+
+
+def test_sweep_runs_from_any_folder(tmp_path):
+    """In a process of its own whose folder has no package."""
+    code = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.ml.functions import array_to_vector
+from weighted_insights.operators.lloyd import fit_trials
+from weighted_insights.session import local_session
+spark = local_session(2)
+rows = spark.createDataFrame([([float(i % 5)], 1.0) for i in range(50)], "v array<double>, w double").select(array_to_vector("v").alias("features"), "w")
+print(len(fit_trials(rows, [2], restarts=1)[0].centres))
+"""
+    repository = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    made = subprocess.run([sys.executable, "-c", code, repository], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert made.stdout.split()[-1:] == ["2"], made.stderr[-2000:]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from weighted_insights.operators import curves as K
 from weighted_insights.operators.reports import at_threshold, classification_report
-from weighted_insights.operators.running import range_cuts, running_sums
+from weighted_insights.operators.running import range_cuts, running_sums, with_range
 from weighted_insights.operators.weights import class_weights, with_balanced_weight
 from weighted_insights.plans.models import compare, report_at_precision
 
@@ -204,3 +204,34 @@ def test_balanced_weights(spark):
     balanced = with_balanced_weight(rows)
     totals = balanced.groupBy("y").agg(F.sum("w_balanced").alias("s")).collect()
     assert {r.s for r in totals} == {10.0}
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_curves_of_one_class_have_no_rate_for_the_other(spark, label):
+    curve = K.score_curve(spark.createDataFrame([(0.1 * i, label, 1.0) for i in range(5)], "p double, y int, w double"))
+    points = K.roc_points(curve).collect()
+    assert all((r.fpr if label else r.tpr) is None for r in points if r.threshold < 1)
+    assert [(r.fpr, r.tpr) for r in points if r.threshold > 1] == [(0.0, 0.0)]
+    assert K.evaluate(curve).first().roc_auc_w is None
+    assert K.pr_points(curve).count() == 6
+
+
+def test_one_score_with_nearly_all_rows_leaves_even_ranges(spark):
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") < 198_000, F.lit(0.5)).otherwise(F.col("id") / 1e6).alias("p"), (F.col("id") % 2).alias("y"), F.lit(1.0).alias("w")
+    )
+    points = rows.groupBy("p").agg(F.sum("w").alias("w"))
+    cuts = range_cuts(points, "p", 20)
+    held = with_range(points, "p", cuts).groupBy("_range").count().agg(F.max("count"), F.sum("count")).first()
+    assert held[1] == 2001 and held[0] <= 2 * 2001 / 20
+    assert K.score_curve(rows, buckets=20).count() == 2001
+
+
+def test_cuts_do_not_depend_on_the_shuffle(spark):
+    rows = spark.range(1000).select((F.col("id") / 7).alias("p"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 50)
+        assert len(range_cuts(rows, "p")) == 255
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

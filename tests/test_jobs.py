@@ -79,6 +79,13 @@ def test_classification_job(spark, survey_file, tmp_path):
     assert run.name.startswith("demo_run_")
     manifest = spark.read.parquet(str(run / "run")).first()
     assert manifest.run_id == run.name and manifest.args["models"] == "sgd,xgb"
+    assert manifest.args["run_dir"] == str(run) and manifest.args["metrics_out"] == str(tmp_path / "metrics")
+    assert spark.read.json(str(run / "reports")).count() == 10
+    assert spark.read.json(str(run / "precision_report")).count() == 5
+    assert {r.n for r in spark.read.json(str(run / "target_counts")).collect()} == {r.n for r in made.target_counts.collect()}
+    facts = {r.name: r.value for r in spark.read.json(str(run / "facts")).collect()}
+    assert float(facts["pos_factor"]) == made.pos_factor and int(facts["columns_double"]) > 5
+    assert made.roc.count() == spark.read.parquet(str(run / "curves" / "roc")).count()
     roc = spark.read.parquet(str(run / "curves" / "roc"))
     assert roc.where("fpr = 0 AND tpr = 0").select("model").distinct().count() == 2
     assert spark.read.parquet(str(run / "curves" / "pr")).where("threshold IS NULL").count() == 2

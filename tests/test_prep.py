@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from weighted_insights.operators import prep as R
 from weighted_insights.operators import quantiles as Q
+from weighted_insights.operators import splits as S
 from weighted_insights.operators.splits import class_quotas, fit_split, split_sizes
 
 
@@ -57,9 +58,7 @@ def test_custom_steps(spark):
     assert R.fit_prep(df, spec).numeric[0].center == 4.0
 
 
-@pytest.mark.parametrize("most", [0, Q.MOST_DISTINCT])
-def test_both_quantile_paths_are_exact(spark, monkeypatch, most):
-    monkeypatch.setattr(Q, "MOST_DISTINCT", most)
+def test_quantiles_are_exact(spark):
     df = spark.range(0, 20_000, 1, 4).select(
         F.randn(1).alias("a"),
         F.floor(F.rand(2) * 9).cast("double").alias("b"),
@@ -158,3 +157,38 @@ def test_split_of_tiny_classes(spark):
     marked = fit_split(df).mark(df)
     assert marked.where("split = 'valid'").count() == 2
     assert fit_split(df.limit(0)).last_valid == {}
+
+
+def test_nan_is_missing(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 400, F.lit(float("nan"))).otherwise(F.col("id").cast("double")).alias("x"))
+    wanted = [0.25, 0.5, 0.75]
+    found = Q.exact_quantiles(df, {"x": F.col("x")}, wanted)["x"]
+    assert found == pytest.approx(np.quantile(np.arange(400, 1000.0), wanted).tolist())
+    prep = R.fit_prep(df, R.FeatureSpec(unscaled=("x",)))
+    assert prep.imputed(df).where("isnan(x) or x is null").count() == 0
+    assert prep.numeric[0].median == 699.5
+
+
+def test_mode_without_a_vocabulary(spark):
+    df = spark.createDataFrame([("b", None), ("a", None), ("b", None), ("a", None), (None, None)], "c string, e string")
+    (only,) = R.fit_categories(df, ["c", "e"], encode=False)
+    assert (only.name, only.mode, only.categories) == ("c", "a", ())
+
+
+def test_repeated_ids_at_the_border_raise(spark):
+    df = spark.range(3000).select((F.col("id") / 7).cast("long").alias("row_id"), F.lit(1).alias("y"))
+    with pytest.raises(ValueError, match="not unique"):
+        for seed in range(20):  # a border can also fall between two ids
+            S.fit_split(df, seed=seed)
+
+
+def test_missing_labels_raise(spark):
+    df = spark.createDataFrame([(1, 0), (2, None), (3, 1)], "row_id long, y int")
+    with pytest.raises(ValueError, match="missing labels"):
+        S.fit_split(df)
+
+
+def test_quotas_of_very_large_classes():
+    n = 3 * 10**17 + 1
+    quotas = S.class_quotas({0: n, 1: 2 * n, 2: 5}, 0.2)
+    assert sum(quotas.values()) == -(-(3 * n + 5) // 5) or abs(sum(quotas.values()) - 0.2 * (3 * n + 5)) < 1000

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.prep import FeatureSpec, fit_prep
 from ..operators.profiles import positive_rate
 from ..operators.splits import fit_split, split_sizes
+from ..storage import settle
 from . import views as V
 from .registry import query
 
@@ -33,7 +34,8 @@ marked AS (
 
 
 def marked(spark: SparkSession, folder: str) -> DataFrame:
-    rows = V.profile(spark, folder)
+    # Read several times by the fits: the join behind it runs once.
+    rows = settle(V.profile(spark, folder), "profile")
     return fit_split(rows).mark(rows)
 
 
@@ -78,7 +80,7 @@ SELECT row_id, coalesce(c1, (SELECT c1 FROM profile WHERE c1 IS NOT NULL GROUP B
 )
 def impute_mode(spark: SparkSession, folder: str) -> DataFrame:
     rows = V.profile(spark, folder).select("row_id", "c1")
-    return fit_prep(rows, FeatureSpec(categorical=("c1",))).imputed(rows)
+    return fit_prep(rows, FeatureSpec(categorical=("c1",)), encode=False).imputed(rows)
 
 
 @query(
@@ -131,7 +133,7 @@ FROM logged, fit
 """,
 )
 def skewed_chain(spark: SparkSession, folder: str) -> DataFrame:
-    rows = V.profile(spark, folder).select("row_id", "x", "losses")
+    rows = settle(V.profile(spark, folder).select("row_id", "x", "losses"), "profile")
     made = fit_prep(rows, FeatureSpec(skewed=("x", "losses"))).scaled(rows)
     return made.withColumns({"x": F.round("x", 6), "losses": F.round("losses", 6)})
 
@@ -187,14 +189,15 @@ words AS (
   UNION SELECT DISTINCT 'c2', c2 FROM profile
   UNION SELECT 'flag', 'true'
 )
-SELECT row_id, attribute || '=' || category AS feature,
-       CAST(CASE attribute WHEN 'c1' THEN c1 WHEN 'c2' THEN c2 ELSE flag END = category AS DOUBLE) AS value
-FROM filled, words
+SELECT row_id, attribute || '=' || category AS feature, CAST(1 AS DOUBLE) AS value
+FROM filled JOIN words ON category = CASE attribute WHEN 'c1' THEN c1 WHEN 'c2' THEN c2 ELSE flag END
 """,
 )
 def one_hot_long(spark: SparkSession, folder: str) -> DataFrame:
     rows = V.profile(spark, folder).select("row_id", "c1", "c2", (F.col("y") == 1).alias("flag"))
     prep = fit_prep(rows, FeatureSpec(categorical=("c1", "c2", "flag")))
     names = F.array([F.lit(name) for name in prep.feature_names])
+    # Of a row's features only those that are set.
     pairs = F.arrays_zip(names.alias("feature"), vector_to_array("features").alias("value"))
-    return prep.transform(rows, ["row_id"]).select("row_id", F.inline(pairs).alias("feature", "value"))
+    set_ones = F.filter(pairs, lambda pair: pair["value"] != 0)
+    return prep.transform(rows, ["row_id"]).select("row_id", F.inline(set_ones).alias("feature", "value"))

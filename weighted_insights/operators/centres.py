@@ -4,27 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def squared_distance(vector: Column, centre: Sequence[float]) -> Column:
-    """Squared distance of an array column to fixed coordinates."""
-    target = F.array([F.lit(float(x)) for x in centre])
-    gaps = F.zip_with(vector, target, lambda a, b: (a - b) * (a - b))
-    return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+def nearest_centre(vector: Column, centres: Sequence[tuple[int, Sequence[float]]]) -> Column:
+    """``cluster`` and ``distance2`` of the nearest of k fixed centres, a batch of rows at a time."""
+    ordered = sorted(centres)
+    numbers = np.array([c for c, _ in ordered], np.int32)
+    places = np.array([list(map(float, place)) for _, place in ordered])
+
+    @F.pandas_udf("cluster int, distance2 double")
+    def nearest(vectors: pd.Series) -> pd.DataFrame:
+        x = np.stack(vectors.to_numpy()) if len(vectors) else np.empty((0, places.shape[1]))
+        squared = np.stack([((x - place) ** 2).sum(1) for place in places], axis=1)
+        best = squared.argmin(1)
+        return pd.DataFrame({"cluster": numbers[best], "distance2": squared[np.arange(len(x)), best]})
+
+    return nearest(vector)
 
 
 def assign(df: DataFrame, vector: str, centres: Sequence[tuple[int, Sequence[float]]]) -> DataFrame:
     """Add ``cluster`` and ``distance2`` of the nearest centre; ties go to the smaller cluster."""
-    offers = [
-        F.struct(squared_distance(F.col(vector), centre).alias("distance2"), F.lit(int(c)).alias("cluster"))
-        for c, centre in centres
-    ]
-    nearest = F.array_min(F.array(offers))
-    return df.withColumn("_nearest", nearest).select(
+    return df.withColumn("_nearest", nearest_centre(F.col(vector), centres)).select(
         *df.columns, F.col("_nearest.cluster").alias("cluster"), F.col("_nearest.distance2").alias("distance2")
     )
 

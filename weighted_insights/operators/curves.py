@@ -38,8 +38,9 @@ def score_curve(
     rows = scored.where(F.col(weight) != 0).select(
         *keys, F.col(score).cast("double").alias("p"), positive.alias("tp"), negative.alias("fp")
     )
-    cuts = range_cuts(rows, "p", buckets)
     points = rows.groupBy(*keys, "p").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
+    # Cut where the points are, not the rows: one score may hold nearly all rows.
+    cuts = range_cuts(points, "p", buckets)
     curve = running_sums(points, "p", ["tp", "fp"], cuts, keys, descending=True)
     precision = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
     # Without any positive weight, recall is one everywhere by convention.
@@ -56,6 +57,8 @@ def f1_score(precision: Column, recall: Column) -> Column:
 def roc_points(curve: DataFrame, keys: Sequence[str] = (), drop_collinear: bool = True) -> DataFrame:
     """``(fpr, tpr, threshold)`` from the origin (threshold infinite) to (1, 1).
 
+    The rate of a class without weight is NULL, but at the origin.
+
     ``drop_collinear`` leaves out points whose step equals the next step; the highest and the
     lowest score always stay.
     """
@@ -66,8 +69,8 @@ def roc_points(curve: DataFrame, keys: Sequence[str] = (), drop_collinear: bool
         kept = curve.where(~(inner & same_step))
     # The point with the highest score also carries the origin.
     point = F.struct(
-        (F.col("cum_fp") / F.col("total_fp")).alias("fpr"),
-        (F.col("cum_tp") / F.col("total_tp")).alias("tpr"),
+        F.try_divide("cum_fp", "total_fp").alias("fpr"),
+        F.try_divide("cum_tp", "total_tp").alias("tpr"),
         F.col("p").alias("threshold"),
     )
     origin = F.struct(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(float("inf")).alias("threshold"))

@@ -3,8 +3,9 @@
 An elbow sweep fits one model per k and restart.  Fitted one after the other, each
 would scan the data once per iteration; here every scan advances all of them.
 Spark partitions the rows and adds up the partial sums; inside a task the
-distances of a batch to all centres are one matrix product.  The driver holds the
-centres only.
+distances of a few thousand rows to all centres are one matrix product.  Vectors travel
+as their non-zero entries.  Random draws depend on the row, not on where it lies.  The
+driver holds the centres only.
 """
 
 from __future__ import annotations
@@ -12,16 +13,21 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from ..storage import settle
 
+#: Coordinates that a task holds at once.
+MOST_HELD = 2_000_000
+
 
 @dataclass
 class Trial:
@@ -33,12 +39,30 @@ class Trial:
     inertia: float = float("inf")
 
 
-def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Vectors (one per row) and weights of every non-empty Arrow batch."""
+def _batches(parts: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Vectors (one per row), weights and row keys of a bounded number of rows at a time."""
+    step = max(1, MOST_HELD // max(width, 1))
     for part in parts:
-        if part.num_rows:
-            flat = part.column("v").flatten().to_numpy(zero_copy_only=False)
-            yield flat.reshape(part.num_rows, -1), part.column("w").to_numpy(zero_copy_only=False)
+        for start in range(0, part.num_rows, step):
+            some = part.slice(start, step)
+            places, numbers = some.column("at"), some.column("x")
+            counts = np.diff(places.offsets.to_numpy())
+            dense = np.zeros((some.num_rows, width))
+            dense[np.repeat(np.arange(some.num_rows), counts), places.flatten().to_numpy()] = numbers.flatten().to_numpy()
+            yield dense, some.column("w").to_numpy(), some.column("key").to_numpy()
+
+
+def _exponential(keys: np.ndarray, salt: int) -> np.ndarray:
+    """A draw from the exponential distribution for every row, the same wherever the row lies."""
+    x = keys.view(np.uint64) ^ np.uint64(salt)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    return -np.log(((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53)
+
+
+def _salt(*parts: int) -> int:
+    return int.from_bytes(hashlib.blake2b("|".join(map(str, parts)).encode(), digest_size=8).digest(), "little")
 
 
 def _lists(rows: np.ndarray) -> pa.ListArray:
@@ -64,17 +88,18 @@ def _draw_centres(rows: DataFrame, trials: Sequence[Trial], seed: int, step: int
     task and then among the tasks' winners; with no centre yet the mass is w.
     """
     spark = rows.sparkSession
+    width = trials[0].centres.shape[1]
     shared = spark.sparkContext.broadcast([t.centres for t in trials])
+    salts = [_salt(seed, step, t.k, t.attempt) for t in trials]
 
     def winners(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = shared.value
-        random = np.random.default_rng([seed, step, TaskContext.get().partitionId()])
         best = [(np.inf, None)] * len(centres)
-        for x, w in _batches(parts):
+        for x, w, keys in _batches(parts, width):
             for i, chosen in enumerate(centres):
                 mass = w * _squared_distances(x, chosen).min(1) if len(chosen) else w
                 with np.errstate(divide="ignore"):
-                    key = np.where(mass > 0, random.exponential(size=len(w)) / mass, np.inf)
+                    key = np.where(mass > 0, _exponential(keys, salts[i]) / mass, np.inf)
                 at = int(key.argmin())
                 if key[at] < best[i][0]:
                     best[i] = (float(key[at]), x[at].copy())
@@ -99,12 +124,13 @@ def _assign_and_sum(rows: DataFrame, trials: Sequence[Trial]) -> dict[int, tuple
     """Per centre (numbered through all trials): assigned weight, weighted cost, weighted mean vector."""
     spark = rows.sparkSession
     offsets = _offsets(trials)
+    width = trials[0].centres.shape[1]
     shared = spark.sparkContext.broadcast(np.vstack([t.centres for t in trials]))
 
     def partial_sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = shared.value
         sums, weights, costs = np.zeros_like(centres), np.zeros(len(centres)), np.zeros(len(centres))
-        for x, w in _batches(parts):
+        for x, w, _ in _batches(parts, width):
             distances = _squared_distances(x, centres)
             share = np.zeros((len(w), len(centres)))
             every = np.arange(len(w))
@@ -159,13 +185,19 @@ def fit_trials(
     seed: int = 42,
     max_iter: int = 300,
     tol: float = 1e-4,
+    row_id: str | None = None,
 ) -> list[Trial]:
-    """Every restart of every k, seeded like k-means++ and iterated until the centres stop (see ``still_shift``)."""
-    rows = settle(
-        vectors.select(vector_to_array(features).alias("v"), F.col(weight).cast("double").alias("w")).where("w > 0"),
-        "vectors",
-    )
-    width = len(rows.first()["v"])
+    """Every restart of every k, seeded like k-means++ and iterated until the centres stop (see ``still_shift``).
+
+    Draws are keyed by ``row_id``; without one by the vector itself, so that equal rows share a draw.
+    """
+    ship_package(vectors.sparkSession)
+    v = vector_to_array(features)
+    entries = F.filter(F.transform(v, lambda x, i: F.struct(i.alias("at"), x.alias("x"))), lambda e: e["x"] != 0)
+    rows = vectors.select(entries.alias("e"), F.col(weight).cast("double").alias("w"), F.xxhash64(row_id or v).alias("key"))
+    rows = settle(rows.where("w > 0").select("e.at", "e.x", "w", "key"), "vectors")
+    first = vectors.select(F.size(v).alias("n")).first()
+    width = first["n"] if first else 0
     still_moving = still_shift(vectors, features, tol)
     trials = [Trial(k, attempt, np.empty((0, width))) for k in ks for attempt in range(restarts)]
     for step in range(max(ks)):

@@ -22,12 +22,14 @@ from pyspark.sql import types as T
 from .. import survey
 from ..functions.cleaning import present, quoted
 from .longform import aggregate_long
-from .quantiles import Sizes, exact_quantiles, measure
+from .quantiles import as_number, exact_quantiles
 
 # A step turns the SQL text of a number into the SQL text of another number.
 Step = Callable[[str], str]
 
 QUARTILES = [0.25, 0.5, 0.75]
+#: Widest vocabulary of a column that is encoded.
+MOST_CATEGORIES = 100_000
 
 
 def clip_step(number: str) -> str:
@@ -111,7 +113,7 @@ class NumericFit:
 
     def prepared(self) -> str:
         """SQL text of the imputed and stepped, but unscaled, number."""
-        text = f"coalesce(CAST({_name(self.name)} AS DOUBLE), {_number(self.median)})"
+        text = f"coalesce(nanvl(CAST({_name(self.name)} AS DOUBLE), NULL), {_number(self.median)})"
         for step in self.steps:
             text = step(text)
         return text
@@ -200,9 +202,9 @@ class FittedPrep:
         return self.pipeline(df).transform(df).select(*[quoted(c) for c in keep], self.features)
 
 
-def fit_medians(df: DataFrame, numbers: dict[str, Column], sizes: Sizes) -> dict[str, float]:
+def fit_medians(df: DataFrame, numbers: dict[str, Column], filled: dict[str, int]) -> dict[str, float]:
     """Exact interpolated medians; a column without any value is left out."""
-    return {c: q[0] for c, q in exact_quantiles(df, numbers, [0.5], sizes).items() if q is not None}
+    return {c: q[0] for c, q in exact_quantiles(df, numbers, [0.5], filled).items() if q is not None}
 
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -211,13 +213,30 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return aggregate_long(df, texts, F.count("*"), "n", keep_missing=False)
 
 
-def fit_categories(df: DataFrame, columns: Sequence[str]) -> tuple[CategoricalFit, ...]:
-    """Sorted categories and the most frequent one (ties: the smallest); empty columns are left out."""
+def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """The most frequent category of each column (ties: the smallest); one row per column reaches the driver."""
+    counts = category_counts(df, columns).groupBy("attribute", "category").agg(F.sum("n").alias("n"))
+    most = counts.groupBy("attribute").agg(F.max("n").alias("n"))
+    best = counts.join(most, ["attribute", "n"]).groupBy("attribute").agg(F.min("category").alias("mode"))
+    return {r["attribute"]: r["mode"] for r in best.collect()}
+
+
+def fit_categories(df: DataFrame, columns: Sequence[str], encode: bool = True) -> tuple[CategoricalFit, ...]:
+    """Sorted categories and the most frequent one (ties: the smallest); empty columns are left out.
+
+    Without ``encode`` only the most frequent category is looked for.  The vocabulary to encode is part of the model and
+    goes to the driver; more than ``MOST_CATEGORIES`` of one column raise, as no model is meant to be that wide.
+    """
     if not columns:
         return ()
+    if not encode:
+        modes = fit_modes(df, columns)
+        return tuple(CategoricalFit(c, modes[c], ()) for c in columns if c in modes)
     found: dict[str, list[tuple[str, int]]] = {}
-    # One row per category: this is the model's own vocabulary.
-    for r in category_counts(df, columns).collect():
+    rows = category_counts(df, columns).limit(MOST_CATEGORIES * len(columns) + 1).collect()
+    if len(rows) > MOST_CATEGORIES * len(columns):
+        raise ValueError(f"more than {MOST_CATEGORIES} categories per column are too many to encode: {', '.join(columns)}")
+    for r in rows:
         found.setdefault(r["attribute"], []).append((r["category"], r["n"]))
     fits = []
     for c in columns:
@@ -228,13 +247,13 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> tuple[CategoricalFi
     return tuple(fits)
 
 
-def _robust(df: DataFrame, fits: Sequence[NumericFit], sizes: Sizes) -> dict[str, tuple[float, float]]:
+def _robust(df: DataFrame, fits: Sequence[NumericFit], rows: int) -> dict[str, tuple[float, float]]:
     if not fits:
         return {}
     prepared: dict[str, Column] = {n.name: F.expr(n.prepared()) for n in fits}
     result = {}
-    # Imputing and monotone steps can only merge values, so the sizes still hold.
-    for name, (low, middle, high) in exact_quantiles(df, prepared, QUARTILES, sizes.after_imputation()).items():
+    # Imputed columns have a value in every row.
+    for name, (low, middle, high) in exact_quantiles(df, prepared, QUARTILES, dict.fromkeys(prepared, rows)).items():
         result[name] = (middle, (high - low) or 1.0)
     return result
 
@@ -250,17 +269,18 @@ def _standard(df: DataFrame, fits: Sequence[NumericFit]) -> dict[str, tuple[floa
     return {n.name: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, n in enumerate(fits)}
 
 
-def fit_prep(df: DataFrame, spec: FeatureSpec, features: str = "features") -> FittedPrep:
-    """Fit medians, scales and vocabularies on ``df`` (the training rows)."""
-    numbers = {c: quoted(c).cast("double") for c in spec.numeric}
-    sizes = measure(df, numbers) if numbers else None
-    medians = fit_medians(df, numbers, sizes)
+def fit_prep(df: DataFrame, spec: FeatureSpec, features: str = "features", encode: bool = True) -> FittedPrep:
+    """Fit medians, scales and (with ``encode``) vocabularies on ``df`` (the training rows).  NaN is missing."""
+    numbers = {c: as_number(quoted(c)) for c in spec.numeric}
+    counts = [F.count("*").alias("rows"), *[F.count(n).alias(f"n{i}") for i, n in enumerate(numbers.values())]]
+    row = df.agg(*counts).first() if numbers else {"rows": 0}
+    medians = fit_medians(df, numbers, {c: row[f"n{i}"] for i, c in enumerate(numbers)})
     numeric = [
         NumericFit(c, medians[c], spec.skew_steps if c in spec.skewed else ()) for c in spec.numeric if c in medians
     ]
-    scales = _robust(df, [n for n in numeric if n.name in spec.skewed + spec.robust], sizes)
+    scales = _robust(df, [n for n in numeric if n.name in spec.skewed + spec.robust], row["rows"])
     scales.update(_standard(df, [n for n in numeric if n.name in spec.standard]))
     scaled = tuple(
         replace(n, center=scales[n.name][0], scale=scales[n.name][1]) if n.name in scales else n for n in numeric
     )
-    return FittedPrep(scaled, fit_categories(df, spec.categorical), features)
+    return FittedPrep(scaled, fit_categories(df, spec.categorical, encode), features)

@@ -180,8 +180,10 @@ def top_per_segment(
 ) -> DataFrame:
     """``(segment, attribute, top)``: the ``n`` heaviest categories with their shares as text."""
     cells = category_cells(df, attributes, segment, weight)
-    whole = cells.groupBy(segment, "attribute").agg(F.sum("w").alias("_w"))
-    ranked = heaviest(cells, n, [segment, "attribute"]).join(whole, [segment, "attribute"])
+    # A missing segment is a segment, too: matched null-safely.
+    whole = cells.groupBy(quoted(segment).alias("_segment"), F.col("attribute").alias("_attribute")).agg(F.sum("w").alias("_w"))
+    same = quoted(segment).eqNullSafe(F.col("_segment")) & (F.col("attribute") == F.col("_attribute"))
+    ranked = heaviest(cells, n, [segment, "attribute"]).join(whole, same)
     text = share_text(F.col("category"), F.col("w") / guarded(F.col("_w")))
     return ranked.groupBy(segment, "attribute").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", text.alias("text")))), lambda e: e["text"]), ", ").alias("top")

@@ -1,17 +1,14 @@
 """Exact quantiles of many columns, linearly interpolated, at any number of rows.
 
-Columns with few distinct values (codes, ages, capped amounts) use the built-in
-exact ``percentile``, whose state is one counter per distinct value.  For the
-others a sketch first brackets the wanted ranks; only values inside a bracket are
-counted one by one, everything outside collapses onto the bracket's edge, and
-running sums over the counts find the exact order statistics.
+A sketch first brackets the wanted ranks; only values inside a bracket are counted one by one, everything
+outside collapses onto a mark beside the bracket, and running sums over the counts find the exact order
+statistics.  A rank that falls on a mark would mean that the sketch was wrong, and raises.  NaN is missing.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,73 +16,32 @@ from pyspark.sql import functions as F
 from .longform import aggregate_long
 from .running import range_cuts, running_sums
 
-# ``percentile`` keeps one counter per distinct value and merges the counters of all tasks in one.
-MOST_DISTINCT = 200_000
-MOST_MERGED = 500_000_000
 RANK_ERROR = 1e-3
 
 
-@dataclass(frozen=True)
-class Sizes:
-    """How many values, and roughly how many different ones, the columns have."""
-
-    rows: int
-    tasks: int
-    filled: Mapping[str, int]
-    distinct: Mapping[str, int]
-
-    def after_imputation(self) -> Sizes:
-        """The same columns with every gap filled by one value."""
-        filled = {c: self.rows if n else 0 for c, n in self.filled.items()}
-        return Sizes(self.rows, self.tasks, filled, {c: n + 1 for c, n in self.distinct.items()})
-
-    def is_small(self, column: str) -> bool:
-        distinct = self.distinct[column]
-        return distinct <= MOST_DISTINCT and distinct * self.tasks <= MOST_MERGED
-
-
-def measure(df: DataFrame, numbers: Mapping[str, Column]) -> Sizes:
-    """One pass over the columns; the distinct counts are sketches."""
-    values = df.select(
-        F.spark_partition_id().alias("task"),
-        *[number.cast("double").alias(f"c{i}") for i, number in enumerate(numbers.values())],
-    )
-    row = values.agg(
-        F.count("*").alias("rows"),
-        F.approx_count_distinct("task").alias("tasks"),
-        *[F.count(c).alias(f"n_{c}") for c in values.columns[1:]],
-        *[F.approx_count_distinct(c).alias(f"d_{c}") for c in values.columns[1:]],
-    ).first()
-    return Sizes(
-        rows=row["rows"],
-        tasks=row["tasks"],
-        filled={name: row[f"n_c{i}"] for i, name in enumerate(numbers)},
-        distinct={name: row[f"d_c{i}"] for i, name in enumerate(numbers)},
-    )
+def as_number(column: Column) -> Column:
+    """A double; NaN counts as missing."""
+    number = column.cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def exact_quantiles(
-    df: DataFrame, numbers: Mapping[str, Column], probabilities: Sequence[float], sizes: Sizes | None = None
+    df: DataFrame, numbers: Mapping[str, Column], probabilities: Sequence[float], filled: Mapping[str, int] | None = None
 ) -> dict[str, list[float] | None]:
-    """``{name: [quantile per probability]}``; None for a column without any value."""
+    """``{name: [quantile per probability]}``; None for a column without any value.
+
+    ``filled`` are the known numbers of values per column; they are counted if not given.
+    """
     if not numbers:
         return {}
-    sizes = sizes or measure(df, numbers)
     short = {name: f"c{i}" for i, name in enumerate(numbers)}
-    values = df.select([numbers[name].cast("double").alias(c) for name, c in short.items()])
-    simple = [n for n in numbers if sizes.filled[n] and sizes.is_small(n)]
-    wide = [n for n in numbers if sizes.filled[n] and not sizes.is_small(n)]
-
-    found: dict[str, list[float]] = {}
-    if simple:
-        wanted = F.array([F.lit(float(q)) for q in probabilities])
-        row = values.agg(*[F.percentile(short[n], wanted).alias(short[n]) for n in simple]).first()
-        found.update({n: list(row[short[n]]) for n in simple})
-    if wide:
-        counts = {short[n]: sizes.filled[n] for n in wide}
-        bracketed = _bracketed(values.select(list(counts)), counts, probabilities)
-        found.update({n: bracketed[short[n]] for n in wide})
-    return {name: found.get(name) for name in numbers}
+    values = df.select([as_number(numbers[name]).alias(c) for name, c in short.items()])
+    if filled is None:
+        row = values.agg(*[F.count(c).alias(c) for c in short.values()]).first()
+        filled = {name: row[c] for name, c in short.items()}
+    counts = {short[n]: filled[n] for n in numbers if filled[n]}
+    found = _bracketed(values.select(list(counts)), counts, probabilities) if counts else {}
+    return {name: found.get(short[name]) for name in numbers}
 
 
 def _neighbours(q: float, n: int) -> tuple[int, int, float]:
@@ -95,12 +51,12 @@ def _neighbours(q: float, n: int) -> tuple[int, int, float]:
     return low, min(low + 1, n - 1), position - low
 
 
-def _brackets(sketched: Sequence[float], probabilities: Sequence[float]) -> list[tuple[float, float]]:
+def _brackets(sketched: Sequence[float], probabilities: Sequence[float], margin: float) -> list[tuple[float, float]]:
     """Merged, sorted value ranges, one pair of sketched bounds per probability."""
     pairs = []
     for i, q in enumerate(probabilities):
-        low = -math.inf if q <= 2 * RANK_ERROR else sketched[2 * i]
-        high = math.inf if q >= 1 - 2 * RANK_ERROR else sketched[2 * i + 1]
+        low = -math.inf if q <= margin else sketched[2 * i]
+        high = math.inf if q >= 1 - margin else sketched[2 * i + 1]
         pairs.append((low, high))
     merged: list[tuple[float, float]] = []
     for low, high in sorted(pairs):
@@ -112,10 +68,10 @@ def _brackets(sketched: Sequence[float], probabilities: Sequence[float]) -> list
 
 
 def _collapse(value: Column, brackets: Sequence[tuple[float, float]]) -> Column:
-    """The value itself inside a bracket, else the upper edge of the bracket below it (-inf below all)."""
+    """The value itself inside a bracket, else a mark just above the bracket below it (-inf below all)."""
     collapsed = F.lit(-math.inf)
     for low, high in brackets:
-        collapsed = F.when(value > high, F.lit(high)).when(value >= low, value).otherwise(collapsed)
+        collapsed = F.when(value > high, F.lit(math.nextafter(high, math.inf))).when(value >= low, value).otherwise(collapsed)
     return F.when(value.isNotNull(), collapsed)
 
 
@@ -123,9 +79,12 @@ def _bracketed(
     values: DataFrame, counts: Mapping[str, int], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
     columns = list(counts)
-    grid = [min(max(q + side * 2 * RANK_ERROR, 0.0), 1.0) for q in probabilities for side in (-1, 1)]
+    # Twice the sketch's error, and both ranks that a quantile lies between.
+    margin = 2 * RANK_ERROR + 2 / min(counts.values())
+    grid = [min(max(q + side * margin, 0.0), 1.0) for q in probabilities for side in (-1, 1)]
     sketched = values.approxQuantile(columns, grid, RANK_ERROR)
-    narrowed = {c: _collapse(F.col(c), _brackets(s, probabilities)) for c, s in zip(columns, sketched)}
+    brackets = {c: _brackets(s, probabilities, margin) for c, s in zip(columns, sketched)}
+    narrowed = {c: _collapse(F.col(c), brackets[c]) for c in columns}
     count = F.count("*").cast("double")
     points = aggregate_long(values, narrowed, count, "n", value="value", keep_missing=False).persist()
     try:
@@ -145,8 +104,9 @@ def _bracketed(
     def at(column: str, rank: int) -> float:
         for r in rows:
             if r["attribute"] == column and r["cum_n"] - r["n"] <= rank < r["cum_n"]:
-                return r["value"]
-        raise RuntimeError(f"rank {rank} of {column} not found")
+                if any(low <= r["value"] <= high for low, high in brackets[column]):
+                    return r["value"]
+        raise RuntimeError(f"rank {rank} of {column} lies outside its bracket")
 
     result = {}
     for c in columns:

@@ -3,8 +3,8 @@
 A window with ``orderBy`` and no partition sends every row to one task.  Here the
 order column is cut into value ranges first: sums run inside each range in
 parallel, and each range starts from the total of the ranges before it.  The
-result is exact.  The range table has at most ``buckets`` rows per key, so it is
-safe to broadcast whatever the size of the data.
+result is exact.  The range table has at most ``buckets`` rows per key; Spark
+broadcasts it if it is small enough.
 """
 
 from __future__ import annotations
@@ -14,25 +14,27 @@ from functools import reduce
 from operator import and_
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGE = "_range"
-
-
-def default_buckets(spark: SparkSession) -> int:
-    """Enough ranges to keep every task of a shuffle busy several times."""
-    return max(32, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: Ranges whose cuts are literals of the plan, whatever the size of the cluster.
+BUCKETS = 256
+SKETCHES = 64
 
 
 def range_cuts(rows: DataFrame, column: str, buckets: int | None = None) -> list[float]:
     """At most ``buckets - 1`` cut points that split ``column`` into even ranges.
 
-    A coarse sketch is enough: the cuts decide how even the ranges are, never the result.
+    Coarse sketches are enough: the cuts decide how even the ranges are, never the result.  The first level has
+    one sketch per ``SKETCHES``-th part of the tasks, so no task merges the sketches of all others.
     """
-    buckets = buckets or default_buckets(rows.sparkSession)
+    buckets = buckets or BUCKETS
+    first = F.array([F.lit(i / (2 * buckets)) for i in range(2 * buckets + 1)])
     steps = F.array([F.lit(i / buckets) for i in range(1, buckets)])
-    sketch = rows.agg(F.percentile_approx(column, steps, F.lit(4 * buckets)).alias("cuts"))
+    part = F.pmod(F.spark_partition_id(), F.lit(SKETCHES))
+    parts = rows.groupBy(part.alias("part")).agg(F.percentile_approx(column, first, F.lit(4 * buckets)).alias("cuts"))
+    sketch = parts.select(F.explode("cuts").alias("cut")).agg(F.percentile_approx("cut", steps, F.lit(4 * buckets)).alias("cuts"))
     return sorted(set(sketch.first()["cuts"] or []))
 
 
@@ -87,10 +89,10 @@ def running_sums(
     )
     inside = Window.partitionBy(*keys, RANGE).orderBy(along(order))
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # One row per range and key: bounded by the number of cuts, not by the data.  A null-safe
-    # match adds no null filter to one side only, so that both sides share one aggregation.
+    # One row per range and key.  A null-safe match adds no null filter to one side only, so that
+    # both sides share one aggregation.
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in match])
-    joined = ranged.join(F.broadcast(offsets), same)
+    joined = ranged.join(offsets, same)
     kept = [c for c in points.columns if c not in keys]
     return joined.select(
         *keys,

@@ -24,9 +24,10 @@ def class_quotas(counts: Mapping[object, int], test_size: float) -> dict[object,
     """Validation rows per class: ``ceil(test_size * n)`` in all, by largest remainder of the training share."""
     total = sum(counts.values())
     n_train = total - math.ceil(test_size * total)
-    exact = {c: n * n_train / total for c, n in counts.items()}
-    train = {c: math.floor(x) for c, x in exact.items()}
-    by_remainder = sorted(counts, key=lambda c: (train[c] - exact[c], c))
+    # Whole numbers, so that no remainder is lost for very large counts.
+    shares = {c: divmod(n * n_train, total) for c, n in counts.items()}
+    train = {c: whole for c, (whole, _) in shares.items()}
+    by_remainder = sorted(counts, key=lambda c: (-shares[c][1], c))
     for c in by_remainder[: n_train - sum(train.values())]:
         train[c] += 1
     return {c: counts[c] - train[c] for c in counts}
@@ -79,6 +80,8 @@ def fit_split(
         prefix = F.substring("digest", 1, length)
         counts: dict[object, dict[str, int]] = {}
         for r in rows.where(inside).groupBy("label", prefix.alias("prefix")).agg(F.count("*").alias("n")).collect():
+            if r["label"] is None:
+                raise ValueError(f"column {label} holds missing labels; a stratified split needs one in every row")
             counts.setdefault(r["label"], {})[r["prefix"]] = r["n"]
         if length == step_digits:
             quotas = class_quotas({c: sum(n.values()) for c, n in counts.items()}, test_size)
@@ -88,8 +91,17 @@ def fit_split(
             break
     place = Window.partitionBy("label").orderBy("digest", "id")
     ranked = rows.where(_any(b.holds(c) for c, b in border.items())).withColumn("rank", F.row_number().over(place))
-    last = ranked.where(_any((F.col("label") == F.lit(c)) & (F.col("rank") == b.quota) for c, b in border.items()))
-    return Split(row_id, label, seed, {r["label"]: (r["digest"], r["id"]) for r in last.collect()})
+    # The last row of the quota and the one behind it: equal ids would put both on one side.
+    at_end = F.lit(False)
+    for c, b in border.items():
+        at_end = at_end | ((F.col("label") == F.lit(c)) & F.col("rank").isin(b.quota, b.quota + 1))
+    ends: dict[object, list] = {}
+    for r in ranked.where(at_end).orderBy("label", "rank").collect():
+        ends.setdefault(r["label"], []).append((r["digest"], r["id"]))
+    for c, found in ends.items():
+        if len(found) == 2 and found[0] == found[1]:
+            raise ValueError(f"column {row_id} is not unique: {found[0][1]!r} stands on both sides of the split of class {c!r}")
+    return Split(row_id, label, seed, {c: found[0] for c, found in ends.items()})
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +12,12 @@ from ..functions.cleaning import clean, label_and_weight
 from ..functions.features import derive
 from ..operators.curves import evaluate, pr_points, rank_models, roc_points, score_curve
 from ..operators.prep import FeatureSpec, fit_prep, spec_by_type
-from ..operators.profiles import value_counts
+from ..operators.profiles import new_columns, type_counts, value_counts
 from ..operators.splits import fit_split
 from ..operators.weights import class_weights, with_balanced_weight
 from ..sources import writer
 from ..sources.reader import read_column_names, read_survey, with_row_id
-from ..storage import settle
+from ..storage import scratch, settle
 from . import models as M
 
 
@@ -100,26 +100,50 @@ def run(
     arguments = {k: v for k, v in locals().items() if k != "spark"}
     run_id = writer.run_id(run_name)
     folder = writer.run_folder(outputs, run_id)
-    arguments["models"] = ",".join(M.choose(models))
+    metrics_path = metrics_out or f"{folder}/metrics"
+    arguments |= {"models": ",".join(M.choose(models)), "run_dir": folder, "metrics_out": metrics_path}
     writer.write_manifest(spark, f"{folder}/run", run_id, arguments)
 
     names = read_column_names(spark, columns_path) if columns_path else None
-    raw = with_row_id(read_survey(spark, data_path, names))
-    # One parse of the text; every later pass reads only the columns it needs.
-    rows = settle(label_and_weight(derive(clean(raw))), "classify-rows")
-    result = train_and_evaluate(
-        rows,
-        spec_by_type(rows, exclude=["row_id", "y", "w"]),
-        models=models,
-        test_size=test_size,
-        seed=seed,
-        target_precision=target_precision,
-        rounds=rounds,
+    with scratch():
+        raw = with_row_id(read_survey(spark, data_path, names))
+        cleaned = clean(raw)
+        # One parse of the text; every later pass reads only the columns it needs.
+        rows = settle(label_and_weight(derive(cleaned)), "classify-rows")
+        result = train_and_evaluate(
+            rows,
+            spec_by_type(rows, exclude=["row_id", "y", "w"]),
+            models=models,
+            test_size=test_size,
+            seed=seed,
+            target_precision=target_precision,
+            rounds=rounds,
+        )
+        writer.write_metrics(result.metrics, metrics_path)
+        writer.write_curves(result.roc, result.pr, f"{folder}/curves")
+        small = {"reports": result.reports, "target_counts": result.target_counts}
+        if result.precision_report is not None:
+            small["precision_report"] = result.precision_report
+        facts = [("pos_factor", str(result.pos_factor)), ("derived_columns", ", ".join(new_columns(cleaned, rows)))]
+        facts += [(f"columns_{kind}", str(n)) for kind, n in type_counts(rows).items()]
+        small["facts"] = spark.createDataFrame(facts, "name string, value string")
+        for name, table in small.items():
+            writer.write_records(table, f"{folder}/{name}")
+        if models_dir:
+            for key, pipeline in result.models.items():
+                name = writer.artifact_name("model", M.MODEL_NAMES[key])
+                pipeline.write().overwrite().save(f"{models_dir.rstrip('/')}/{name}")
+
+    def again(table: DataFrame, name: str) -> DataFrame:
+        return spark.read.schema(table.schema).json(f"{folder}/{name}")
+
+    # The tables behind the result are gone; it reads what was written.
+    return replace(
+        result,
+        target_counts=again(result.target_counts, "target_counts").orderBy(F.col("n").desc(), "value"),
+        metrics=rank_models(spark.read.schema(result.metrics.schema).json(metrics_path)),
+        reports=again(result.reports, "reports"),
+        precision_report=None if result.precision_report is None else again(result.precision_report, "precision_report"),
+        roc=spark.read.schema(result.roc.schema).parquet(f"{folder}/curves/roc"),
+        pr=spark.read.schema(result.pr.schema).parquet(f"{folder}/curves/pr"),
     )
-    writer.write_metrics(result.metrics, metrics_out or f"{folder}/metrics")
-    writer.write_curves(result.roc, result.pr, f"{folder}/curves")
-    if models_dir:
-        for key, pipeline in result.models.items():
-            name = writer.artifact_name("model", M.MODEL_NAMES[key])
-            pipeline.write().overwrite().save(f"{models_dir.rstrip('/')}/{name}")
-    return result

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.centres import suggest_k
 from ..operators.lloyd import best_per_k, fit_trials, still_shift
@@ -18,8 +19,8 @@ DEFAULT_K = 6
 K_MIN, K_MAX = 3, 9
 RESTARTS = 10
 SEED = 42
-# Fewer rows than this do not pay for a task of their own.
-WORTH_A_TASK = 10_000
+# Rows per part of the frame that MLlib's fits read.
+PART_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -38,14 +39,16 @@ def _fit_once(rows: DataFrame, k: int, seed: int, weight: str, features: str, ma
 
 
 def _cached(rows: DataFrame) -> DataFrame:
-    """Keep the vectors in memory and on disk, in at least one part per core if there are enough of them."""
-    cached = rows.persist()
-    wanted = min(rows.sparkSession.sparkContext.defaultParallelism, cached.count() // WORTH_A_TASK)
-    if cached.rdd.getNumPartitions() >= wanted:
-        return cached
-    spread = cached.repartition(wanted).persist()
+    """Keep the vectors in memory and on disk, dealt and ordered by their content.
+
+    MLlib draws by part and position, so the same rows must lie the same way, however they came and whatever cluster
+    reads them.  Only the number of rows decides the number of parts.
+    """
+    held = rows.select("*", F.xxhash64(*rows.columns).alias("_key")).persist()
+    parts = 1 + held.count() // PART_ROWS
+    spread = held.repartition(parts, "_key").sortWithinPartitions("_key").drop("_key").persist()
     spread.count()
-    cached.unpersist()
+    held.unpersist()
     return spread
 
 
@@ -87,9 +90,10 @@ def sweep(
     features: str = "features",
     restarts: int = RESTARTS,
     seed: int = SEED,
+    row_id: str | None = None,
 ) -> DataFrame:
     """``(k, inertia)``: the lowest weighted inertia over the restarts of every k."""
-    best = best_per_k(fit_trials(rows, ks, restarts, weight, features, seed))
+    best = best_per_k(fit_trials(rows, ks, restarts, weight, features, seed, row_id=row_id))
     points = [(k, float(best[k].inertia)) for k in ks]
     return rows.sparkSession.createDataFrame(points, "k int, inertia double")
 

@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 from ..functions.features import sigmoid
 from ..operators.curves import evaluate, precision_threshold_measure, rank_models, score_curve
 from ..operators.reports import at_threshold, classification_report
+from ..storage import shared_folder
 
 SEED = 42
+# Rows per part of the training frame.
+PART_ROWS = 50_000
 
 # Display names and settings of the compared models.
 MODEL_NAMES = {"sgd": "SGD Logistic", "rf": "RandomForest", "xgb": "XGBoost", "lgbm": "LightGBM", "cat": "CatBoost"}
@@ -60,16 +63,18 @@ def build(key: str, columns: Columns = Columns(), seed: int = SEED, rounds: int
         settings = {**FOREST, **({"numTrees": rounds} if rounds else {})}
         return RandomForestClassifier(**common, **settings, seed=seed)
     settings = {**BOOSTED[key], **({"maxIter": rounds} if rounds else {})}
-    return GBTClassifier(**common, **settings, seed=seed)
+    return GBTClassifier(**common, **settings, seed=seed, cacheNodeIds=False, checkpointInterval=50)
 
 
-def positive_probability(scored: DataFrame) -> Column:
+def positive_probability(
+    scored: DataFrame, probability: str = "probability", raw: str = "rawPrediction", prediction: str = "prediction"
+) -> Column:
     """Probability of the positive class, else the squashed score, else the prediction."""
-    if "probability" in scored.columns:
-        return vector_to_array("probability")[1]
-    if "rawPrediction" in scored.columns:
-        return sigmoid(vector_to_array("rawPrediction")[1])
-    return F.col("prediction").cast("double")
+    if probability in scored.columns:
+        return vector_to_array(probability)[1]
+    if raw in scored.columns:
+        return sigmoid(vector_to_array(raw)[1])
+    return F.col(prediction).cast("double")
 
 
 def score(model: Model, rows: DataFrame, columns: Columns = Columns()) -> DataFrame:
@@ -87,8 +92,15 @@ def fit_all(
     seed: int = SEED,
     rounds: int | Mapping[str, int] | None = None,
 ) -> dict[str, Model]:
-    """Fit the chosen presets on one cached frame."""
-    rows = train.select(columns.label, columns.train_weight, columns.features).persist()
+    """Fit the chosen presets on one cached frame.
+
+    Boosting runs several jobs a round, so the frame has no more parts than its rows are worth, and the lineage of the
+    rounds is cut in the shared folder.
+    """
+    shared_folder(train.sparkSession)
+    held = train.select(columns.label, columns.train_weight, columns.features).persist()
+    parts = 1 + held.count() // PART_ROWS
+    rows = held.coalesce(parts).persist() if parts < held.rdd.getNumPartitions() else held
     try:
         fitted = {}
         for key in chosen:
@@ -97,18 +109,19 @@ def fit_all(
         return fitted
     finally:
         rows.unpersist()
+        held.unpersist()
 
 
 def score_all(models: Mapping[str, Model], valid: DataFrame, columns: Columns = Columns()) -> DataFrame:
     """Long form ``(model, p, y, w)``: one scan, in which every model scores the row."""
     rows, offers = valid.select(columns.label, columns.weight, columns.features), []
     for key, model in models.items():
-        named = model.copy()
-        named.setPredictionCol(f"prediction_{key}")
-        named.setRawPredictionCol(f"raw_{key}")
-        named.setProbabilityCol(f"probability_{key}")
+        named, names = model.copy(), (f"probability_{key}", f"raw_{key}", f"prediction_{key}")
+        for setter, name in zip(("setProbabilityCol", "setRawPredictionCol", "setPredictionCol"), names):
+            if hasattr(named, setter):
+                getattr(named, setter)(name)
         rows = named.transform(rows)
-        p = vector_to_array(f"probability_{key}")[1]
+        p = positive_probability(rows, *names)
         offers.append(F.struct(F.lit(MODEL_NAMES[key]).alias("model"), p.alias("p")))
     long = rows.select(
         F.col(columns.label).alias("y"), F.col(columns.weight).alias("w"), F.inline(F.array(offers)).alias("model", "p")

@@ -16,7 +16,7 @@ from ..operators.prep import FeatureSpec, fit_prep, segment_spec
 from ..operators.profiles import crosstab, numeric_means, segment_shares, segment_summary, top_per_segment
 from ..sources import writer
 from ..sources.reader import read_column_names, read_survey, with_row_id
-from ..storage import settle
+from ..storage import scratch, settle
 from . import clustering as C
 
 
@@ -56,7 +56,9 @@ def cluster_and_profile(
     prep = fit_prep(rows, spec)
     pipeline = prep.pipeline(rows)
     vectors = pipeline.transform(rows)
-    found = C.segment(vectors, k, k_min, k_max, weight=weight, restarts=restarts, seed=seed)
+    # The fits' own tables are needed no longer than the fits.
+    with scratch():
+        found = C.segment(vectors, k, k_min, k_max, weight=weight, restarts=restarts, seed=seed)
     model = PipelineModel([*pipeline.stages, found.model])
     kept = [quoted(c) for c in rows.columns]
     assigned = settle(model.transform(rows).select(*kept, F.col("cluster").alias("segment")), "assigned")
@@ -96,6 +98,8 @@ def run(
     arguments = {name: v for name, v in locals().items() if name != "spark"}
     run_id = writer.run_id(run_name)
     folder = writer.run_folder(outputs, run_id)
+    segments_path, summary_path = segments_out or f"{folder}/segments", summary_out or f"{folder}/summary"
+    arguments |= {"run_dir": folder, "segments_out": segments_path, "summary_out": summary_path}
     writer.write_manifest(spark, f"{folder}/run", run_id, arguments)
 
     names = read_column_names(spark, columns_path) if columns_path else None
@@ -115,10 +119,10 @@ def run(
         seed=seed,
     )
     writer.write_assignments(
-        result.assigned, segments_out or f"{folder}/segments", "row_id", "segment", result.k
+        result.assigned, segments_path, "row_id", "segment", result.k
     )
     named = result.summary.withColumnRenamed("segment", "cluster")
-    writer.write_summary(named, summary_out or f"{folder}/summary")
+    writer.write_summary(named, summary_path)
     result.shares.write.mode("overwrite").parquet(f"{folder}/profile/shares")
     result.crosstabs.write.mode("overwrite").parquet(f"{folder}/profile/crosstabs")
     result.means.write.mode("overwrite").parquet(f"{folder}/profile/means")

@@ -9,6 +9,10 @@ from .. import survey
 from ..functions.cleaning import drop_missing_tokens, quoted
 
 
+#: Types that a text column can turn out to have, narrowest first.
+KINDS = ("int", "bigint", "double")
+
+
 def read_column_names(spark: SparkSession, path: str) -> list[str]:
     """One name per line, in file order; blank lines are skipped and names trimmed."""
     lines = spark.read.text(path, wholetext=True).first()
@@ -25,29 +29,50 @@ def read_survey(
     """
     names = names or survey.SURVEY_COLUMNS
     options = {"header": False, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    if infer_types:
-        raw = spark.read.options(**options, inferSchema=True, nullValue="NA").csv(path).toDF(*names)
-    else:
-        raw = spark.read.options(**options).schema(survey.text_schema(names)).csv(path)
-    return drop_missing_tokens(raw)
+    raw = drop_missing_tokens(spark.read.options(**options).schema(survey.text_schema(names)).csv(path))
+    return with_inferred_types(raw) if infer_types else raw
+
+
+def with_inferred_types(df: DataFrame) -> DataFrame:
+    """Text columns as whole numbers or doubles where every value present is one; a column without any value is whole numbers.
+
+    Missing tokens are NULL by then, so each of them leaves a column of numbers a column of numbers.
+    """
+    measures = []
+    for i, name in enumerate(df.columns):
+        text = quoted(name)
+        for kind in KINDS:
+            # Java reads 1d and 1f as numbers; a survey does not.
+            wrong = text.isNotNull() & (text.try_cast(kind).isNull() | text.rlike("(?i)[df]$"))
+            measures.append(F.count(F.when(wrong, 1)).alias(f"{kind}_{i}"))
+    row = df.agg(*measures).first()
+    made = []
+    for i, name in enumerate(df.columns):
+        kind = next((k for k in KINDS if not row[f"{k}_{i}"]), None)
+        made.append(quoted(name).cast(kind).alias(name) if kind else quoted(name))
+    return df.select(made)
 
 
 def with_row_id(df: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """Number the rows 0, 1, 2, ... in file order.
+    """Number the rows 0, 1, 2, ... in file order: files by path, rows as they stand.
 
-    Call this on a scan: the split of a file scan into partitions is fixed by the
-    files, so the counts of the first pass still hold in the second.  What is
-    joined is one row per partition.
+    Call this on a scan: its split into blocks is fixed by the files, so the counts of the first pass still hold in the
+    second.  Blocks are ordered by file and offset, as Spark deals them out by size.  What is joined is one row per block.
     """
-    placed = df.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    source = ["_metadata.file_path", "_metadata.file_block_start"]
+    placed = df.select(
+        "*",
+        F.spark_partition_id().alias("_part"),
+        F.col(source[0]).alias("_file"),
+        F.col(source[1]).alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
     )
-    sizes = {r["_part"]: r["n"] for r in placed.groupBy("_part").agg(F.count("*").alias("n")).collect()}
+    blocks = placed.groupBy("_part", "_file", "_block").agg(F.count("*").alias("n"), F.min("_at").alias("_first")).collect()
     starts, total = [], 0
-    for part in sorted(sizes):
-        starts.append((part, total))
-        total += sizes[part]
-    offsets = df.sparkSession.createDataFrame(starts, "_part int, _start bigint")
-    return placed.join(F.broadcast(offsets), "_part").select(
+    for b in sorted(blocks, key=lambda b: (b["_file"], b["_block"])):
+        starts.append((b["_part"], b["_file"], b["_block"], total - b["_first"]))
+        total += b["n"]
+    offsets = df.sparkSession.createDataFrame(starts, "_part int, _file string, _block bigint, _start bigint")
+    return placed.join(offsets, ["_part", "_file", "_block"]).select(
         (quoted("_start") + quoted("_at")).alias(row_id), *[quoted(c) for c in df.columns]
     )

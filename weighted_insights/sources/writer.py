@@ -39,12 +39,13 @@ def write_summary(summary: DataFrame, path: str, digits: int = 10) -> None:
         F.round(quoted(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else quoted(f.name)
         for f in summary.schema.fields
     ]
-    summary.select(rounded).coalesce(1).write.mode("overwrite").json(path)
+    summary.select(rounded).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """JSON records ``{model, roc_auc_w, pr_auc_w, best_thr}`` at full precision; one row per model."""
-    metrics.select("model", "roc_auc_w", "pr_auc_w", "best_thr").coalesce(1).write.mode("overwrite").json(path)
+    kept = metrics.select("model", "roc_auc_w", "pr_auc_w", "best_thr").coalesce(1)
+    kept.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def write_manifest(spark: SparkSession, path: str, run: str, arguments: dict[str, object]) -> None:
@@ -56,6 +57,11 @@ def write_manifest(spark: SparkSession, path: str, run: str, arguments: dict[str
     row.coalesce(1).write.mode("append").partitionBy("run_id").parquet(path)
 
 
+def write_records(rows: DataFrame, path: str) -> None:
+    """JSON records of a small table; missing fields stay as nulls."""
+    rows.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
 def write_curves(roc: DataFrame, pr: DataFrame, path: str) -> None:
     """The points behind the ROC and precision-recall plots, partitioned by model."""
     for name, points in (("roc", roc), ("pr", pr)):

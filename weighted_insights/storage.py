@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,4 +38,27 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back."""
     path = new_path(df.sparkSession, purpose)
     df.write.parquet(path)
+    for held in _open:
+        held.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_open: list[list[tuple[SparkSession, str]]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Remove the tables that are settled inside the block when it ends, also if it fails.
+
+    What leaves the block must not read them any more.
+    """
+    held: list[tuple[SparkSession, str]] = []
+    _open.append(held)
+    try:
+        yield
+    finally:
+        _open.remove(held)
+        for spark, path in held:
+            jvm = spark.sparkContext._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
