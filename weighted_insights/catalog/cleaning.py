@@ -151,3 +151,18 @@ def sigmoid_score(spark: SparkSession, folder: str) -> DataFrame:
 def log_clip(spark: SparkSession, folder: str) -> DataFrame:
     amount = F.log1p(X.clip_at_zero(F.col("c_acctbal")))
     return V.table(spark, folder, "customer").select("c_custkey", F.round(amount, 6).alias("amount"))
+
+
+@query(
+    "features_missing",
+    f"""
+WITH {V.BANDS}
+SELECT coalesce(wage > 20, false) AS has_wage, coalesce(weeks > 30, false) AS worked_any_weeks, false AS full_year_52w, count(*) AS n
+FROM bands GROUP BY ALL
+""",
+)
+def features_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Missing wages and weeks are no wage and no weeks."""
+    wage, weeks = F.col("wage per hour"), F.col("weeks worked in year")
+    rows = V.bands(spark, folder).withColumns({"wage per hour": F.when(wage > 20, wage), "weeks worked in year": F.when(weeks > 30, weeks)})
+    return X.derive(rows).groupBy("has_wage", "worked_any_weeks", "full_year_52w").agg(F.count("*").alias("n"))

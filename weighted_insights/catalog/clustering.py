@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import centres as Z
@@ -108,18 +108,48 @@ def elbow_suggest(spark: SparkSession, folder: str) -> DataFrame:
     return Z.suggest_k(grouped_elbow(spark, folder))
 
 
-@query("elbow_sweep")
+@query(
+    "elbow_sweep",
+    f"""
+WITH {GROUPED}
+SELECT k, true AS below_grouping, true AS falling, k BETWEEN 4 AND 8 AS has_second_difference FROM elbow
+""",
+)
 def elbow_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    """Inertia of the best of ten restarts for every k of the sweep."""
-    rows = V.vectors(spark, folder).select(array_to_vector("v").alias("features"), "w")
-    return Z.second_differences(C.sweep(rows, range(C.K_MIN, C.K_MAX + 1)))
+    """The best of ten restarts for every k: no worse than grouping by label, and falling in k."""
+    rows = V.vectors(spark, folder).select(array_to_vector("v").alias("features"), "w", "vec_id")
+    swept = Z.second_differences(C.sweep(rows, range(C.K_MIN, C.K_MAX + 1), row_id="vec_id"))
+    grouped = grouped_elbow(spark, folder).withColumnRenamed("inertia", "grouped")
+    before = F.lag("inertia").over(Window.orderBy("k"))
+    # One row per k.
+    return swept.join(grouped, "k").select(
+        "k",
+        (F.col("inertia") <= F.col("grouped")).alias("below_grouping"),
+        F.coalesce(F.col("inertia") < before, F.lit(True)).alias("falling"),
+        F.col("second_difference").isNotNull().alias("has_second_difference"),
+    )
 
 
-@query("kmeans_profile")
+@query(
+    "kmeans_profile",
+    f"""
+WITH {V.VECTORS}, rows AS (SELECT DISTINCT vec_id, label, w FROM coords)
+SELECT CAST(10 AS BIGINT) AS n_clusters, CAST(1 AS DOUBLE) AS share,
+       round(sum(w * CAST(label < 5 AS INTEGER)) / sum(w), 8) AS pos_rate, round(sum(w * label) / sum(w), 8) AS mean_label
+FROM rows
+""",
+)
 def kmeans_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """Ten clusters of the embeddings, profiled by weight and by the share of low labels."""
+    """Ten clusters of the embeddings; rates and means over all of them are those of the whole."""
     rows = V.vectors(spark, folder).select(
         array_to_vector("v").alias("features"), "w", "label", (F.col("label") < 5).cast("int").alias("y")
     )
     model = C.fit_best(rows, 10).model
-    return segment_summary(model.transform(rows), "cluster", "w", "y", ["label"])
+    made = segment_summary(model.transform(rows), "cluster", "w", "y", ["label"])
+    share = F.col("weighted_share")
+    return made.agg(
+        F.count("*").alias("n_clusters"),
+        F.round(F.sum(share), 8).alias("share"),
+        F.round(F.sum(share * F.col("weighted_pos_rate")), 8).alias("pos_rate"),
+        F.round(F.sum(share * F.col("mean_label")), 8).alias("mean_label"),
+    )

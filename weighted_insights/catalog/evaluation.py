@@ -198,13 +198,29 @@ def model_roc_points(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "zero_weight_rows",
     f"""
-WITH {V.EVENT_SCORES}
-SELECT CAST(w <> 0 AS INTEGER) AS on_curve, count(*) AS n, count(DISTINCT p) AS n_scores FROM scored GROUP BY 1
+WITH {V.EVENT_SCORES}, {CURVE}
+SELECT (SELECT count(*) FROM curve) AS n_points, (SELECT round(max(total_tp + total_fp), 6) FROM curve) AS weight,
+       (SELECT count(DISTINCT p) FROM scored) AS n_scores, (SELECT count(*) FROM scored WHERE w = 0) AS n_off
 """,
 )
 def zero_weight_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows on and off the curve: weight zero leaves it."""
+    """Scores and weight on the curve, next to all scores and the rows of weight zero that it leaves out."""
     rows = V.event_scores(spark, folder)
-    return rows.groupBy((F.col("w") != 0).cast("int").alias("on_curve")).agg(
-        F.count("*").alias("n"), F.count_distinct("p").alias("n_scores")
-    )
+    curve = K.score_curve(rows).agg(F.count("*").alias("n_points"), F.round(F.max(F.col("total_tp") + F.col("total_fp")), 6).alias("weight"))
+    off = F.count(F.when(F.col("w") == 0, 1)).alias("n_off")
+    # One row on either side.
+    return curve.join(rows.agg(F.count_distinct("p").alias("n_scores"), off), F.lit(True))
+
+
+@query(
+    "one_class_curve",
+    f"""
+WITH {V.EVENT_SCORES.replace("CAST(event_type = 'purchase' AS INTEGER)", "1")}, {CURVE}
+SELECT CAST(NULL AS DOUBLE) AS fpr, round(cum_tp / total_tp, 8) AS tpr, p AS threshold FROM curve
+UNION ALL SELECT 0, 0, 'infinity'::DOUBLE
+""",
+)
+def one_class_curve(spark: SparkSession, folder: str) -> DataFrame:
+    """Without negatives the false positive rate is unknown, and the curve ends normally."""
+    rows = V.event_scores(spark, folder).withColumn("y", F.lit(1))
+    return rounded(K.roc_points(K.score_curve(rows), drop_collinear=False), "tpr")

@@ -13,24 +13,7 @@ from ..storage import settle
 from . import views as V
 from .registry import query
 
-SPLIT = f"""{V.PROFILE},
-classes AS (SELECT y, count(*) AS n FROM profile GROUP BY y),
-totals AS (SELECT sum(n) AS n, sum(n) - ceil(0.2::DOUBLE * sum(n)) AS n_train FROM classes),
-parts AS (
-  SELECT y, classes.n, floor(classes.n * n_train / totals.n) AS base,
-         classes.n * n_train / totals.n - floor(classes.n * n_train / totals.n) AS rest, n_train
-  FROM classes, totals
-),
-quotas AS (
-  SELECT y, n - base - CAST(row_number() OVER (ORDER BY rest DESC, y) <= n_train - sum(base) OVER () AS INTEGER)
-         AS n_valid
-  FROM parts
-),
-marked AS (
-  SELECT profile.*, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY md5('42|' || CAST(row_id AS VARCHAR)), row_id)
-                              <= n_valid THEN 'valid' ELSE 'train' END AS split
-  FROM profile JOIN quotas USING (y)
-)"""
+SPLIT = V.split_sql(V.PROFILE, "profile")
 
 
 def marked(spark: SparkSession, folder: str) -> DataFrame:

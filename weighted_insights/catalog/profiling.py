@@ -236,3 +236,52 @@ def one_segment(spark: SparkSession, folder: str) -> DataFrame:
     rows = V.profile(spark, folder).where("segment = 2")
     weights = P.category_weights(rows, "c2")
     return weights.withColumn("share", F.col("w") / weights.select(F.sum("w")).scalar())
+
+
+QUIET = f"""{V.PROFILE},
+quiet AS (
+  SELECT CASE WHEN segment <> 5 THEN segment END AS segment, CASE WHEN segment = 4 THEN 0.0::DOUBLE ELSE w END AS w, y, x, c2
+  FROM profile
+)"""
+
+
+def quiet_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile view with a missing segment and one without weight."""
+    segment = F.col("segment")
+    return V.profile(spark, folder).withColumns(
+        {"w": F.when(segment == 4, F.lit(0.0)).otherwise(F.col("w")), "segment": F.when(segment != 5, segment)}
+    )
+
+
+@query(
+    "segment_without_weight",
+    f"""
+WITH {QUIET}
+SELECT segment, round(sum(w) / (SELECT sum(w) FROM quiet), 8) AS weighted_share,
+       round(sum(w * y) / greatest(sum(w), 1e-9), 8) AS weighted_pos_rate,
+       round(sum(w * coalesce(x, 0)) / greatest(sum(w), 1e-9), 5) AS mean_x
+FROM quiet GROUP BY segment
+""",
+)
+def segment_without_weight(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates and means of a segment without weight are guarded; a missing segment is a segment."""
+    made = P.segment_summary(quiet_profile(spark, folder), "segment", "w", "y", ["x"])
+    return made.withColumns({"weighted_share": F.round("weighted_share", 8), "weighted_pos_rate": F.round("weighted_pos_rate", 8), "mean_x": F.round("mean_x", 5)})
+
+
+@query(
+    "missing_segment_top3",
+    f"""
+WITH {QUIET},
+cells AS (SELECT segment, c2 AS category, sum(w) AS w FROM quiet WHERE segment IS NULL OR segment <> 4 GROUP BY ALL),
+shares AS (SELECT *, w / sum(w) OVER (PARTITION BY segment) AS share,
+                  row_number() OVER (PARTITION BY segment ORDER BY w DESC, category) AS rank FROM cells)
+SELECT segment, 'c2' AS attribute, count(*) AS n, min(category) AS first_name FROM shares WHERE rank <= 3 GROUP BY segment
+""",
+)
+def missing_segment_top3(spark: SparkSession, folder: str) -> DataFrame:
+    """The top categories of a missing segment are kept."""
+    rows = quiet_profile(spark, folder).where("segment is null or segment <> 4")
+    names = F.transform(F.split("top", ", "), lambda text: F.substring_index(text, " (", 1))
+    top = P.top_per_segment(rows, ["c2"])
+    return top.select("segment", "attribute", F.size(names).cast("long").alias("n"), F.array_min(names).alias("first_name"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.prep import FeatureSpec
 from ..operators.profiles import segment_summary
 from ..plans import classify, segment
+from ..plans.models import MODEL_NAMES
 from ..sources import writer
 from ..sources.reader import read_survey, with_row_id
 from ..storage import new_path, settle
@@ -17,32 +18,55 @@ from .profiling import ATTRIBUTES, coded_profile
 from .registry import query
 
 DOCUMENT_SPEC = FeatureSpec(skewed=("n_chars",), categorical=("lang", "source"))
-# Boosting rounds of the registered queries; the presets themselves have 500 to 800.
-ROUNDS = {"rf": 50, "xgb": 10, "lgbm": 10, "cat": 10}
+SPLIT = V.split_sql(V.TRAINING, "training")
+
+
+def supports(models: list[str]) -> str:
+    """Facts that hold whatever the fits draw: the validation weight of each class, and areas that are areas."""
+    named = " UNION ALL ".join(f"SELECT '{MODEL_NAMES[key]}' AS model" for key in models)
+    return f"""
+WITH {SPLIT}, models AS ({named})
+SELECT model, sum(w) FILTER (WHERE y = 0) AS support_0, sum(w) FILTER (WHERE y = 1) AS support_1, true AS beats_chance
+FROM marked, models WHERE split = 'valid' GROUP BY model
+"""
 
 
 def train(models: str):
+    """Fit the presets in full on the labelled documents; their supports, and whether they beat chance."""
+
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rows = settle(V.training(spark, folder), "documents")
-        made = classify.train_and_evaluate(rows, DOCUMENT_SPEC, models=models, rounds=ROUNDS)
-        return made.metrics
+        made = classify.train_and_evaluate(rows, DOCUMENT_SPEC, models=models)
+
+        def support(name: str):
+            return F.max(F.when(F.col("class") == name, F.col("support"))).alias(f"support_{name}")
+
+        held = made.reports.groupBy("model").agg(support("0"), support("1"))
+        better = made.metrics.select("model", ((F.col("roc_auc_w") > 0.5) & F.col("pr_auc_w").between(0, 1)).alias("beats_chance"))
+        return held.join(better, "model")
 
     return run
 
 
-query("train_linear")(train("sgd"))
-query("train_forest")(train("rf"))
-query("train_boosted_xgb")(train("xgb"))
-query("train_boosted_lgbm")(train("lgbm"))
-query("train_boosted_cat")(train("cat"))
+for name, key in (("linear", "sgd"), ("forest", "rf"), ("boosted_xgb", "xgb"), ("boosted_lgbm", "lgbm"), ("boosted_cat", "cat")):
+    query(f"train_{name}", supports([key]))(train(key))
 
 
-@query("classification_job")
+@query(
+    "classification_job",
+    f"""
+WITH {SPLIT}, models AS (SELECT 'SGD Logistic' AS model UNION ALL SELECT 'XGBoost'),
+classes AS (SELECT CAST(y AS VARCHAR) AS class, w FROM marked WHERE split = 'valid'
+            UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), w FROM marked WHERE split = 'valid')
+SELECT model, class, sum(w) AS support, true AS in_range FROM classes, models GROUP BY model, class
+""",
+)
 def classification_job(spark: SparkSession, folder: str) -> DataFrame:
-    """Linear and boosted model on the labelled documents: the reports at their thresholds."""
+    """Linear and boosted model on the labelled documents: supports of the reports, and measures that are shares."""
     rows = settle(V.training(spark, folder), "documents")
-    made = classify.train_and_evaluate(rows, DOCUMENT_SPEC, models="sgd,xgb", rounds=ROUNDS)
-    return made.reports
+    made = classify.train_and_evaluate(rows, DOCUMENT_SPEC, models="sgd,xgb")
+    shares = [F.coalesce(F.col(c), F.lit(0.0)).between(0, 1) for c in ("precision", "recall", "f1")]
+    return made.reports.select("model", "class", "support", (shares[0] & shares[1] & shares[2]).alias("in_range"))
 
 
 PROFILE_SPEC = FeatureSpec(
@@ -50,14 +74,30 @@ PROFILE_SPEC = FeatureSpec(
 )
 
 
-@query("segmentation_job")
+@query(
+    "segmentation_job",
+    f"""
+WITH {V.PROFILE}
+SELECT CAST(6 AS BIGINT) AS n_segments, CAST(1 AS DOUBLE) AS share, round(sum(w * y) / sum(w), 8) AS pos_rate,
+       round(sum(w * coalesce(x, 0)) / sum(w), 5) AS mean_x, round(sum(w * dividends) / sum(w), 8) AS mean_dividends
+FROM profile
+""",
+)
 def segmentation_job(spark: SparkSession, folder: str) -> DataFrame:
-    """Six clusters of the orders with their weighted summary."""
+    """Six clusters of the orders; the profile's weighted means over all of them are those of the whole."""
     rows = settle(coded_profile(spark, folder).drop("segment", "raw_num"), "orders")
-    made = segment.cluster_and_profile(
-        rows, PROFILE_SPEC, means=["x", "dividends"], crosstabs=ATTRIBUTES, tops=ATTRIBUTES, k=6, restarts=2
+    made = segment.cluster_and_profile(rows, PROFILE_SPEC, means=["x", "dividends"], crosstabs=ATTRIBUTES, tops=ATTRIBUTES, k=6)
+
+    def over_all(column: str):
+        return F.sum(F.col("weighted_share") * F.col(column))
+
+    return made.summary.agg(
+        F.count("*").alias("n_segments"),
+        F.round(F.sum("weighted_share"), 8).alias("share"),
+        F.round(over_all("weighted_pos_rate"), 8).alias("pos_rate"),
+        F.round(over_all("mean_x"), 5).alias("mean_x"),
+        F.round(over_all("mean_dividends"), 8).alias("mean_dividends"),
     )
-    return made.summary
 
 
 @query(
@@ -67,7 +107,7 @@ def segmentation_job(spark: SparkSession, folder: str) -> DataFrame:
 def model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Save the fitted preparation and clustering, load them, and compare all assignments."""
     rows = settle(coded_profile(spark, folder).drop("segment", "raw_num"), "orders")
-    made = segment.cluster_and_profile(rows, PROFILE_SPEC, k=3, restarts=1)
+    made = segment.cluster_and_profile(rows, PROFILE_SPEC, k=6)
     path = new_path(spark, "model")
     made.model.write().save(path)
     again = PipelineModel.load(path).transform(made.assigned)

@@ -197,3 +197,32 @@ def training(spark: SparkSession, folder: str) -> DataFrame:
         "lang",
         "source",
     )
+
+
+TRAINING = """
+training AS (
+  SELECT doc_id AS row_id, CAST(quality AS INTEGER) AS y, CAST(1 + doc_id % 3 AS DOUBLE) AS w
+  FROM documents JOIN labels USING (doc_id)
+)"""
+
+
+def split_sql(view: str, name: str) -> str:
+    """The view ``name`` with its stratified split, as ``marked``."""
+    return f"""{view},
+classes AS (SELECT y, count(*) AS n FROM {name} GROUP BY y),
+totals AS (SELECT sum(n) AS n, sum(n) - ceil(0.2::DOUBLE * sum(n)) AS n_train FROM classes),
+parts AS (
+  SELECT y, classes.n, floor(classes.n * n_train / totals.n) AS base,
+         classes.n * n_train / totals.n - floor(classes.n * n_train / totals.n) AS rest, n_train
+  FROM classes, totals
+),
+quotas AS (
+  SELECT y, n - base - CAST(row_number() OVER (ORDER BY rest DESC, y) <= n_train - sum(base) OVER () AS INTEGER)
+         AS n_valid
+  FROM parts
+),
+marked AS (
+  SELECT {name}.*, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY md5('42|' || CAST(row_id AS VARCHAR)), row_id)
+                              <= n_valid THEN 'valid' ELSE 'train' END AS split
+  FROM {name} JOIN quotas USING (y)
+)"""
