@@ -10,8 +10,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from weighted_insights import survey
+from weighted_insights.operators.prep import FeatureSpec
 from weighted_insights.plans import classify, models, segment
 from weighted_insights.sources import writer
+from weighted_insights.storage import scratch, settle
 
 
 @pytest.fixture(scope="module")
@@ -125,9 +127,10 @@ def test_segmentation_job(spark, survey_file, tmp_path):
 
 
 def test_same_seed_same_model(spark, folder):
-    from weighted_insights.catalog import QUERIES
+    from weighted_insights.catalog import training, views
 
-    first, second = (QUERIES["train_linear"](spark, folder).first() for _ in range(2))
+    rows = settle(views.training(spark, folder), "documents")
+    first, second = (classify.train_and_evaluate(rows, training.DOCUMENT_SPEC, models="sgd").metrics.first() for _ in range(2))
     assert first.roc_auc_w == pytest.approx(second.roc_auc_w, abs=1e-6)
     assert first.best_thr == pytest.approx(second.best_thr, abs=1e-6)
 
@@ -200,3 +203,26 @@ def test_settled_tables_live_in_the_shared_folder(spark):
     kept = settle(spark.range(5), "numbers")
     assert kept.inputFiles() and all(shared_folder(spark).split(":")[-1] in f for f in kept.inputFiles())
     assert kept.count() == 5
+
+
+def test_every_preset_fits_and_beats_chance(spark):
+    rows = spark.range(600).select(
+        F.col("id").alias("row_id"),
+        (F.col("id") % 10 < 4).cast("int").alias("y"),
+        F.lit(1.0).alias("w"),
+        (F.col("id") % 10 + F.rand(3)).alias("x"),
+        (F.col("id") % 3).cast("string").alias("c"),
+    )
+    made = classify.train_and_evaluate(rows, FeatureSpec(standard=("x",), categorical=("c",)), models="rf,xgb,lgbm,cat", rounds=2)
+    assert {r.model for r in made.metrics.collect()} == {"RandomForest", "XGBoost", "LightGBM", "CatBoost"}
+    assert all(r.roc_auc_w > 0.9 for r in made.metrics.collect())
+
+
+def test_settled_tables_go_with_their_block(spark):
+    with scratch():
+        table = settle(spark.range(3), "gone")
+        assert table.count() == 3
+        (path,) = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    assert not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
