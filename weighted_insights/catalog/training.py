@@ -56,9 +56,9 @@ for name, key in (("linear", "sgd"), ("forest", "rf"), ("boosted_xgb", "xgb"), (
     "classification_job",
     f"""
 WITH {SPLIT}, models AS (SELECT 'SGD Logistic' AS model UNION ALL SELECT 'RandomForest'),
-classes AS (SELECT CAST(y AS VARCHAR) AS class, w FROM marked WHERE split = 'valid'
+report_rows AS (SELECT CAST(y AS VARCHAR) AS class, w FROM marked WHERE split = 'valid'
             UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), w FROM marked WHERE split = 'valid')
-SELECT model, class, sum(w) AS support, true AS in_range FROM classes, models GROUP BY model, class
+SELECT model, class, sum(w) AS support, true AS in_range FROM report_rows, models GROUP BY model, class
 """,
 )
 def classification_job(spark: SparkSession, folder: str) -> DataFrame:
