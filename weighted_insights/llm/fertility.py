@@ -17,7 +17,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import BLANK, CONTINUES, Texts, WordStore, map_texts, repeats, slices, spread
+from .text import BLANK, CONTINUES, Texts, WordStore, map_texts, repeats, slices
 
 VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = np.zeros(256, bool)

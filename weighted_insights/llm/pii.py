@@ -10,7 +10,6 @@ neighbourhood of those characters is read.  The weights are learned from generat
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass
