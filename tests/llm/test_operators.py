@@ -425,6 +425,29 @@ def test_lm_learns(small_model):
     assert tokens > 0 and scores[0] < scores[1] < scores[2]
 
 
+def test_lm_windows_hold_every_token():
+    texts = [np.arange(10, 10 + n) for n in (2, 5, 12, 13, 40)]
+    windows = lm.windows_of(texts, 5)
+    wanted = windows[:, 1:][windows[:, 1:] >= 0]
+    assert sorted(wanted.tolist()) == sorted(np.concatenate([t[1:] for t in texts]).tolist())
+    assert ((windows[:, 1:] < 0) | (windows[:, 1:] == windows[:, :-1] + 1)).all()
+    assert lm.windows_of([], 5).shape == (0, 5)
+
+
+def test_lm_statistics_count_every_token(spark, small_model):
+    """The token statistics are those of all texts, ends included, however long a text is."""
+    shape, store, texts, p = small_model
+    chosen = [*texts[:60], b" ".join(texts[60:100]), b""]
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(chosen)], "doc_id long, text string").repartition(3)
+    trained = lm.train_everywhere(docs, p, public_tokenizers.path(lm.VOCABULARY), shape)
+    want = np.zeros(lm.VOCABULARY_SIZE)
+    for ids in lm.text_ids(chosen, store):
+        want += np.bincount(ids[1:], minlength=lm.VOCABULARY_SIZE)
+    got = np.zeros(lm.VOCABULARY_SIZE)
+    got[trained.ids[1:]] = trained.stats[1:].sum(1)
+    assert want[lm.END_ID] == len(chosen) and np.allclose(got, want, rtol=1e-3, atol=1e-2)
+
+
 # Licenses ---------------------------------------------------------------------------------------
 
 
