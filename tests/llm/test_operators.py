@@ -470,6 +470,31 @@ def test_edited_license():
     assert licenses.scan([half.encode(), b"the"], index, settings) == [[], []]
 
 
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_license_is_not_taken_for_another(name):
+    settings = licenses.Settings()
+    index = licenses.build_index(licenses.TEMPLATES, settings)
+    line = f"This work: {licenses.TEMPLATES[name]} More words follow."
+    (match,) = licenses.scan([line.encode()], index, settings)[0]
+    assert (match.license, match.coverage) == (name, 1.0)
+
+
+def test_near_notices_and_insertions():
+    settings = licenses.Settings()
+    index = licenses.build_index(licenses.TEMPLATES, settings)
+    others = (
+        "Licensed under CC BY-XX 4.0.",
+        "Licensed under CC BY 3.0.",
+        "This work is licensed under the GNU Other General Public License, version 3.",
+        "This work is licensed under the GNU General Public License, version 1.",
+        "Released under the old MIT License.",
+    )
+    assert licenses.scan([t.encode() for t in others], index, settings) == [[]] * len(others)
+    isc = licenses.TEMPLATES["isc"].split()
+    (match,) = licenses.scan([" ".join([*isc[:12], "really", "really", *isc[12:]]).encode()], index, settings)[0]
+    assert match.license == "isc" and match.matched == len(index.words[index.names.index("isc")]) and match.coverage < 1
+
+
 def test_winnowing_guarantee():
     hashes = np.random.default_rng(1).integers(0, 2**60, 200).astype(np.uint64)
     chosen = set(licenses.winnow(hashes, 4).tolist())

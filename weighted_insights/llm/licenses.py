@@ -4,7 +4,8 @@ Templates are cut into words; the hashes of their runs of words are winnowed, so
 ``run + window - 1`` equal words shares a fingerprint, and kept in an inverted index (fingerprint to
 template and place).  A document's runs are looked up in it; the places where hits agree on an offset
 (document place minus template place) give candidates, and each is aligned word by word inside a
-diagonal band.  What is reported is how much of the template is matched, and where.
+diagonal band.  What is reported is how well the template is matched, and where.  Notices of a few words
+differ from those of other licenses in one word or two, so all their words must stand in a row.
 """
 
 from __future__ import annotations
@@ -19,6 +20,13 @@ from pyspark.sql import DataFrame
 
 from .text import Texts, map_texts, slices
 
+_GNU = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name}General Public "
+    "License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
+    "later version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+)
+
 # License notices as their licenses word them.
 TEMPLATES: Mapping[str, str] = {
     "mit-notice": "Released under the MIT License.",
@@ -62,17 +70,63 @@ TEMPLATES: Mapping[str, str] = {
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nc-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-nd-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-by-nc-sa-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "cc-by-nc-nd-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-4.0-notice": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-4.0-notice": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4.0-notice": "Licensed under CC BY-NC-ND 4.0.",
+    "cc0-1.0-notice": "Licensed under CC0 1.0.",
+    "cc0-1.0": (
+        "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related "
+        "or neighboring rights to this work."
+    ),
+    "cc0-1.0-software": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+        "this software to the public domain worldwide. This software is distributed without any warranty."
+    ),
+    "gpl-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
+    "lgpl-2.1-notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "agpl-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "gpl-2.0": _GNU.format(what="program", name="", version="2"),
+    "lgpl-2.1": _GNU.format(what="library", name="Lesser ", version="2.1"),
+    "lgpl-3.0": _GNU.format(what="program", name="Lesser ", version="3"),
+    "agpl-3.0": _GNU.format(what="program", name="Affero ", version="3"),
+    "unlicense-notice": "Released under the Unlicense.",
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means."
+    ),
+    "epl-1.0-notice": "Licensed under the Eclipse Public License, Version 1.0.",
+    "epl-2.0-notice": "Licensed under the Eclipse Public License, Version 2.0.",
+    "epl-1.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 "
+        "which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"
+    ),
+    "epl-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
 }
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Words per run, runs per winnowing window, half width of the band, and least share of a template that is matched."""
+    """Words per run, runs per winnowing window, half width of the band, and least coverage of a template.
+
+    Templates of fewer than ``whole`` words must be matched word for word.
+    """
 
     run: int = 3
     window: int = 2
     band: int = 4
     coverage: float = 0.8
+    whole: int = 16
 
 
 #: Letters and digits make words, without case; every other ASCII character separates them.
@@ -130,7 +184,7 @@ def align(text: np.ndarray, template: np.ndarray, offset: int, band: int) -> tup
     """Longest common subsequence of a template and the text around ``offset``, inside a diagonal band.
 
     Text word ``i`` and template word ``j`` are compared if ``|i - offset - j| <= band``.  Returns the number of matched
-    words and the first and last matched text word (-1, -1 without a match).
+    words and the first and last matched text word (-1, -1 without a match); of equal ones that which begins last.
     """
     width = 2 * band + 1
     none = (0, -1, -1)
@@ -140,18 +194,18 @@ def align(text: np.ndarray, template: np.ndarray, offset: int, band: int) -> tup
         new = [none] * (width + 2)
         for d in range(1, width + 1):
             i = offset + j + (d - 1) - band
-            best = max(row[d + 1], new[d - 1], key=lambda c: (c[0], -c[2]))
+            best = max(row[d + 1], new[d - 1], key=lambda c: (c[0], c[1], -c[2]))
             if 0 <= i < len(text) and text[i] == template[j]:
                 count, first, _ = row[d]
-                best = max(best, (count + 1, first if count else i, i), key=lambda c: (c[0], -c[2]))
+                best = max(best, (count + 1, first if count else i, i), key=lambda c: (c[0], c[1], -c[2]))
             new[d] = best
         row = new
-    return max(row[1:-1], key=lambda c: (c[0], -c[2]))
+    return max(row[1:-1], key=lambda c: (c[0], c[1], -c[2]))
 
 
 @dataclass(frozen=True)
 class Match:
-    """A template in a text: matched words, share of the template, and the span (code points, end exclusive)."""
+    """A template in a text: matched words, their share of the template or of a longer span, and the span (code points, end exclusive)."""
 
     license: str
     matched: int
@@ -161,7 +215,7 @@ class Match:
 
 
 def candidates(read: Texts, index: Index, settings: Settings) -> dict[int, list[tuple[int, int]]]:
-    """By text: templates and offsets that fingerprints suggest; offsets closer than half the band count once."""
+    """By text: templates and offsets that fingerprints suggest; offsets of long ones closer than half the band count once."""
     runs, at = read.shingles(settings.run)
     low = np.searchsorted(index.prints, runs)
     hit = np.flatnonzero(index.prints[np.minimum(low, len(index.prints) - 1)] == runs)
@@ -176,13 +230,14 @@ def candidates(read: Texts, index: Index, settings: Settings) -> dict[int, list[
     for doc, places in found.items():
         out[doc] = []
         for template, offset in sorted(places):
-            if not out[doc] or out[doc][-1][0] != template or offset - out[doc][-1][1] > settings.band // 2:
+            far = not out[doc] or out[doc][-1][0] != template or offset - out[doc][-1][1] > settings.band // 2
+            if far or len(index.words[template]) < settings.whole:
                 out[doc].append((template, offset))
     return out
 
 
 def scan(texts: list[bytes], index: Index, settings: Settings) -> list[list[Match]]:
-    """The matches of every text by start; a match inside the span of a better one is left out."""
+    """The matches of every text by start; a match of which a better one holds more than half is left out."""
     out: list[list[Match]] = [[] for _ in texts]
     if not len(index.prints):
         return out
@@ -190,20 +245,28 @@ def scan(texts: list[bytes], index: Index, settings: Settings) -> list[list[Matc
     for doc, places in candidates(read, index, settings).items():
         first_word = int(read.first_word[doc])
         words = read.words[first_word : read.first_word[doc + 1]]
-        found: set[tuple[int, int, int, int]] = set()
+        found: set[tuple[int, float, int, int, int]] = set()
         for template, offset in places:
-            matched, first, last = align(words, index.words[template], offset, settings.band)
-            if matched >= settings.coverage * len(index.words[template]):
-                found.add((matched, template, first, last))
-        best: list[tuple[int, int, int, int]] = []
-        for match in sorted(found, key=lambda m: (-m[0], m[2], m[1])):
-            if not any(kept[2] <= match[2] and match[3] <= kept[3] for kept in best):
+            wanted = index.words[template]
+            if len(wanted) < settings.whole:
+                if offset >= 0 and np.array_equal(words[offset : offset + len(wanted)], wanted):
+                    found.add((len(wanted), 1.0, template, offset, offset + len(wanted) - 1))
+                continue
+            matched, first, last = align(words, wanted, offset, settings.band)
+            # Words put into the span count against it like words that are missing.
+            coverage = matched / max(len(wanted), last - first + 1)
+            if coverage >= settings.coverage:
+                found.add((matched, coverage, template, first, last))
+        best: list[tuple[int, float, int, int, int]] = []
+        for match in sorted(found, key=lambda m: (-m[0], -m[1], m[3], m[2])):
+            first, last = match[3:]
+            if not any(2 * (min(kept[4], last) - max(kept[3], first) + 1) > last - first + 1 for kept in best):
                 best.append(match)
-        for matched, template, first, last in sorted(best, key=lambda m: (m[2], m[1])):
+        for matched, coverage, template, first, last in sorted(best, key=lambda m: (m[3], m[2])):
             a, b = (int(p - read.starts[doc]) for p in (read.word_start[first_word + first], read.word_end[first_word + last]))
             start = len(texts[doc][:a].decode("utf-8", "replace"))
             end = start + len(texts[doc][a:b].decode("utf-8", "replace"))
-            out[doc].append(Match(index.names[template], matched, matched / len(index.words[template]), start, end))
+            out[doc].append(Match(index.names[template], matched, coverage, start, end))
     return out
 
 
@@ -211,7 +274,8 @@ SCHEMA = "doc_id long, license string, matched_words long, coverage double, star
 
 
 def find_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, settings: Settings = Settings()) -> DataFrame:
-    """One row per match: ``doc_id``, ``license``, ``matched_words``, ``coverage`` (of the template), ``start``, ``end``.
+    """One row per match: ``doc_id``, ``license``, ``matched_words``, ``coverage`` (their share of the template, or of
+    the span if that is longer), ``start``, ``end``.
 
     A template shorter than one run of words is never found.  A null or empty text has no match and gives no row, nor
     does an empty table; a repeated row gives its matches again; a null ``doc_id`` stays null; other columns are not read.
