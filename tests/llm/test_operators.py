@@ -122,6 +122,16 @@ def test_fertility_query(spark, folder, documents):
     assert not any(r["kept"] for r in rows if quality.get(r["doc_id"]) == 0)
 
 
+def test_repeated_lines_on_both_sides_of_the_bound():
+    words = [w for t in licenses.TEMPLATES.values() for w in t.split()]
+    lines = [" ".join(words[k : k + 9]).encode() for k in range(0, 90, 9)]
+    path = public_tokenizers.path(fertility.VOCABULARY)
+    three, four = (b"\n\n".join([*lines[: 10 - n], *[lines[0]] * n]) for n in (3, 4))
+    got = fertility.measure([three, four], path)
+    assert list(got["n_dup_lines"]) == [3, 4] and list(got["base_failed"]) == [False, False]
+    assert got["reason"] == [None, "dup_lines"] and "n_lines" not in got
+
+
 def test_token_measures():
     import sentencepiece
 

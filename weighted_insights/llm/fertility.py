@@ -64,7 +64,7 @@ class Rules:
     min_words: int = 50
     #: Largest share of words in repeated 3-word windows, in percent.
     max_repeat_percent: int = 50
-    #: Largest share of lines that equal an earlier one.
+    #: Largest share of lines with a word that equal an earlier one.
     max_dup_lines: float = 0.3
     #: Largest number of symbols per word.
     max_symbols: float = 0.25
@@ -88,7 +88,7 @@ def vocabulary(path: str) -> tuple[WordStore, np.ndarray]:
 
 
 def base_counts(read: Texts) -> dict[str, np.ndarray]:
-    """Words, their characters, symbols, repeated lines and words in repeated 3-word windows, per text."""
+    """Words, their characters, symbols, lines with a word, repeated ones and words in repeated 3-word windows, per text."""
     n = read.n
     start, end, doc = read.lines
     filled = np.searchsorted(read.word_start, end) > np.searchsorted(read.word_start, start)
@@ -102,6 +102,7 @@ def base_counts(read: Texts) -> dict[str, np.ndarray]:
         "n_words": read.n_words,
         "word_chars": read.per_text(~(BLANK | CONTINUES)[read.data]),
         "n_symbols": read.per_text(SYMBOLS[read.data]),
+        "n_lines": np.bincount(doc[filled], minlength=n),
         "n_dup_lines": np.bincount(doc[filled][later], minlength=n),
         "n_repeat_words": np.bincount(read.word_doc[marked[: len(read.words)]], minlength=n),
     }
@@ -145,6 +146,7 @@ def verdicts(base: dict, n_tokens, n_bytes, entropy, script, rules: Rules) -> tu
         least = min(band.entropy, 0.55 * np.log2(max(n_tokens[i], 1)))
         reasons.append(
             "base" if failed[i]
+            else "dup_lines" if base["n_dup_lines"][i] > rules.max_dup_lines * base["n_lines"][i]
             else "symbols" if base["n_symbols"][i] > rules.max_symbols * words[i]
             else "chars_per_token" if not band.chars_per_token[0] <= per_token[i] <= band.chars_per_token[1]
             else "byte_share" if byte_share[i] > band.byte_share
@@ -162,6 +164,7 @@ def measure(texts: list[bytes], path: str, rules: Rules = Rules()) -> dict[str,
     n_tokens, n_bytes, entropy = token_measures(read, store, is_byte)
     script = scripts(read)
     failed, reasons, per_token, byte_share = verdicts(base, n_tokens, n_bytes, entropy, script, rules)
+    del base["n_lines"]
     return base | {
         "base_failed": failed,
         "kept": [r is None for r in reasons],
