@@ -290,6 +290,13 @@ def test_large_families(spark):
     assert got == want and len({c for _, c in want.values()}) > 30
 
 
+@pytest.mark.parametrize("percent", [60, 70, 80, 85, 90])
+def test_bands_miss_one_pair_in_100000(percent):
+    settings = hyperminhash.Settings(percent=percent)
+    assert (1 - (percent / 100) ** settings.rows) ** settings.bands <= 1e-5
+    assert settings.rows * settings.bands <= settings.registers
+
+
 def test_register_and_estimate():
     values = np.array([0, 1, 2**63, 2**63 + 2**53, 3 << 40], np.uint64)
     assert [int(v) >> 10 for v in hyperminhash.compress(values)] == [53, 53, 0, 0, 22]
