@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, hyperminhash, lattice, licenses, linecrf, lm, packing, pii, warc
+from . import bpe, fertility, gridcodes, hyperminhash, lattice, licenses, linecrf, lm, middle, packing, pii, sharding, warc
 from .registry import QUERIES, SQL_TWINS, query
 from .text import read_table
 
@@ -60,3 +60,18 @@ def op9_seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_lattice_near_dedup")
 def op10_lattice_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_duplicates(read_table(spark, folder, "embeddings"))
+
+
+@query("op11_grid_codes", gridcodes.sql())
+def op11_grid_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return gridcodes.compress_vectors(read_table(spark, folder, "embeddings"))
+
+
+@query("op12_byte_shards", sharding.SQL)
+def op12_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, folder, "documents"))
+
+
+@query("op13_fill_in_middle", middle.SQL)
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return middle.round_trip(middle.fill_in_middle(read_table(spark, folder, "documents")))
