@@ -34,11 +34,11 @@ def new_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
+def settle(df: DataFrame, purpose: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.  With ``keep`` it outlives the innermost :func:`scratch`."""
     path = new_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    for held in _open:
+    for held in _open[:-1] if keep else _open:
         held.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -59,6 +59,10 @@ def scratch() -> Iterator[None]:
     finally:
         _open.remove(held)
         for spark, path in held:
-            jvm = spark.sparkContext._jvm
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder, wherever that folder lies."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
