@@ -314,8 +314,10 @@ def test_hyperminhash_query(spark, folder, documents):
     assert got == near_duplicates(documents, 3, 85)
 
 
-def test_large_families(spark):
-    """Copies of copies, truncations and shared edits in buckets that are far over the limits."""
+@pytest.mark.parametrize("group", [500_000, 300])
+def test_large_families(spark, monkeypatch, group):
+    """Copies of copies, truncations and shared edits in buckets that are far over the limits, ordered in one group or in several."""
+    monkeypatch.setattr(hyperminhash, "GROUP", group)
     draw = random.Random(5)
     word = lambda: "w" + str(draw.randrange(10**9))
     rows = []

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import settle
+from ..storage import scratch, settle
 from .components import components
 from .text import mix, prepare
 
@@ -306,10 +306,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, lattice: Lattic
         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("vector").alias("vector")),
         "classes",
     )
-    found = settle(class_links(classes, threshold, lattice), "class-links")
-    linked = found.where("other is not null")
+    with scratch():
+        found = settle(class_links(classes, threshold, lattice), "class-links", keep=True)
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    groups = components(linked, "rep", "other").withColumnRenamed("id", "rep")
+    with scratch():
+        groups = settle(components(found.where("other is not null"), "rep", "other"), "groups", keep=True).withColumnRenamed("id", "rep")
     known = (
         classes.select("digest", "rep", "n")
         .join(counts, "rep", "left")

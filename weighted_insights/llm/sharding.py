@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import settle
+from ..storage import scratch, settle
 
 SHARDS = 24
 #: Bytes that a document counts beyond its text.
@@ -38,17 +38,8 @@ def measured(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per document: ``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
-
-    ``size`` are the UTF-8 bytes of the text and ``OVERHEAD``; ``slot`` counts from 0 inside a shard, in the order of ids.  A
-    document lies in the shard that its middle byte falls into.  ``law`` is ``bytes``; ``grown_shard`` is null, as another number of
-    shards moves all cuts.  Columns named by ``keep`` travel along in the struct ``document`` (the text, to write shards out).
-
-    A null text has checksum 0 and no bytes; a null id comes first.  Rows that repeat an id, or are equal in all, are ordered
-    by checksum and size and then as they are read, and may be cut apart anywhere.  A document larger than a shard's target
-    leaves the shards that it covers empty.  An empty table gives no row; other columns are not read.
-    """
+def _placed(docs: DataFrame, shards: int, keep: Sequence[str]) -> DataFrame:
+    """``doc_id, size, text_crc32, shard, place``: every document with its place in the order of all."""
     order = [F.col("doc_id").asc_nulls_first(), "text_crc32", "size", "at"]
     rows = settle(measured(docs, keep), "sizes")
     blocks = min(MOST_BLOCKS, 1 + rows.count() // BLOCK_ROWS)
@@ -70,7 +61,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, keep: Sequence[str] =
     summed = ranged.withColumns({"upto": F.sum("size").over(upto), "nth": F.row_number().over(inside)}).join(F.broadcast(offsets), "block")
     # Twice the middle byte; decimals, as the product may not fit a long.
     middle = "CAST(2 * (bytes_before + upto) - size AS DECIMAL(19, 0))"
-    placed = summed.select(
+    return summed.select(
         "doc_id",
         "size",
         "text_crc32",
@@ -78,7 +69,21 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, keep: Sequence[str] =
         (F.col("rows_before") + F.col("nth") - 1).alias("place"),
         *(["document"] if keep else []),
     )
-    placed = settle(placed, "placed")
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per document: ``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
+
+    ``size`` are the UTF-8 bytes of the text and ``OVERHEAD``; ``slot`` counts from 0 inside a shard, in the order of ids.  A
+    document lies in the shard that its middle byte falls into.  ``law`` is ``bytes``; ``grown_shard`` is null, as another number of
+    shards moves all cuts.  Columns named by ``keep`` travel along in the struct ``document`` (the text, to write shards out).
+
+    A null text has checksum 0 and no bytes; a null id comes first.  Rows that repeat an id, or are equal in all, are ordered
+    by checksum and size and then as they are read, and may be cut apart anywhere.  A document larger than a shard's target
+    leaves the shards that it covers empty.  An empty table gives no row; other columns are not read.
+    """
+    with scratch():
+        placed = settle(_placed(docs, shards, keep), "placed", keep=True)
     # One row per shard.
     firsts = placed.groupBy("shard").agg(F.min("place").alias("first"))
     return placed.join(F.broadcast(firsts), "shard").select(
