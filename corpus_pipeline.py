@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weighted_insights.llm import fertility, hyperminhash, linecrf, packing, pii
-from weighted_insights.storage import settle
+from weighted_insights.storage import new_path, remove, scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +53,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is a Parquet table that the next stage reads."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each result is a Parquet table that the next stage reads.
+
+    What a stage wrote for itself, and the table that it read, are removed when its result is written; the input of the
+    last stage stays, as the result is read from it.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scratch():
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.schema(made.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
