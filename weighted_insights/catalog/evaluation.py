@@ -208,8 +208,8 @@ def zero_weight_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = V.event_scores(spark, folder)
     curve = K.score_curve(rows).agg(F.count("*").alias("n_points"), F.round(F.max(F.col("total_tp") + F.col("total_fp")), 6).alias("weight"))
     off = F.count(F.when(F.col("w") == 0, 1)).alias("n_off")
-    # One row on either side.
-    return curve.join(rows.agg(F.count_distinct("p").alias("n_scores"), off), F.lit(True))
+    facts = curve.unionByName(rows.agg(F.count_distinct("p").alias("n_scores"), off), allowMissingColumns=True)
+    return facts.agg(*[F.max(name).alias(name) for name in facts.columns])
 
 
 @query(
