@@ -192,3 +192,49 @@ def test_quotas_of_very_large_classes():
     n = 3 * 10**17 + 1
     quotas = S.class_quotas({0: n, 1: 2 * n, 2: 5}, 0.2)
     assert sum(quotas.values()) == -(-(3 * n + 5) // 5) or abs(sum(quotas.values()) - 0.2 * (3 * n + 5)) < 1000
+
+
+def test_brackets_are_narrowed_and_stay_exact(spark, monkeypatch):
+    df = spark.range(0, 30_000, 1, 6).select(
+        F.randn(1).alias("a"), F.floor(F.rand(2) * 3).cast("double").alias("b"), F.when(F.rand(3) < 0.7, F.lit(5.0)).otherwise(F.rand(4) * 10).alias("c")
+    ).persist()
+    local, wanted = df.toPandas(), [0.0, 0.001, 0.25, 0.5, 0.9, 1.0]
+    monkeypatch.setattr(Q, "MOST", 20)
+    monkeypatch.setattr(Q, "GRID", 16)
+    found = Q.exact_quantiles(df, {c: F.col(c) for c in df.columns}, wanted)
+    for c in df.columns:
+        assert found[c] == pytest.approx(np.quantile(local[c], wanted).tolist(), abs=1e-12)
+    df.unpersist()
+
+
+@pytest.mark.parametrize("missing", [0, 1, 7, 60, 400])
+@pytest.mark.parametrize("size", [1, 2, 5, 80])
+def test_scales_by_rank_arithmetic(spark, size, missing):
+    """Quartiles, means and deviations as if the imputed and stepped column had been sorted."""
+    draw = np.random.default_rng(size + missing)
+    values = [float(v) for v in draw.integers(-4, 9, size)] + [None] * missing
+    df = column(spark, values).repartition(3)
+    median = float(np.median(values[:size]))
+    imputed = np.array([median if v is None else v for v in values])
+    for group, steps in (("robust", lambda v: v), ("skewed", lambda v: np.log1p(np.maximum(v, 0)))):
+        fit = R.fit_prep(df, R.FeatureSpec(**{group: ("x",)})).numeric[0]
+        low, middle, high = np.quantile(steps(imputed), [0.25, 0.5, 0.75])
+        assert (fit.median, fit.center, fit.scale) == pytest.approx((median, middle, (high - low) or 1.0))
+    fit = R.fit_prep(df, R.FeatureSpec(standard=("x",))).numeric[0]
+    assert (fit.center, fit.scale) == pytest.approx((imputed.mean(), imputed.std() or 1.0))
+
+
+def test_prep_of_an_empty_table(spark):
+    assert R.fit_prep(column(spark, []), R.FeatureSpec(robust=("x",))).numeric == ()
+
+
+def test_two_scans_whatever_the_columns(spark):
+    df = column(spark, range(100)).select("x", (F.col("x") * 2).alias("y"), (-F.col("x")).alias("z"))
+    counted = []
+    original = Q.aggregate_long
+    Q.aggregate_long = lambda *a, **k: counted.append(1) or original(*a, **k)
+    try:
+        R.fit_prep(df, R.FeatureSpec(robust=("x",), skewed=("z",), standard=("y",)))
+    finally:
+        Q.aggregate_long = original
+    assert len(counted) == 1

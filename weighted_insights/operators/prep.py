@@ -10,19 +10,20 @@ median, sample deviation, a zero for a zero range), so the constants are compute
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import survey
 from ..functions.cleaning import present, quoted
 from .longform import aggregate_long
-from .quantiles import as_number, exact_quantiles
+from .quantiles import Summary, as_number, neighbours, order_statistics, summarise
 
 # A step turns the SQL text of a number into the SQL text of another number.
 Step = Callable[[str], str]
@@ -155,6 +156,16 @@ class FittedPrep:
             names += c.feature_names()
         return names
 
+    @property
+    def groups(self) -> list[tuple[int, int]]:
+        """First feature of every one-hot group, and the one behind its last."""
+        out, at = [], len(self.numeric)
+        for c in self.categorical:
+            if not c.is_binary:
+                out.append((at, at + len(c.categories)))
+            at += 1 if c.is_binary else len(c.categories)
+        return out
+
     def imputed(self, df: DataFrame) -> DataFrame:
         """Replace missing values by the medians and modes, leaving all else as it is."""
         made = {n.name: F.expr(replace(n, steps=()).prepared()) for n in self.numeric}
@@ -202,11 +213,6 @@ class FittedPrep:
         return self.pipeline(df).transform(df).select(*[quoted(c) for c in keep], self.features)
 
 
-def fit_medians(df: DataFrame, numbers: dict[str, Column], filled: dict[str, int]) -> dict[str, float]:
-    """Exact interpolated medians; a column without any value is left out."""
-    return {c: q[0] for c, q in exact_quantiles(df, numbers, [0.5], filled).items() if q is not None}
-
-
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(attribute, category, n)`` for all columns in one shuffle; missing values are not counted."""
     texts = {c: quoted(c).cast("string") for c in columns}
@@ -247,40 +253,71 @@ def fit_categories(df: DataFrame, columns: Sequence[str], encode: bool = True) -
     return tuple(fits)
 
 
-def _robust(df: DataFrame, fits: Sequence[NumericFit], rows: int) -> dict[str, tuple[float, float]]:
-    if not fits:
-        return {}
-    prepared: dict[str, Column] = {n.name: F.expr(n.prepared()) for n in fits}
-    result = {}
-    # Imputed columns have a value in every row.
-    for name, (low, middle, high) in exact_quantiles(df, prepared, QUARTILES, dict.fromkeys(prepared, rows)).items():
-        result[name] = (middle, (high - low) or 1.0)
-    return result
+def _between(values: Sequence[float], part: float) -> float:
+    low, high = values
+    return low + (high - low) * part
 
 
-def _standard(df: DataFrame, fits: Sequence[NumericFit]) -> dict[str, tuple[float, float]]:
-    if not fits:
-        return {}
-    measures = []
-    for i, n in enumerate(fits):
-        value = F.expr(n.prepared())
-        measures += [F.avg(value).alias(f"m{i}"), F.stddev_pop(value).alias(f"s{i}")]
-    row = df.agg(*measures).first()
-    return {n.name: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, n in enumerate(fits)}
+def _filled_ranks(q: float, summary: Summary) -> list[tuple[int, int]]:
+    """For both neighbours of a quantile of the imputed column: the ranks, among the values, of what can stand there.
+
+    The missing ones form a run of equal values somewhere in the order.  At rank r stands the value of rank r if that run lies
+    above, that of rank r less the run if it lies below, and the median inside the run.
+    """
+    missing = summary.rows - summary.filled
+    low, high, _ = neighbours(q, summary.rows)
+    return [(r - missing, r) for r in (low, high)]
+
+
+def _after_steps(spark: SparkSession, steps: Sequence[Step], values: Sequence[float]) -> list[float]:
+    """The steps applied to some numbers, by the same engine that applies them to the rows."""
+    texts = []
+    for value in values:
+        text = f"CAST('{value!r}' AS DOUBLE)"
+        for step in steps:
+            text = step(text)
+        texts.append(text)
+    return list(spark.sql(f"SELECT {', '.join(texts)}").first()) if texts else []
+
+
+def fit_numeric(df: DataFrame, spec: FeatureSpec) -> tuple[NumericFit, ...]:
+    """Medians and scales of all numeric columns from two scans.
+
+    Imputing puts equal values into the order, clip and log keep the order, so every order statistic of a prepared column is that of
+    one or two raw values.  ``spec.skew_steps`` must not decrease.
+    """
+    numbers = {c: as_number(quoted(c)) for c in spec.numeric}
+    summaries = {c: s for c, s in summarise(df, numbers).items() if s.filled}
+    ranks: dict[str, set[int]] = {c: set(neighbours(0.5, s.filled)[:2]) for c, s in summaries.items()}
+    for c in summaries:
+        if c in spec.skewed + spec.robust:
+            wanted = {r for q in QUARTILES for pair in _filled_ranks(q, summaries[c]) for r in pair}
+            ranks[c] |= {r for r in wanted if 0 <= r < summaries[c].filled}
+    found = order_statistics(df, numbers, summaries, ranks)
+    fits = []
+    for c in spec.numeric:
+        if c not in summaries:
+            continue
+        summary, at = summaries[c], found[c]
+        low, high, part = neighbours(0.5, summary.filled)
+        fit = NumericFit(c, _between((at[low], at[high]), part), spec.skew_steps if c in spec.skewed else ())
+        if c in spec.skewed + spec.robust:
+            ends = []
+            for q in QUARTILES:
+                for below, above in _filled_ranks(q, summary):
+                    ends.append(min(max(fit.median, at.get(below, -math.inf)), at.get(above, math.inf)))
+            ends = _after_steps(df.sparkSession, fit.steps, ends) if fit.steps else ends
+            first, middle, third = (_between(ends[2 * i : 2 * i + 2], neighbours(q, summary.rows)[2]) for i, q in enumerate(QUARTILES))
+            fit = replace(fit, center=middle, scale=(third - first) or 1.0)
+        elif c in spec.standard:
+            missing = summary.rows - summary.filled
+            gap = fit.median - summary.mean
+            spread = summary.deviation**2 * summary.filled + gap * gap * summary.filled * missing / summary.rows
+            fit = replace(fit, center=summary.mean + gap * missing / summary.rows, scale=math.sqrt(spread / summary.rows) or 1.0)
+        fits.append(fit)
+    return tuple(fits)
 
 
 def fit_prep(df: DataFrame, spec: FeatureSpec, features: str = "features", encode: bool = True) -> FittedPrep:
     """Fit medians, scales and (with ``encode``) vocabularies on ``df`` (the training rows).  NaN is missing."""
-    numbers = {c: as_number(quoted(c)) for c in spec.numeric}
-    counts = [F.count("*").alias("rows"), *[F.count(n).alias(f"n{i}") for i, n in enumerate(numbers.values())]]
-    row = df.agg(*counts).first() if numbers else {"rows": 0}
-    medians = fit_medians(df, numbers, {c: row[f"n{i}"] for i, c in enumerate(numbers)})
-    numeric = [
-        NumericFit(c, medians[c], spec.skew_steps if c in spec.skewed else ()) for c in spec.numeric if c in medians
-    ]
-    scales = _robust(df, [n for n in numeric if n.name in spec.skewed + spec.robust], row["rows"])
-    scales.update(_standard(df, [n for n in numeric if n.name in spec.standard]))
-    scaled = tuple(
-        replace(n, center=scales[n.name][0], scale=scales[n.name][1]) if n.name in scales else n for n in numeric
-    )
-    return FittedPrep(scaled, fit_categories(df, spec.categorical, encode), features)
+    return FittedPrep(fit_numeric(df, spec), fit_categories(df, spec.categorical, encode), features)
