@@ -139,8 +139,8 @@ def test_model_choice():
     assert models.choose("rf,none,sgd") == ["rf", "sgd"]
     with pytest.raises(ValueError):
         models.choose("none")
-    assert {key: models.BOOSTED[key]["maxIter"] for key in models.BOOSTED} == {"xgb": 500, "lgbm": 700, "cat": 800}
-    assert models.build("xgb", rounds=4).getMaxIter() == 4
+    assert {key: (g.rounds, g.shape) for key, g in models.BOOSTED.items()} == {"xgb": (500, "levels"), "lgbm": (700, "leaves"), "cat": (800, "symmetric")}
+    assert models.build("xgb", rounds=4).growth.rounds == 4 and models.build("xgb").growth == models.BOOSTED["xgb"]
     assert models.build("rf").getNumTrees() == 300
 
 

@@ -50,14 +50,14 @@ def train_and_evaluate(
 ) -> Evaluation:
     """Train on balanced weights, evaluate on the original ones.  ``rows`` is read several times."""
     chosen = M.choose(models)
-    columns = M.Columns(label=label, weight=weight)
+    columns = M.Columns(label=label, weight=weight, row=row_id)
     marked = fit_split(rows, row_id, label, test_size, seed).mark(rows)
     train, valid = marked.where("split = 'train'"), marked.where("split = 'valid'")
     prep = fit_prep(train, spec, columns.features)
     pipeline = prep.pipeline(rows)
     factor = class_weights(train, label, weight).first()["pos_factor"]
     train_vectors = pipeline.transform(with_balanced_weight(train, label, weight, columns.train_weight, factor))
-    fitted = M.fit_all(train_vectors, chosen, columns, seed, rounds)
+    fitted = M.fit_all(train_vectors, chosen, columns, seed, rounds, prep.groups)
 
     valid_vectors = pipeline.transform(valid)
     # Scored once, read by the curves, the reports and the threshold search.
