@@ -8,10 +8,11 @@ import sys
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from weighted_insights.operators import centres as Z
+from weighted_insights.operators import lloyd
 from weighted_insights.operators.lloyd import best_per_k, fit_trials
 from weighted_insights.plans import clustering as C
 
@@ -108,7 +109,8 @@ def test_sweep_runs_from_any_folder(tmp_path):
     code = """
 import sys
 sys.path.insert(0, sys.argv[1])
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from weighted_insights.operators import lloyd
 from weighted_insights.operators.lloyd import fit_trials
 from weighted_insights.session import local_session
 spark = local_session(2)
@@ -119,3 +121,78 @@ print(len(fit_trials(rows, [2], restarts=1)[0].centres))
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     made = subprocess.run([sys.executable, "-c", code, repository], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert made.stdout.split()[-1:] == ["2"], made.stderr[-2000:]
+
+
+def vectors(spark, points, parts=3):
+    rows = spark.createDataFrame([(i, [float(v) for v in p], 1.0) for i, p in enumerate(points)], "id long, v array<double>, w double")
+    return rows.repartition(parts).select("id", array_to_vector("v").alias("features"), "w")
+
+
+def test_a_centre_without_rows_moves_to_the_farthest_one(spark):
+    """Plain iterations from these centres keep the third one empty for good."""
+    points = [[0.0], [1.0], [2.0], [20.0], [21.0], [50.0], [50.0]]
+    rows = vectors(spark, points)
+    prepared = _prepared(rows)
+    trial = lloyd.Trial(3, 0, np.array([[1.0], [30.0], [1000.0]]))
+    plain = trial.centres.copy()
+    for _ in range(10):
+        near = ((np.array(points)[:, None, :] - plain) ** 2).sum(2).argmin(1)
+        plain = np.array([np.array(points)[near == j].mean(0) if (near == j).any() else plain[j] for j in range(3)])
+    assert plain[2] == 1000.0
+    for _ in range(10):
+        trial.centres = lloyd._moved(prepared, [trial])[0]
+    assert sorted(trial.centres.ravel().tolist()) == [1.0, 20.5, 50.0]
+
+
+def test_several_empty_centres_take_different_rows(spark):
+    points = [[0.0]] * 5 + [[7.0]] * 20 + [[9.0]] * 20
+    trial = lloyd.Trial(3, 0, np.array([[0.0], [100.0], [200.0]]))
+    prepared = _prepared(vectors(spark, points, 5))
+    moved = lloyd._moved(prepared, [trial])[0]
+    assert sorted(moved[1:].ravel().tolist()) == [7.0, 9.0]
+
+
+def _prepared(rows):
+    v = vector_to_array("features")
+    entries = F.filter(F.transform(v, lambda x, i: F.struct(i.alias("at"), x.alias("x"))), lambda e: e["x"] != 0)
+    return rows.select(entries.alias("e"), "w", F.xxhash64("id").alias("key")).select("e.at", "e.x", "w", "key")
+
+
+def test_greedy_draws_lower_the_cost(spark):
+    """Cost right after seeding: on average lower than that of single draws."""
+    random = np.random.default_rng(1)
+    points = np.vstack([random.normal(c, 0.3, (40, 2)) for c in random.uniform(-10, 10, (8, 2))])
+    prepared = _prepared(vectors(spark, points))
+
+    def seeded(candidates):
+        original, lloyd._candidates = lloyd._candidates, candidates
+        try:
+            trials = [lloyd.Trial(8, a, np.empty((0, 2))) for a in range(12)]
+            for step in range(8):
+                lloyd._draw_centres(prepared, trials, 3, step)
+        finally:
+            lloyd._candidates = original
+        return np.mean([((points[:, None, :] - t.centres) ** 2).sum(2).min(1).sum() for t in trials])
+
+    assert seeded(lloyd._candidates) < 0.9 * seeded(lambda k, step: 1)
+
+
+def test_hot_vector_draws_by_row(spark):
+    """A vector that a third of the rows hold is drawn with a third of the mass."""
+    points = [[0.0, 0.0]] * 500 + [[float(i), 1.0] for i in range(1000)]
+    prepared = _prepared(vectors(spark, points, 4))
+    trials = [lloyd.Trial(1, a, np.empty((0, 2))) for a in range(300)]
+    lloyd._draw_centres(prepared, trials, 1, 0)
+    share = np.mean([t.centres[0][1] == 0.0 for t in trials])
+    assert 0.22 < share < 0.45
+
+
+def test_model_has_the_best_centres(spark):
+    points = np.random.default_rng(2).normal(size=(300, 3))
+    rows = vectors(spark, points)
+    best = best_per_k(fit_trials(rows, [4], restarts=3, row_id="id"))[4]
+    model = C.as_model(spark, best)
+    assert sorted(map(tuple, np.array(model.clusterCenters()).tolist())) == sorted(map(tuple, best.centres.tolist()))
+    fit = C.fit_best(rows, 4, restarts=3, row_id="id")
+    assert fit.inertia == pytest.approx(best.inertia, rel=1e-9)
+    assert fit.model.transform(rows).groupBy("cluster").count().count() == 4

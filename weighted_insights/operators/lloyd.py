@@ -6,6 +6,9 @@ Spark partitions the rows and adds up the partial sums; inside a task the
 distances of a few thousand rows to all centres are one matrix product.  Vectors travel
 as their non-zero entries.  Random draws depend on the row, not on where it lies.  The
 driver holds the centres only.
+
+Seeding is greedy k-means++: of several drawn rows the one that lowers the cost most becomes a centre.  A centre that no
+row chooses moves to the row that is farthest from its own.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -81,43 +84,145 @@ def _offsets(trials: Sequence[Trial]) -> np.ndarray:
     return np.cumsum([0] + [len(t.centres) for t in trials])
 
 
+def _candidates(k: int, step: int) -> int:
+    """Rows drawn for the next centre; the first one is drawn alone."""
+    return 2 + int(np.log(k)) if step else 1
+
+
 def _draw_centres(rows: DataFrame, trials: Sequence[Trial], seed: int, step: int) -> None:
-    """Give every trial one more centre: a row drawn with probability w * (squared distance to its centres).
+    """Give every trial one more centre: of several drawn rows, the one that leaves the lowest cost."""
+    drawn = _drawn(rows, trials, seed, step)
+    several = [i for i, found in drawn.items() if len(found) > 1]
+    costs = _costs(rows, {i: (trials[i].centres, drawn[i]) for i in several}) if several else {}
+    for i, found in drawn.items():
+        chosen = found[int(np.argmin(costs[i])) if i in costs else 0]
+        trials[i].centres = np.vstack([trials[i].centres, chosen[None, :]])
+
 
-    The draw is the row of smallest ``exponential / mass``, which can be found per
-    task and then among the tasks' winners; with no centre yet the mass is w.
+def _drawn(rows: DataFrame, trials: Sequence[Trial], seed: int, step: int) -> dict[int, np.ndarray]:
+    """Rows drawn with probability w * (squared distance to the trial's centres), some per trial.
+
+    A draw is the row of smallest ``exponential / mass``, which can be found per task and then among the tasks'
+    winners; with no centre yet the mass is w.
     """
     spark = rows.sparkSession
     width = trials[0].centres.shape[1]
     shared = spark.sparkContext.broadcast([t.centres for t in trials])
-    salts = [_salt(seed, step, t.k, t.attempt) for t in trials]
+    salts = [[_salt(seed, step, t.k, t.attempt, c) for c in range(_candidates(t.k, step))] for t in trials]
 
     def winners(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = shared.value
-        best = [(np.inf, None)] * len(centres)
+        best = {(i, c): (np.inf, None) for i, found in enumerate(salts) for c in range(len(found))}
         for x, w, keys in _batches(parts, width):
             for i, chosen in enumerate(centres):
                 mass = w * _squared_distances(x, chosen).min(1) if len(chosen) else w
-                with np.errstate(divide="ignore"):
-                    key = np.where(mass > 0, _exponential(keys, salts[i]) / mass, np.inf)
-                at = int(key.argmin())
-                if key[at] < best[i][0]:
-                    best[i] = (float(key[at]), x[at].copy())
-        found = [(i, key, v) for i, (key, v) in enumerate(best) if v is not None]
+                for c, salt in enumerate(salts[i]):
+                    with np.errstate(divide="ignore"):
+                        key = np.where(mass > 0, _exponential(keys, salt) / mass, np.inf)
+                    at = int(key.argmin())
+                    if key[at] < best[i, c][0]:
+                        best[i, c] = (float(key[at]), x[at].copy())
+        found = [(i, c, key, v) for (i, c), (key, v) in best.items() if v is not None]
+        trial, draw, keys, vectors = zip(*found) if found else ((),) * 4
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([i for i, _, _ in found], pa.int32()),
-                pa.array([key for _, key, _ in found], pa.float64()),
-                pa.array([v for _, _, v in found], pa.list_(pa.float64())),
-            ],
-            ["trial", "key", "v"],
+            [pa.array(trial, pa.int32()), pa.array(draw, pa.int32()), pa.array(keys, pa.float64()), pa.array(vectors, pa.list_(pa.float64()))],
+            ["trial", "draw", "key", "v"],
         )
 
-    drawn = rows.mapInArrow(winners, "trial int, key double, v array<double>")
-    for r in drawn.groupBy("trial").agg(F.min_by("v", "key").alias("v")).collect():
-        trial = trials[r["trial"]]
-        trial.centres = np.vstack([trial.centres, np.array(r["v"])[None, :]])
+    drawn = rows.mapInArrow(winners, "trial int, draw int, key double, v array<double>")
+    found = drawn.groupBy("trial", "draw").agg(F.min_by("v", "key").alias("v")).collect()
     shared.unpersist()
+    out: dict[int, list] = {}
+    for r in sorted(found, key=lambda r: (r["trial"], r["draw"])):
+        out.setdefault(r["trial"], []).append(r["v"])
+    return {i: np.array(vectors) for i, vectors in out.items()}
+
+
+def _costs(rows: DataFrame, offers: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, np.ndarray]:
+    """Per trial, the weighted cost with each of its candidates (second) added to its centres (first)."""
+    width = next(iter(offers.values()))[0].shape[1]
+    shared = rows.sparkSession.sparkContext.broadcast(offers)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        costs = {i: np.zeros(len(drawn)) for i, (_, drawn) in shared.value.items()}
+        for x, w, _ in _batches(parts, width):
+            for i, (centres, drawn) in shared.value.items():
+                now = _squared_distances(x, centres).min(1)[:, None]
+                costs[i] += w @ np.minimum(_squared_distances(x, drawn), now)
+        flat = [(i, c, cost) for i, found in costs.items() for c, cost in enumerate(found.tolist())]
+        trial, draw, cost = zip(*flat)
+        yield pa.RecordBatch.from_arrays([pa.array(trial, pa.int32()), pa.array(draw, pa.int32()), pa.array(cost, pa.float64())], ["trial", "draw", "cost"])
+
+    added = rows.mapInArrow(run, "trial int, draw int, cost double").groupBy("trial", "draw").agg(F.sum("cost").alias("cost"))
+    out = {i: np.zeros(len(drawn)) for i, (_, drawn) in offers.items()}
+    for r in added.collect():
+        out[r["trial"]][r["draw"]] = r["cost"]
+    shared.unpersist()
+    return out
+
+
+def _farthest(rows: DataFrame, trials: Sequence[Trial], wanted: Sequence[int]) -> list[list[tuple[int, float, np.ndarray]]]:
+    """Per trial the ``wanted`` different rows that are farthest from their centre: ``(centre, weight, vector)``, farthest first.
+
+    Every task keeps as many as are wanted; so do the tasks together.
+    """
+    width = trials[0].centres.shape[1]
+    shared = rows.sparkSession.sparkContext.broadcast([t.centres for t in trials])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[tuple[float, int, float, bytes]]] = [[] for _ in wanted]
+        for x, w, _ in _batches(parts, width):
+            for i, centres in enumerate(shared.value):
+                distances = _squared_distances(x, centres)
+                nearest = distances.argmin(1)
+                far = distances[np.arange(len(x)), nearest]
+                least = held[i][-1][0] if len(held[i]) == wanted[i] else 0.0
+                # Equal rows count once, whatever their number.
+                some = np.flatnonzero(far > least)
+                some = some[np.argsort(-far[some], kind="stable")]
+                fresh: dict[bytes, tuple[float, int, float, bytes]] = {}
+                for at in some.tolist():
+                    fresh.setdefault(x[at].tobytes(), (float(far[at]), int(nearest[at]), float(w[at]), x[at].tobytes()))
+                    if len(fresh) == wanted[i]:
+                        break
+                known = {h[3] for h in held[i]}
+                held[i] = sorted(held[i] + [f for v, f in fresh.items() if v not in known], key=lambda h: (-h[0], h[3]))[: wanted[i]]
+        flat = [(i, *h) for i, found in enumerate(held) for h in found]
+        trial, far, nearest, weight, vector = zip(*flat) if flat else ((),) * 5
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(trial, pa.int32()), pa.array(far, pa.float64()), pa.array(nearest, pa.int32()), pa.array(weight, pa.float64()), pa.array(vector, pa.binary())],
+            ["trial", "far", "nearest", "w", "v"],
+        )
+
+    found = rows.mapInArrow(run, "trial int, far double, nearest int, w double, v binary").groupBy("trial", "v").agg(F.max(F.struct("far", "nearest", "w")).alias("of"))
+    place = F.row_number().over(Window.partitionBy("trial").orderBy(F.col("of.far").desc(), "v"))
+    found = found.withColumn("place", place).where(F.col("place") <= max(wanted)).collect()
+    shared.unpersist()
+    out: list[list[tuple[int, float, np.ndarray]]] = [[] for _ in wanted]
+    for r in sorted(found, key=lambda r: (r["trial"], r["place"])):
+        if len(out[r["trial"]]) < wanted[r["trial"]]:
+            out[r["trial"]].append((r["of"]["nearest"], r["of"]["w"], np.frombuffer(r["v"])))
+    return out
+
+
+def _moved(rows: DataFrame, trials: Sequence[Trial]) -> list[np.ndarray]:
+    """The centres of every trial after one step: means of their rows, and far rows for those that have none."""
+    found, offsets = _assign_and_sum(rows, trials), _offsets(trials)
+    new, empty = [], []
+    for trial, low in zip(trials, offsets):
+        new.append(np.array([found[low + j][2] if low + j in found else c for j, c in enumerate(trial.centres)]))
+        empty.append([j for j in range(len(trial.centres)) if low + j not in found])
+    short = [i for i, places in enumerate(empty) if places]
+    if short:
+        for i, far in zip(short, _farthest(rows, [trials[i] for i in short], [len(empty[i]) for i in short])):
+            for j, (source, w, vector) in zip(empty[i], far):
+                # The row leaves the centre that it was with, unless it is all that this one has.
+                whole = found[offsets[i] + source][0]
+                if whole - w > 1e-12 * whole:
+                    new[i][source] = (new[i][source] * whole - w * vector) / (whole - w)
+                    found[offsets[i] + source] = (whole - w, *found[offsets[i] + source][1:])
+                new[i][j] = vector
+    return new
 
 
 def _assign_and_sum(rows: DataFrame, trials: Sequence[Trial]) -> dict[int, tuple[float, float, np.ndarray]]:
@@ -187,7 +292,7 @@ def fit_trials(
     tol: float = 1e-4,
     row_id: str | None = None,
 ) -> list[Trial]:
-    """Every restart of every k, seeded like k-means++ and iterated until the centres stop (see ``still_shift``).
+    """Every restart of every k, seeded by greedy k-means++ and iterated until the centres stop (see ``still_shift``).
 
     Draws are keyed by ``row_id``; without one by the vector itself, so that equal rows share a draw.
     """
@@ -207,11 +312,8 @@ def fit_trials(
     for _ in range(max_iter):
         if not moving:
             break
-        found, offsets = _assign_and_sum(rows, moving), _offsets(moving)
         still = []
-        for trial, low in zip(moving, offsets):
-            # A centre that no row chose stays where it is.
-            new = np.array([found[low + j][2] if low + j in found else c for j, c in enumerate(trial.centres)])
+        for trial, new in zip(moving, _moved(rows, moving)):
             shift = ((new - trial.centres) ** 2).sum()
             trial.centres = new
             if shift > still_moving:

@@ -2,25 +2,21 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from ..operators.centres import suggest_k
-from ..operators.lloyd import best_per_k, fit_trials, still_shift
+from ..operators.lloyd import Trial, best_per_k, fit_trials
 
 DEFAULT_K = 6
 K_MIN, K_MAX = 3, 9
 RESTARTS = 10
 SEED = 42
-# Rows per part of the frame that MLlib's fits read.
-PART_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -30,26 +26,15 @@ class Fit:
     inertia: float
 
 
-def _fit_once(rows: DataFrame, k: int, seed: int, weight: str, features: str, max_iter: int, tol: float) -> Fit:
-    learner = KMeans(
-        k=k, seed=seed, featuresCol=features, predictionCol="cluster", weightCol=weight, maxIter=max_iter, tol=tol
-    )
-    model = learner.fit(rows)
-    return Fit(k, model, model.summary.trainingCost)
+def as_model(spark: SparkSession, trial: Trial, features: str = "features", seed: int = SEED) -> KMeansModel:
+    """A stock model with the trial's centres, which saves, loads and assigns like any other.
 
-
-def _cached(rows: DataFrame) -> DataFrame:
-    """Keep the vectors in memory and on disk, dealt and ordered by their content.
-
-    MLlib draws by part and position, so the same rows must lie the same way, however they came and whatever cluster
-    reads them.  Only the number of rows decides the number of parts.
+    The learner is given the centres as its rows and starts from all of them, so there is nothing left to move.
     """
-    held = rows.select("*", F.xxhash64(*rows.columns).alias("_key")).persist()
-    parts = 1 + held.count() // PART_ROWS
-    spread = held.repartition(parts, "_key").sortWithinPartitions("_key").drop("_key").persist()
-    spread.count()
-    held.unpersist()
-    return spread
+    places = [(Vectors.dense(c.tolist()),) for c in trial.centres]
+    rows = spark.createDataFrame(places, StructType([StructField(features, VectorUDT())])).coalesce(1)
+    learner = KMeans(k=max(2, len(places)), seed=seed, initMode="random", maxIter=1, featuresCol=features, predictionCol="cluster")
+    return learner.fit(rows)
 
 
 def fit_best(
@@ -61,26 +46,11 @@ def fit_best(
     seed: int = SEED,
     max_iter: int = 300,
     tol: float = 1e-4,
-    parallelism: int = 8,
+    row_id: str | None = None,
 ) -> Fit:
-    """The restart of lowest weighted inertia, as an MLlib model that saves and loads.
-
-    All fits read one cached frame of vectors; ``parallelism`` fits run at a time,
-    so that the small jobs of one fill the gaps of another.
-    """
-    cached = _cached(rows.select(features, weight))
-    # MLlib bounds the move of each centre; k such moves add up to the bound on all of them.
-    each_move = math.sqrt(still_shift(cached, features, tol) / k)
-
-    @inheritable_thread_target(rows.sparkSession)
-    def run(attempt: int) -> Fit:
-        return _fit_once(cached, k, seed + attempt, weight, features, max_iter, each_move)
-
-    try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            return min(pool.map(run, range(restarts)), key=lambda fit: fit.inertia)
-    finally:
-        cached.unpersist()
+    """The restart of lowest weighted inertia; all restarts advance in the same scans."""
+    best = best_per_k(fit_trials(rows, [k], restarts, weight, features, seed, max_iter, tol, row_id))[k]
+    return Fit(k, as_model(rows.sparkSession, best, features, seed), float(best.inertia))
 
 
 def sweep(
@@ -93,9 +63,11 @@ def sweep(
     row_id: str | None = None,
 ) -> DataFrame:
     """``(k, inertia)``: the lowest weighted inertia over the restarts of every k."""
-    best = best_per_k(fit_trials(rows, ks, restarts, weight, features, seed, row_id=row_id))
-    points = [(k, float(best[k].inertia)) for k in ks]
-    return rows.sparkSession.createDataFrame(points, "k int, inertia double")
+    return _elbow(rows.sparkSession, best_per_k(fit_trials(rows, ks, restarts, weight, features, seed, row_id=row_id)), ks)
+
+
+def _elbow(spark: SparkSession, best: dict[int, Trial], ks: Sequence[int]) -> DataFrame:
+    return spark.createDataFrame([(k, float(best[k].inertia)) for k in ks], "k int, inertia double")
 
 
 @dataclass(frozen=True)
@@ -117,11 +89,16 @@ def segment(
     restarts: int = RESTARTS,
     seed: int = SEED,
     rule: str = "min_second_diff",
+    row_id: str | None = None,
 ) -> Segmentation:
-    """A positive ``k`` is used as it is; otherwise the sweep runs and suggests, but ``default_k`` is used."""
-    options = {"weight": weight, "features": features, "restarts": restarts, "seed": seed}
+    """A positive ``k`` is used as it is; otherwise the sweep runs and suggests, but ``default_k`` is used.
+
+    The sweep's own fit of ``default_k`` is the one that is kept.  Rows are told apart by ``row_id`` in the draws.
+    """
     if k > 0:
-        return Segmentation(fit_best(rows, k, **options).model, k, None, None)
-    elbow = sweep(rows, range(k_min, k_max + 1), **options)
+        return Segmentation(fit_best(rows, k, weight, features, restarts, seed, row_id=row_id).model, k, None, None)
+    ks = range(k_min, k_max + 1)
+    best = best_per_k(fit_trials(rows, sorted({*ks, default_k}), restarts, weight, features, seed, row_id=row_id))
+    elbow = _elbow(rows.sparkSession, best, ks)
     suggested = suggest_k(elbow, rule).first()["suggested_k"]
-    return Segmentation(fit_best(rows, default_k, **options).model, default_k, elbow, suggested)
+    return Segmentation(as_model(rows.sparkSession, best[default_k], features, seed), default_k, elbow, suggested)

@@ -51,14 +51,18 @@ def cluster_and_profile(
     k_max: int = C.K_MAX,
     restarts: int = C.RESTARTS,
     seed: int = C.SEED,
+    row_id: str = "row_id",
 ) -> Segments:
-    """Cluster the prepared rows and profile the clusters.  ``rows`` is read several times."""
+    """Cluster the prepared rows and profile the clusters.  ``rows`` is read several times.
+
+    Draws tell rows apart by ``row_id``; without such a column equal rows are drawn as one.
+    """
     prep = fit_prep(rows, spec)
     pipeline = prep.pipeline(rows)
     vectors = pipeline.transform(rows)
     # The fits' own tables are needed no longer than the fits.
     with scratch():
-        found = C.segment(vectors, k, k_min, k_max, weight=weight, restarts=restarts, seed=seed)
+        found = C.segment(vectors, k, k_min, k_max, weight=weight, restarts=restarts, seed=seed, row_id=row_id if row_id in rows.columns else None)
     model = PipelineModel([*pipeline.stages, found.model])
     kept = [quoted(c) for c in rows.columns]
     assigned = settle(model.transform(rows).select(*kept, F.col("cluster").alias("segment")), "assigned")
