@@ -145,6 +145,7 @@ def test_partitions_do_not_matter(spark, growth, monkeypatch):
 
     monkeypatch.setattr(B, "RENEW", 2)
     monkeypatch.setattr(B, "CUT", 1)
+    monkeypatch.setattr(B, "TOGETHER", 3)
     x, y, w = sample(600, 1)
     x[:, 0] = np.random.default_rng(2).normal(size=600)
     growth = replace(growth, rounds=5, rows=0.8, columns=0.6, bins=32)

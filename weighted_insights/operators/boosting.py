@@ -6,7 +6,8 @@ sums of all tasks choose the splits.  The larger child of a split is its parent
 
 Gradients are rounded to whole multiples of a power of two that keeps every sum below 2 ** 53, so sums do not depend on their
 order; rows are drawn by a hash of their key, borders come from exact counts.  The same rows give the same trees however
-they are dealt to partitions.
+they are dealt to partitions.  A scan is a job over all partitions; a table that fills only one (``PART_ROWS`` rows) grows its trees
+inside that one's task by the same code, as a job per scan would be nothing but waiting.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,10 @@ from ..storage import settle, shared_folder
 BLOCK_ROWS = 1 << 16
 PART_ROWS = 1 << 18
 #: Trees after which the blocks' margins are renewed, and renewals after which the lineage is cut.
-RENEW = 10
-CUT = 5
+RENEW = 8
+CUT = 8
+#: Rounds that a table of one partition grows in one job.
+TOGETHER = 50
 
 
 @dataclass(frozen=True)
@@ -247,36 +250,35 @@ class Tree:
         self.left[node], self.right[node] = self.add(), self.add()
         return self.left[node], self.right[node]
 
-    def _reach(self, n: int, right: Callable[[int, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
-        leaf = np.zeros(n, np.int64)
+    def _reach(self, n: int, value: Callable[[np.ndarray, np.ndarray], np.ndarray], cut: np.ndarray, equals: np.ndarray) -> np.ndarray:
+        """The leaf of each of ``n`` rows; ``value`` gives what the rows hold where their tests look."""
+        leaf, rows = np.zeros(n, np.int64), np.arange(n)
         if self.symmetric:
-            everything = np.arange(n)
-            for d in range(len(self.column)):
-                leaf |= right(d, everything, leaf).astype(np.int64) << d
+            for d in range(len(self.column) or len(self.feature)):
+                test = np.full(n, d)
+                leaf |= self._right(value(test, rows), cut[test], equals[test]).astype(np.int64) << d
             return leaf
-        pending = [(0, np.arange(n))]
-        while pending:
-            node, rows = pending.pop()
-            if self.left[node] < 0:
-                leaf[rows] = node
-                continue
-            goes = right(node, rows, leaf)
-            pending += [(self.left[node], rows[~goes]), (self.right[node], rows[goes])]
+        left, right = np.array(self.left), np.array(self.right)
+        # All rows go down one level at a time, until none is left at a test.
+        while len(rows := rows[left[leaf[rows]] >= 0]):
+            node = leaf[rows]
+            leaf[rows] = np.where(self._right(value(node, rows), cut[node], equals[node]), right[node], left[node])
         return leaf
 
+    @staticmethod
+    def _right(values: np.ndarray, cut: np.ndarray, equals: np.ndarray) -> np.ndarray:
+        return np.where(equals, values == cut, values > cut)
+
     def leaves(self, codes: np.ndarray) -> np.ndarray:
         """The leaf of every row of a block."""
-
-        def right(test: int, rows: np.ndarray, _) -> np.ndarray:
-            values = codes[self.column[test]][rows]
-            return values == self.cut[test] if self.equals[test] else values > self.cut[test]
-
-        return self._reach(codes.shape[1], right)
+        column = np.array(self.column, np.int64)
+        return self._reach(codes.shape[1], lambda test, rows: codes[column[test], rows], np.array(self.cut), np.array(self.equals, bool))
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """The value of every feature vector (features x rows)."""
-        found = self._reach(x.shape[1], lambda test, rows, _: x[self.feature[test]][rows] > self.threshold[test])
-        return np.array(self.value)[found]
+        feature = np.array(self.feature, np.int64)
+        above = np.zeros(len(feature), bool)
+        return np.array(self.value)[self._reach(x.shape[1], lambda test, rows: x[feature[test], rows], np.array(self.threshold), above)]
 
 
 # Histograms -------------------------------------------------------------------------------------
@@ -511,6 +513,46 @@ def symmetric(scan: Scan, choice: Choice) -> Tree:
 SHAPES = {"levels": by_levels, "leaves": by_leaves, "symmetric": symmetric}
 
 
+@dataclass
+class Grower:
+    """Grows the tree of any round by scans; draws depend on seed and round only."""
+
+    layout: Layout
+    growth: Growth
+    scale: float
+    seed: int
+
+    def grow(self, nth: int, scan: Callable[[Request], np.ndarray]) -> Tree:
+        random = np.random.Generator(np.random.PCG64((self.seed, nth)))
+        choice = Choice(self.layout, self.growth, self.scale)
+        choice.draw(random)
+        draw = int(random.integers(1 << 63))
+
+        def sums(tree: Tree, nodes: list[int]) -> np.ndarray:
+            slots = np.full(1 << len(tree.column) if tree.symmetric else len(tree.column), -1)
+            slots[nodes] = np.arange(len(nodes))
+            return scan(Request(self.layout.sizes, (), tree, slots, len(nodes), self.scale, draw, self.growth.rows))
+
+        return SHAPES[self.growth.shape](sums, choice)
+
+
+@dataclass
+class Alone:
+    """Several rounds inside the task that holds all rows of a table of one partition: no job per scan, the same trees."""
+
+    grower: Grower
+    first: int
+    last: int
+
+    def __call__(self, blocks: Iterator[Block]) -> Iterator[Tree]:
+        held = list(blocks)
+        for nth in range(self.first, self.last):
+            tree = self.grower.grow(nth, lambda request: next(request(iter(held))))
+            yield tree
+            if len(tree.value) > 1:
+                held = [replace(block, margin=renewed(block, [tree])) for block in held]
+
+
 def boost(
     train: DataFrame,
     growth: Growth,
@@ -550,28 +592,29 @@ def boost(
     # Powers of two below the bound; the slack keeps the last bits of the sum from mattering.
     scale = 2.0 ** math.floor(52 - math.log2(whole * (1 + 1e-9)))
     blocks = encode(table.coalesce(parts), layout, start).persist(StorageLevel.MEMORY_AND_DISK)
-    choice, trees, recent = Choice(layout, growth, scale), [], []
-    random = np.random.Generator(np.random.PCG64(seed))
+    grower = Grower(layout, growth, scale, seed)
+    trees: list[Tree] = []
+    done, recent = 0, []
+    while done < growth.rounds:
+        if parts == 1:
+            last = min(done + TOGETHER, growth.rounds)
+            fresh = blocks.mapPartitions(Alone(grower, done, last)).collect()
+        else:
+            last = done + 1
 
-    for i in range(growth.rounds):
-        choice.draw(random)
-        draw = int(random.integers(1 << 63))
+            def scan(request: Request) -> np.ndarray:
+                return summed(blocks, replace(request, trees=tuple(recent)))  # noqa: B023
 
-        def scan(tree: Tree, nodes: list[int]) -> np.ndarray:
-            slots = np.full(1 << len(tree.column) if tree.symmetric else len(tree.column), -1)
-            slots[nodes] = np.arange(len(nodes))
-            return summed(blocks, Request(layout.sizes, tuple(recent), tree, slots, len(nodes), scale, draw, growth.rows))  # noqa: B023
-
-        tree = SHAPES[growth.shape](scan, choice)
-        if len(tree.value) < 2:
-            # Nothing left to learn for these columns; others may be drawn next.
-            if growth.columns >= 1 and growth.rows >= 1:
-                break
-            continue
-        trees.append(tree)
-        recent.append(tree)
-        if len(recent) == RENEW:
-            blocks, recent = _renew(blocks, tuple(recent), cut=(len(trees) // RENEW) % CUT == 0), []
+            fresh = [grower.grow(done, scan)]
+        kept = [tree for tree in fresh if len(tree.value) > 1]
+        if len(kept) < len(fresh) and growth.columns >= 1 and growth.rows >= 1:
+            # Nothing left to learn.  (With draws, other columns and rows may come next.)
+            trees += kept
+            break
+        trees, recent, done = trees + kept, recent + kept, last
+        if len(recent) >= RENEW and done < growth.rounds:
+            renewals = len(trees) // RENEW
+            blocks, recent = _renew(blocks, tuple(recent), cut=parts == 1 or renewals % CUT == 0), []
     blocks.unpersist()
     return start, trees
 
