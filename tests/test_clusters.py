@@ -8,7 +8,7 @@ import sys
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from weighted_insights.operators import centres as Z
@@ -109,7 +109,7 @@ def test_sweep_runs_from_any_folder(tmp_path):
     code = """
 import sys
 sys.path.insert(0, sys.argv[1])
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from weighted_insights.operators import lloyd
 from weighted_insights.operators.lloyd import fit_trials
 from weighted_insights.session import local_session
@@ -153,9 +153,7 @@ def test_several_empty_centres_take_different_rows(spark):
 
 
 def _prepared(rows):
-    v = vector_to_array("features")
-    entries = F.filter(F.transform(v, lambda x, i: F.struct(i.alias("at"), x.alias("x"))), lambda e: e["x"] != 0)
-    return rows.select(entries.alias("e"), "w", F.xxhash64("id").alias("key")).select("e.at", "e.x", "w", "key")
+    return lloyd.read_blocks(rows, "w", "features", "id", 0)
 
 
 def test_greedy_draws_lower_the_cost(spark):

@@ -13,23 +13,30 @@ row chooses moves to the row that is farthest from its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
-
 import hashlib
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark import RDD, StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
 from ..storage import settle
 
+T = TypeVar("T")
+
 #: Coordinates that a task holds at once.
 MOST_HELD = 2_000_000
+#: Rows that a part is made for, and the number of parts up to which a table is dealt out.
+PART_ROWS = 1 << 14
+MOST_PARTS = 512
 
 
 @dataclass
@@ -42,17 +49,62 @@ class Trial:
     inertia: float = float("inf")
 
 
-def _batches(parts: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+@dataclass
+class Block:
+    """Some rows: the non-zero entries of their vectors end to end, weights and keys."""
+
+    counts: np.ndarray
+    at: np.ndarray
+    x: np.ndarray
+    w: np.ndarray
+    key: np.ndarray
+
+
+def read_blocks(vectors: DataFrame, weight: str, features: str, row_id: str | None, n: int) -> RDD:
+    """The rows with a weight as persisted blocks, made from a settled table, so that a lost one is read again."""
+    ship_package(vectors.sparkSession)
+    v = vector_to_array(features)
+    entries = F.filter(F.transform(v, lambda x, i: F.struct(i.alias("at"), x.alias("x"))), lambda e: e["x"] != 0)
+    rows = vectors.select(entries.alias("e"), F.col(weight).cast("double").alias("w"), F.xxhash64(row_id or v).alias("key"))
+    rows = _spread(rows.where("w > 0").select("e.at", "e.x", "w", "key"), n, row_id is not None)
+
+    def pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            places, numbers = part.column("at"), part.column("x")
+            arrays = (
+                np.diff(places.offsets.to_numpy()).astype(np.int32),
+                places.flatten().to_numpy().astype(np.int32),
+                numbers.flatten().to_numpy(),
+                part.column("w").to_numpy(),
+                part.column("key").to_numpy(),
+            )
+            yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], names)
+
+    names = ["counts", "at", "x", "w", "key"]
+    kinds = (np.int32, np.int32, np.float64, np.float64, np.int64)
+    packed = settle(rows.mapInArrow(pack, ", ".join(f"{name} binary" for name in names)), "vectors")
+    return packed.rdd.map(lambda row: Block(*(np.frombuffer(raw, kind) for raw, kind in zip(row, kinds)))).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _batches(blocks: Iterator[Block], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Vectors (one per row), weights and row keys of a bounded number of rows at a time."""
     step = max(1, MOST_HELD // max(width, 1))
-    for part in parts:
-        for start in range(0, part.num_rows, step):
-            some = part.slice(start, step)
-            places, numbers = some.column("at"), some.column("x")
-            counts = np.diff(places.offsets.to_numpy())
-            dense = np.zeros((some.num_rows, width))
-            dense[np.repeat(np.arange(some.num_rows), counts), places.flatten().to_numpy()] = numbers.flatten().to_numpy()
-            yield dense, some.column("w").to_numpy(), some.column("key").to_numpy()
+    for block in blocks:
+        ends = np.concatenate(([0], np.cumsum(block.counts, dtype=np.int64)))
+        for start in range(0, len(block.w), step):
+            stop = min(start + step, len(block.w))
+            inside = slice(ends[start], ends[stop])
+            dense = np.zeros((stop - start, width))
+            dense[np.repeat(np.arange(stop - start), block.counts[start:stop]), block.at[inside]] = block.x[inside]
+            yield dense, block.w[start:stop], block.key[start:stop]
+
+
+def _over(blocks: RDD, measure: Callable[[Iterator[Block]], T], merge: Callable[[T, T], T]) -> T:
+    """One value per partition, merged; by executors where there are many."""
+    parts = blocks.mapPartitions(lambda held: [measure(held)])
+    if blocks.getNumPartitions() > 16:
+        return parts.treeReduce(merge, 2 + (blocks.getNumPartitions() > 1000))
+    return reduce(merge, parts.collect())
 
 
 def _exponential(keys: np.ndarray, salt: int) -> np.ndarray:
@@ -68,12 +120,6 @@ def _salt(*parts: int) -> int:
     return int.from_bytes(hashlib.blake2b("|".join(map(str, parts)).encode(), digest_size=8).digest(), "little")
 
 
-def _lists(rows: np.ndarray) -> pa.ListArray:
-    """One list per row of a matrix."""
-    starts = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
-    return pa.ListArray.from_arrays(pa.array(starts), pa.array(rows.ravel(), pa.float64()))
-
-
 def _squared_distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distance of every row to every centre."""
     mixed = x @ centres.T
@@ -89,7 +135,7 @@ def _candidates(k: int, step: int) -> int:
     return 2 + int(np.log(k)) if step else 1
 
 
-def _draw_centres(rows: DataFrame, trials: Sequence[Trial], seed: int, step: int) -> None:
+def _draw_centres(rows: RDD, trials: Sequence[Trial], seed: int, step: int) -> None:
     """Give every trial one more centre: of several drawn rows, the one that leaves the lowest cost."""
     drawn = _drawn(rows, trials, seed, step)
     several = [i for i, found in drawn.items() if len(found) > 1]
@@ -99,113 +145,95 @@ def _draw_centres(rows: DataFrame, trials: Sequence[Trial], seed: int, step: int
         trials[i].centres = np.vstack([trials[i].centres, chosen[None, :]])
 
 
-def _drawn(rows: DataFrame, trials: Sequence[Trial], seed: int, step: int) -> dict[int, np.ndarray]:
+def _drawn(blocks: RDD, trials: Sequence[Trial], seed: int, step: int) -> dict[int, np.ndarray]:
     """Rows drawn with probability w * (squared distance to the trial's centres), some per trial.
 
     A draw is the row of smallest ``exponential / mass``, which can be found per task and then among the tasks'
     winners; with no centre yet the mass is w.
     """
-    spark = rows.sparkSession
     width = trials[0].centres.shape[1]
-    shared = spark.sparkContext.broadcast([t.centres for t in trials])
     salts = [[_salt(seed, step, t.k, t.attempt, c) for c in range(_candidates(t.k, step))] for t in trials]
+    places = [t.centres for t in trials]
 
-    def winners(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres = shared.value
-        best = {(i, c): (np.inf, None) for i, found in enumerate(salts) for c in range(len(found))}
-        for x, w, keys in _batches(parts, width):
-            for i, chosen in enumerate(centres):
+    def winners(held: Iterator[Block]) -> dict[tuple[int, int], tuple[float, np.ndarray]]:
+        best: dict[tuple[int, int], tuple[float, np.ndarray]] = {}
+        for x, w, keys in _batches(held, width):
+            for i, chosen in enumerate(places):
                 mass = w * _squared_distances(x, chosen).min(1) if len(chosen) else w
                 for c, salt in enumerate(salts[i]):
                     with np.errstate(divide="ignore"):
                         key = np.where(mass > 0, _exponential(keys, salt) / mass, np.inf)
                     at = int(key.argmin())
-                    if key[at] < best[i, c][0]:
+                    if key[at] < best.get((i, c), (np.inf,))[0]:
                         best[i, c] = (float(key[at]), x[at].copy())
-        found = [(i, c, key, v) for (i, c), (key, v) in best.items() if v is not None]
-        trial, draw, keys, vectors = zip(*found) if found else ((),) * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(trial, pa.int32()), pa.array(draw, pa.int32()), pa.array(keys, pa.float64()), pa.array(vectors, pa.list_(pa.float64()))],
-            ["trial", "draw", "key", "v"],
-        )
-
-    drawn = rows.mapInArrow(winners, "trial int, draw int, key double, v array<double>")
-    found = drawn.groupBy("trial", "draw").agg(F.min_by("v", "key").alias("v")).collect()
-    shared.unpersist()
+        return best
+
+    def merge(one: dict, two: dict) -> dict:
+        return one | {draw: found for draw, found in two.items() if draw not in one or found[0] < one[draw][0]}
+
     out: dict[int, list] = {}
-    for r in sorted(found, key=lambda r: (r["trial"], r["draw"])):
-        out.setdefault(r["trial"], []).append(r["v"])
+    for (i, _), (_, vector) in sorted(_over(blocks, winners, merge).items(), key=lambda found: found[0]):
+        out.setdefault(i, []).append(vector)
     return {i: np.array(vectors) for i, vectors in out.items()}
 
 
-def _costs(rows: DataFrame, offers: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, np.ndarray]:
+def _costs(blocks: RDD, offers: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, np.ndarray]:
     """Per trial, the weighted cost with each of its candidates (second) added to its centres (first)."""
     width = next(iter(offers.values()))[0].shape[1]
-    shared = rows.sparkSession.sparkContext.broadcast(offers)
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        costs = {i: np.zeros(len(drawn)) for i, (_, drawn) in shared.value.items()}
-        for x, w, _ in _batches(parts, width):
-            for i, (centres, drawn) in shared.value.items():
+    def run(held: Iterator[Block]) -> dict[int, np.ndarray]:
+        costs = {i: np.zeros(len(drawn)) for i, (_, drawn) in offers.items()}
+        for x, w, _ in _batches(held, width):
+            for i, (centres, drawn) in offers.items():
                 now = _squared_distances(x, centres).min(1)[:, None]
                 costs[i] += w @ np.minimum(_squared_distances(x, drawn), now)
-        flat = [(i, c, cost) for i, found in costs.items() for c, cost in enumerate(found.tolist())]
-        trial, draw, cost = zip(*flat)
-        yield pa.RecordBatch.from_arrays([pa.array(trial, pa.int32()), pa.array(draw, pa.int32()), pa.array(cost, pa.float64())], ["trial", "draw", "cost"])
+        return costs
+
+    return _over(blocks, run, lambda one, two: {i: one[i] + two[i] for i in one})
 
-    added = rows.mapInArrow(run, "trial int, draw int, cost double").groupBy("trial", "draw").agg(F.sum("cost").alias("cost"))
-    out = {i: np.zeros(len(drawn)) for i, (_, drawn) in offers.items()}
-    for r in added.collect():
-        out[r["trial"]][r["draw"]] = r["cost"]
-    shared.unpersist()
-    return out
 
+Far = tuple[float, bytes, int, float]  # less its distance, vector, centre, weight
 
-def _farthest(rows: DataFrame, trials: Sequence[Trial], wanted: Sequence[int]) -> list[list[tuple[int, float, np.ndarray]]]:
+
+def _farthest(blocks: RDD, trials: Sequence[Trial], wanted: Sequence[int]) -> list[list[tuple[int, float, np.ndarray]]]:
     """Per trial the ``wanted`` different rows that are farthest from their centre: ``(centre, weight, vector)``, farthest first.
 
     Every task keeps as many as are wanted; so do the tasks together.
     """
-    width = trials[0].centres.shape[1]
-    shared = rows.sparkSession.sparkContext.broadcast([t.centres for t in trials])
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[tuple[float, int, float, bytes]]] = [[] for _ in wanted]
-        for x, w, _ in _batches(parts, width):
-            for i, centres in enumerate(shared.value):
+    width, places = trials[0].centres.shape[1], [t.centres for t in trials]
+
+    def kept(rows: Iterable[Far], n: int) -> list[Far]:
+        # Equal rows count once, whatever their number.
+        different: dict[bytes, Far] = {}
+        for row in sorted(rows):
+            different.setdefault(row[1], row)
+            if len(different) == n:
+                break
+        return list(different.values())
+
+    def run(held: Iterator[Block]) -> list[list[Far]]:
+        out: list[list[Far]] = [[] for _ in wanted]
+        for x, w, _ in _batches(held, width):
+            for i, centres in enumerate(places):
                 distances = _squared_distances(x, centres)
                 nearest = distances.argmin(1)
                 far = distances[np.arange(len(x)), nearest]
-                least = held[i][-1][0] if len(held[i]) == wanted[i] else 0.0
-                # Equal rows count once, whatever their number.
+                least = -out[i][-1][0] if len(out[i]) == wanted[i] else 0.0
+                fresh: dict[bytes, Far] = {}
                 some = np.flatnonzero(far > least)
-                some = some[np.argsort(-far[some], kind="stable")]
-                fresh: dict[bytes, tuple[float, int, float, bytes]] = {}
-                for at in some.tolist():
-                    fresh.setdefault(x[at].tobytes(), (float(far[at]), int(nearest[at]), float(w[at]), x[at].tobytes()))
+                for at in some[np.argsort(-far[some], kind="stable")].tolist():
+                    vector = x[at].tobytes()
+                    fresh.setdefault(vector, (-float(far[at]), vector, int(nearest[at]), float(w[at])))
                     if len(fresh) == wanted[i]:
                         break
-                known = {h[3] for h in held[i]}
-                held[i] = sorted(held[i] + [f for v, f in fresh.items() if v not in known], key=lambda h: (-h[0], h[3]))[: wanted[i]]
-        flat = [(i, *h) for i, found in enumerate(held) for h in found]
-        trial, far, nearest, weight, vector = zip(*flat) if flat else ((),) * 5
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(trial, pa.int32()), pa.array(far, pa.float64()), pa.array(nearest, pa.int32()), pa.array(weight, pa.float64()), pa.array(vector, pa.binary())],
-            ["trial", "far", "nearest", "w", "v"],
-        )
-
-    found = rows.mapInArrow(run, "trial int, far double, nearest int, w double, v binary").groupBy("trial", "v").agg(F.max(F.struct("far", "nearest", "w")).alias("of"))
-    place = F.row_number().over(Window.partitionBy("trial").orderBy(F.col("of.far").desc(), "v"))
-    found = found.withColumn("place", place).where(F.col("place") <= max(wanted)).collect()
-    shared.unpersist()
-    out: list[list[tuple[int, float, np.ndarray]]] = [[] for _ in wanted]
-    for r in sorted(found, key=lambda r: (r["trial"], r["place"])):
-        if len(out[r["trial"]]) < wanted[r["trial"]]:
-            out[r["trial"]].append((r["of"]["nearest"], r["of"]["w"], np.frombuffer(r["v"])))
-    return out
-
-
-def _moved(rows: DataFrame, trials: Sequence[Trial]) -> list[np.ndarray]:
+                out[i] = kept([*out[i], *fresh.values()], wanted[i])
+        return out
+
+    found = _over(blocks, run, lambda one, two: [kept([*a, *b], n) for a, b, n in zip(one, two, wanted)])
+    return [[(centre, w, np.frombuffer(vector)) for _, vector, centre, w in rows] for rows in found]
+
+
+def _moved(rows: RDD, trials: Sequence[Trial]) -> list[np.ndarray]:
     """The centres of every trial after one step: means of their rows, and far rows for those that have none."""
     found, offsets = _assign_and_sum(rows, trials), _offsets(trials)
     new, empty = [], []
@@ -225,17 +253,14 @@ def _moved(rows: DataFrame, trials: Sequence[Trial]) -> list[np.ndarray]:
     return new
 
 
-def _assign_and_sum(rows: DataFrame, trials: Sequence[Trial]) -> dict[int, tuple[float, float, np.ndarray]]:
+def _assign_and_sum(blocks: RDD, trials: Sequence[Trial]) -> dict[int, tuple[float, float, np.ndarray]]:
     """Per centre (numbered through all trials): assigned weight, weighted cost, weighted mean vector."""
-    spark = rows.sparkSession
-    offsets = _offsets(trials)
-    width = trials[0].centres.shape[1]
-    shared = spark.sparkContext.broadcast(np.vstack([t.centres for t in trials]))
+    offsets, width = _offsets(trials), trials[0].centres.shape[1]
+    centres = np.vstack([t.centres for t in trials])
 
-    def partial_sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres = shared.value
+    def partial_sums(held: Iterator[Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sums, weights, costs = np.zeros_like(centres), np.zeros(len(centres)), np.zeros(len(centres))
-        for x, w, _ in _batches(parts, width):
+        for x, w, _ in _batches(held, width):
             distances = _squared_distances(x, centres)
             share = np.zeros((len(w), len(centres)))
             every = np.arange(len(w))
@@ -245,40 +270,29 @@ def _assign_and_sum(rows: DataFrame, trials: Sequence[Trial]) -> dict[int, tuple
                 costs += np.bincount(nearest, w * distances[every, nearest], len(centres))
             sums += share.T @ x
             weights += share.sum(0)
-        used = np.flatnonzero(weights > 0)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(used, pa.int32()),
-                pa.array(weights[used], pa.float64()),
-                pa.array(costs[used], pa.float64()),
-                _lists(sums[used] / weights[used, None]),
-            ],
-            ["centre", "w", "cost", "mean"],
-        )
-
-    parts = rows.mapInArrow(partial_sums, "centre int, w double, cost double, mean array<double>")
-    added = (
-        parts.select("centre", "w", "cost", array_to_vector("mean").alias("mean"))
-        .groupBy("centre")
-        .agg(
-            F.sum("w").alias("w"),
-            F.sum("cost").alias("cost"),
-            vector_to_array(Summarizer.mean(F.col("mean"), F.col("w"))).alias("mean"),
-        )
-    )
-    found = added.toArrow()
-    shared.unpersist()
-    means = found["mean"].combine_chunks().flatten().to_numpy().reshape(found.num_rows, -1)
-    measures = zip(found["w"].to_pylist(), found["cost"].to_pylist(), means)
-    return dict(zip(found["centre"].to_pylist(), measures))
-
-
-def still_shift(vectors: DataFrame, features: str, tol: float) -> float:
-    """Sum of squared centre moves that counts as standing still: ``tol`` times the mean variance of the features."""
+        return sums, weights, costs
+
+    sums, weights, costs = _over(blocks, partial_sums, lambda one, two: tuple(a + b for a, b in zip(one, two)))
+    return {int(j): (float(weights[j]), float(costs[j]), sums[j] / weights[j]) for j in np.flatnonzero(weights > 0)}
+
+
+def _spread(rows: DataFrame, n: int, by_key: bool) -> DataFrame:
+    """Rows of a table that came in few parts, dealt to enough of them to keep a cluster busy; larger tables stay as they lie.
+
+    Rows are dealt by their key, or in turn where equal rows share a key.
+    """
+    parts = min(MOST_PARTS, 1 + n // PART_ROWS)
+    if rows.rdd.getNumPartitions() >= parts:
+        return rows
+    return rows.repartition(parts, "key") if by_key else rows.repartition(parts)
+
+
+def still_shift(vectors: DataFrame, features: str, tol: float) -> tuple[float, int]:
+    """Sum of squared centre moves that counts as standing still, ``tol`` times the mean variance of the features; and the rows."""
     summary = vectors.select(Summarizer.metrics("variance", "count").summary(F.col(features)).alias("s"))
     found = summary.select("s.variance", "s.count").first()
     sample_variance = float(np.mean(found["variance"].toArray()))
-    return tol * sample_variance * (found["count"] - 1) / max(found["count"], 1)
+    return tol * sample_variance * (found["count"] - 1) / max(found["count"], 1), found["count"]
 
 
 def fit_trials(
@@ -296,14 +310,10 @@ def fit_trials(
 
     Draws are keyed by ``row_id``; without one by the vector itself, so that equal rows share a draw.
     """
-    ship_package(vectors.sparkSession)
-    v = vector_to_array(features)
-    entries = F.filter(F.transform(v, lambda x, i: F.struct(i.alias("at"), x.alias("x"))), lambda e: e["x"] != 0)
-    rows = vectors.select(entries.alias("e"), F.col(weight).cast("double").alias("w"), F.xxhash64(row_id or v).alias("key"))
-    rows = settle(rows.where("w > 0").select("e.at", "e.x", "w", "key"), "vectors")
-    first = vectors.select(F.size(v).alias("n")).first()
+    first = vectors.select(F.size(vector_to_array(features)).alias("n")).first()
     width = first["n"] if first else 0
-    still_moving = still_shift(vectors, features, tol)
+    still_moving, n = still_shift(vectors, features, tol)
+    rows = read_blocks(vectors, weight, features, row_id, n)
     trials = [Trial(k, attempt, np.empty((0, width))) for k in ks for attempt in range(restarts)]
     for step in range(max(ks)):
         _draw_centres(rows, [t for t in trials if t.k > step], seed, step)
@@ -323,6 +333,7 @@ def fit_trials(
     found, offsets = _assign_and_sum(rows, trials), _offsets(trials)
     for trial, low in zip(trials, offsets):
         trial.inertia = sum(found[low + j][1] for j in range(len(trial.centres)) if low + j in found)
+    rows.unpersist()
     return trials
 
 
