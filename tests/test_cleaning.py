@@ -152,3 +152,35 @@ def test_missing_tokens_do_not_hide_numbers(spark, tmp_path):
     rows = reader.read_survey(spark, str(tmp_path / "t.csv"), list("abcde"), infer_types=True)
     assert dict(rows.dtypes) == {"a": "int", "b": "double", "c": "string", "d": "int", "e": "string"}
     assert [r.a for r in rows.collect()] == [None, None, 3]
+
+
+def test_row_ids_over_many_files_and_blocks(spark, tmp_path):
+    import random
+
+    draw, lines = random.Random(4), []
+    for f in range(9):
+        some = [f"f{f}r{i}" for i in range(draw.choice([0, 1, 3, 4000]))]
+        (tmp_path / f"part-{f}.csv").write_text("".join(line + "\n" for line in some))
+        lines += some
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = reader.with_row_id(reader.read_survey(spark, str(tmp_path), ["v"]))
+        assert [r.v for r in rows.orderBy("row_id").collect()] == lines
+        assert sorted(r.row_id for r in rows.collect()) == list(range(len(lines)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_assignments_are_written_in_order(spark, tmp_path):
+    from weighted_insights.sources import writer
+
+    rows = spark.range(0, 5000, 1, 7).select((4999 - F.col("id")).alias("n"), (F.col("id") % 6).alias("s")).repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writer.write_assignments(rows, str(tmp_path / "a"), "n", "s", 6)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [p.read_text().splitlines() for p in sorted((tmp_path / "a").glob("part-*.csv"))]
+    assert len(parts) > 2 and all(p[0] == "row_id,segment_kmeans_6" for p in parts)
+    assert [int(line.split(",")[0]) for p in parts for line in p[1:]] == list(range(5000))

@@ -235,3 +235,48 @@ def test_cuts_do_not_depend_on_the_shuffle(spark):
         assert len(range_cuts(rows, "p")) == 255
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def _area(points):
+    points = sorted(points)
+    return sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:]))
+
+
+@pytest.mark.parametrize("max_points", [8, 20, 64, 500])
+def test_thinned_curves(spark, max_points):
+    rows = spark.range(20_000).select(
+        F.pmod("id", F.lit(2)).cast("string").alias("model"),
+        F.rand(1).alias("p"),
+        (F.rand(2) < F.col("id") / 20_000).cast("int").alias("y"),
+        (1 + F.col("id") % 3).cast("double").alias("w"),
+    )
+    rows = rows.withColumn("p", F.when(F.col("y") == 1, F.sqrt("p")).otherwise(F.col("p")))
+    curve = K.score_curve(rows, keys=["model"]).persist()
+    roc, pr = K.roc_points(curve, ["model"]), K.pr_points(curve, ["model"])
+    thin_roc, thin_pr = K.thin_roc(roc, max_points, ["model"]), K.thin_pr(pr, max_points, ["model"])
+    assert thin_roc.columns == roc.columns and thin_pr.columns == pr.columns
+    whole, some = ([(r.model, r.fpr, r.tpr, r.threshold) for r in t.collect()] for t in (roc, thin_roc))
+    assert set(some) <= set(whole)
+    for model in "01":
+        full, left = ([(f, t) for m, f, t, _ in points if m == model] for points in (whole, some))
+        assert len(left) <= max_points < len(full) and {(0.0, 0.0), (1.0, 1.0)} <= set(left)
+        assert abs(_area(full) - _area(left)) <= 1 / max_points
+    whole, some = ([(r.model, r.threshold, r.precision, r.recall, r.f1) for r in t.collect()] for t in (pr, thin_pr))
+    assert set(some) <= set(whole) and sum(t is None for _, t, *_ in some) == 2
+    for model in "01":
+        full, left = ([(r, p) for m, _, p, r, _ in points if m == model] for points in (whole, some))
+        cells = max_points // 4
+        ranges = [[p for r, p in full if min(int(r * cells), cells - 1) == c] for c in range(cells)]
+        assert len(left) <= max_points
+        assert [(min(p), max(p)) for p in ranges if p] == [(min(q), max(q)) for q in ([p for r, p in left if min(int(r * cells), cells - 1) == c] for c in range(cells)) if q]
+    curve.unpersist()
+
+
+def test_thinning_keeps_short_curves_and_one_class(spark):
+    rows = spark.createDataFrame([(0.1, 1, 1.0), (0.5, 1, 1.0), (0.9, 1, 2.0)], "p double, y int, w double")
+    curve = K.score_curve(rows)
+    roc = K.roc_points(curve, drop_collinear=False)
+    assert sorted(K.thin_roc(roc, 100).collect(), key=str) == sorted(roc.collect(), key=str)
+    assert sorted(K.thin_pr(K.pr_points(curve), 100).collect(), key=str) == sorted(K.pr_points(curve).collect(), key=str)
+    with pytest.raises(ValueError):
+        K.thin_roc(roc, 2)

@@ -89,6 +89,44 @@ def pr_points(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return curve.select(*keys, F.inline(F.when(F.col("is_first"), F.array(point, closing)).otherwise(F.array(point))))
 
 
+def _cells(points: DataFrame, at: Column, cells: int, keys: Sequence[str], kept: Sequence[Column]) -> DataFrame:
+    """The ``kept`` points (aggregates of whole rows) of every cell of ``at``, each once."""
+    row = F.struct(*[c for c in points.columns if c not in keys])
+    cell = F.least(F.floor(at * cells), F.lit(cells - 1)).alias("_cell")
+    chosen = points.select(*keys, cell, row.alias("_row")).groupBy(*keys, "_cell").agg(F.array_distinct(F.array(*kept)).alias("_rows"))
+    return chosen.select(*keys, F.inline("_rows"))
+
+
+def thin_roc(points: DataFrame, max_points: int, keys: Sequence[str] = ()) -> DataFrame:
+    """At most ``max_points`` of each ROC curve; the area under what is left differs by at most ``1 / max_points``.
+
+    Both rates grow along the curve.  Where their sum runs through a cell of width 2 / cells, the first and the last point stay.  Between
+    them the curve and its chord lie in a box whose sides add up to that width, so they enclose at most half a square of half
+    that width, 1 / (2 cells ** 2); there are ``max_points // 2`` cells.  A rate that is unknown (one class) counts as zero.
+    """
+    rates = (F.coalesce("fpr", F.lit(0.0)) + F.coalesce("tpr", F.lit(0.0))) / 2
+    # Among equal rates the threshold tells the order; it falls along the curve.
+    order = F.struct(F.col("_row.tpr") + F.col("_row.fpr"), -F.col("_row.threshold"))
+    if max_points < 4:
+        raise ValueError("a curve needs 4 points at least")
+    return _cells(points, rates, max_points // 2, keys, [F.min_by("_row", order), F.max_by("_row", order)])
+
+
+def thin_pr(points: DataFrame, max_points: int, keys: Sequence[str] = ()) -> DataFrame:
+    """At most ``max_points`` of each precision-recall curve.
+
+    Of every recall cell the first and last points and those of least and largest precision stay, so each cell keeps its range.
+    What is lost of the area is at most, summed over the cells, their width (4 / ``max_points``) times that range.
+    """
+    if max_points < 8:
+        raise ValueError("a curve needs 8 points at least")
+    recall = F.coalesce("recall", F.lit(0.0))
+    order = F.struct(F.col("_row.recall"), -F.coalesce("_row.threshold", F.lit(float("inf"))))
+    height = F.struct(F.col("_row.precision"), order)
+    chosen = [F.min_by("_row", order), F.max_by("_row", order), F.min_by("_row", height), F.max_by("_row", height)]
+    return _cells(points, recall, max_points // 4, keys, chosen)
+
+
 def auc_measure() -> Column:
     """Area under the ROC curve by trapezoids, as an aggregate over the curve; NULL for one class."""
     area = F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2))

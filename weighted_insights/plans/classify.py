@@ -95,8 +95,12 @@ def run(
     seed: int = 42,
     target_precision: float = 0.70,
     rounds: int | dict[str, int] | None = None,
+    max_points: int | None = None,
 ) -> Evaluation:
-    """The whole job on a survey file.  Models are saved where ``models_dir`` is given."""
+    """The whole job on a survey file.  Models are saved where ``models_dir`` is given.
+
+    With ``max_points`` the curves that are written are thinned; areas and thresholds come from all points.
+    """
     arguments = {k: v for k, v in locals().items() if k != "spark"}
     run_id = writer.run_id(run_name)
     folder = writer.run_folder(outputs, run_id)
@@ -120,7 +124,7 @@ def run(
             rounds=rounds,
         )
         writer.write_metrics(result.metrics, metrics_path)
-        writer.write_curves(result.roc, result.pr, f"{folder}/curves")
+        writer.write_curves(result.roc, result.pr, f"{folder}/curves", max_points)
         small = {"reports": result.reports, "target_counts": result.target_counts}
         if result.precision_report is not None:
             small["precision_report"] = result.precision_report

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import survey
@@ -57,7 +57,8 @@ def with_row_id(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     """Number the rows 0, 1, 2, ... in file order: files by path, rows as they stand.
 
     Call this on a scan: its split into blocks is fixed by the files, so the counts of the first pass still hold in the
-    second.  Blocks are ordered by file and offset, as Spark deals them out by size.  What is joined is one row per block.
+    second.  Blocks are ordered by file and offset, as Spark deals them out by size.  What is joined is one row per block;
+    nothing reaches the driver.
     """
     source = ["_metadata.file_path", "_metadata.file_block_start"]
     placed = df.select(
@@ -67,12 +68,14 @@ def with_row_id(df: DataFrame, row_id: str = "row_id") -> DataFrame:
         F.col(source[1]).alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
     )
-    blocks = placed.groupBy("_part", "_file", "_block").agg(F.count("*").alias("n"), F.min("_at").alias("_first")).collect()
-    starts, total = [], 0
-    for b in sorted(blocks, key=lambda b: (b["_file"], b["_block"])):
-        starts.append((b["_part"], b["_file"], b["_block"], total - b["_first"]))
-        total += b["n"]
-    offsets = df.sparkSession.createDataFrame(starts, "_part int, _file string, _block bigint, _start bigint")
+    place = ["_part", "_file", "_block"]
+    blocks = placed.groupBy(*place).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    # Two levels of running sums: over one row per file, and over the blocks of each file.
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = blocks.groupBy("_file").agg(F.sum("_n").alias("_n")).select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_inside", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(files, "_file")
+    offsets = starts.select(*place, (F.col("_before") + F.col("_inside") - F.col("_first")).alias("_start"))
     return placed.join(offsets, ["_part", "_file", "_block"]).select(
         (quoted("_start") + quoted("_at")).alias(row_id), *[quoted(c) for c in df.columns]
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleaning import quoted
+from ..operators.curves import thin_pr, thin_roc
 
 
 def run_id(name: str = "", now: datetime | None = None) -> str:
@@ -27,10 +28,12 @@ def artifact_name(*parts: str) -> str:
 
 
 def write_assignments(df: DataFrame, path: str, row_id: str, segment: str, k: int) -> None:
-    """CSV with header ``row_id,segment_kmeans_<k>``, written by all tasks."""
-    df.select(quoted(row_id).alias("row_id"), quoted(segment).alias(f"segment_kmeans_{k}")).write.mode(
-        "overwrite"
-    ).option("header", True).csv(path)
+    """CSV with header ``row_id,segment_kmeans_<k>``, written by all tasks, each a range of row ids.
+
+    Read one after the other by name, the files hold the rows in the order of their ids.
+    """
+    rows = df.select(quoted(row_id).alias("row_id"), quoted(segment).alias(f"segment_kmeans_{k}"))
+    rows.orderBy("row_id").write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_summary(summary: DataFrame, path: str, digits: int = 10) -> None:
@@ -62,8 +65,11 @@ def write_records(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_curves(roc: DataFrame, pr: DataFrame, path: str) -> None:
-    """The points behind the ROC and precision-recall plots, partitioned by model."""
+def write_curves(roc: DataFrame, pr: DataFrame, path: str, max_points: int | None = None) -> None:
+    """The points behind the ROC and precision-recall plots, partitioned by model; at most ``max_points`` of each curve."""
+    keys = [c for c in roc.columns if c == "model"]
+    if max_points:
+        roc, pr = thin_roc(roc, max_points, keys), thin_pr(pr, max_points, keys)
     for name, points in (("roc", roc), ("pr", pr)):
         writer = points.write.mode("overwrite")
         if "model" in points.columns:
