@@ -238,3 +238,34 @@ def test_two_scans_whatever_the_columns(spark):
     finally:
         Q.aggregate_long = original
     assert len(counted) == 1
+
+
+def test_wide_vocabulary_stays_a_table(spark, tmp_path):
+    """300,000 categories of one column, three of another: neither an error nor a list on the driver."""
+    n = 300_000
+    rows = spark.range(0, n, 1, 6).select("id", F.concat(F.lit("k"), F.col("id")).alias("c"), F.concat(F.lit("s"), F.col("id") % 3).alias("d"))
+    rows = rows.union(spark.createDataFrame([(n, "k77", None)], "id long, c string, d string"))
+    prep = R.fit_prep(rows, R.FeatureSpec(categorical=("c", "d")))
+    wide, narrow = prep.categorical
+    assert (wide.size, wide.mode, wide.categories) == (n, "k77", ()) and narrow.categories == ("s0", "s1", "s2")
+    assert prep.n_features == n + 3 and prep.groups == [(0, n), (n, n + 3)]
+    order = {c: i for i, c in enumerate(sorted(f"k{i}" for i in range(n)))}
+    some = spark.createDataFrame([(1, "k5", "s1"), (2, "k299999", "zz"), (3, "never seen", None), (4, None, "s2")], "id long, c string, d string")
+    pipeline = prep.pipeline(some)
+    pipeline.write().overwrite().save(str(tmp_path / "prep"))
+    for stages in (pipeline, PipelineModel.load(str(tmp_path / "prep"))):
+        got = {r["id"]: sorted(r["features"].indices.tolist()) for r in stages.transform(some).select("id", "features").collect()}
+        # A missing value goes through the mode: k77, and s0 (of equals the smallest).
+        assert got == {1: [order["k5"], n + 1], 2: [order["k299999"]], 3: [n], 4: [order["k77"], n + 2]}
+
+
+def test_numbers_are_those_of_the_sorted_categories(spark, monkeypatch):
+    from weighted_insights.operators import dictionary
+
+    monkeypatch.setattr(dictionary, "BLOCK_ROWS", 20)
+    texts = [("a", f"é{i}") for i in range(150)] + [("a", ""), ("a", "Z"), ("b", "only")] + [("c", chr(0x4E00 + i) + "😀") for i in range(90)]
+    rows = spark.createDataFrame(texts, "attribute string, category string").repartition(5)
+    got = {(r.attribute, r.category): r.number for r in dictionary.number_categories(rows).collect()}
+    for attribute in "abc":
+        mine = sorted(c for a, c in texts if a == attribute)
+        assert [got[attribute, c] for c in mine] == list(range(len(mine)))

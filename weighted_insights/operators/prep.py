@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 
 from .. import survey
 from ..functions.cleaning import present, quoted
+from ..storage import new_path, settle
+from .dictionary import DictionaryIndexer, number_categories
 from .longform import aggregate_long
 from .quantiles import Summary, as_number, neighbours, order_statistics, summarise
 
@@ -29,8 +31,9 @@ from .quantiles import Summary, as_number, neighbours, order_statistics, summari
 Step = Callable[[str], str]
 
 QUARTILES = [0.25, 0.5, 0.75]
-#: Widest vocabulary of a column that is encoded.
+#: Categories of all columns together that may pass through the driver, and of one column if they are more.
 MOST_CATEGORIES = 100_000
+NARROW = 1_000
 
 
 def clip_step(number: str) -> str:
@@ -125,9 +128,23 @@ class NumericFit:
 
 @dataclass(frozen=True)
 class CategoricalFit:
+    """The mode, and the sorted categories; of a wide vocabulary (``dictionary``: its table) the number of categories only."""
+
     name: str
     mode: str
     categories: tuple[str, ...]
+    wide: int = 0
+    dictionary: str = ""
+
+    @property
+    def size(self) -> int:
+        """Categories."""
+        return self.wide or len(self.categories)
+
+    @property
+    def width(self) -> int:
+        """Features."""
+        return 1 if self.is_binary else self.size
 
     def imputed(self) -> str:
         return f"coalesce(CAST({_name(self.name)} AS STRING), {_text(self.mode)})"
@@ -137,6 +154,9 @@ class CategoricalFit:
         return len(self.categories) == 2
 
     def feature_names(self) -> list[str]:
+        """Names in feature order; those of a wide vocabulary stand in its table and are numbered here."""
+        if self.wide:
+            return [f"{self.name}#{i}" for i in range(self.wide)]
         kept = self.categories[1:] if self.is_binary else self.categories
         return [f"{self.name}={category}" for category in kept]
 
@@ -162,10 +182,14 @@ class FittedPrep:
         out, at = [], len(self.numeric)
         for c in self.categorical:
             if not c.is_binary:
-                out.append((at, at + len(c.categories)))
-            at += 1 if c.is_binary else len(c.categories)
+                out.append((at, at + c.width))
+            at += c.width
         return out
 
+    @property
+    def n_features(self) -> int:
+        return len(self.numeric) + sum(c.width for c in self.categorical)
+
     def imputed(self, df: DataFrame) -> DataFrame:
         """Replace missing values by the medians and modes, leaving all else as it is."""
         made = {n.name: F.expr(replace(n, steps=()).prepared()) for n in self.numeric}
@@ -196,9 +220,12 @@ class FittedPrep:
             # The extra slot for unseen values is the one the encoder drops: unseen means all zeros.
             # (One indexer per column: several label lists in one would be padded to equal length.)
             for i, c in wide:
-                index = StringIndexerModel.from_labels(
-                    list(c.categories), inputCol=f"_c{i}", outputCol=f"_i{i}", handleInvalid="keep"
-                )
+                if c.wide:
+                    index = DictionaryIndexer(c.dictionary, c.name, c.wide, f"_c{i}", f"_i{i}")
+                else:
+                    index = StringIndexerModel.from_labels(
+                        list(c.categories), inputCol=f"_c{i}", outputCol=f"_i{i}", handleInvalid="keep"
+                    )
                 empty = index.transform(empty)
                 stages.append(index)
             hot = OneHotEncoder(
@@ -230,29 +257,49 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
 def fit_categories(df: DataFrame, columns: Sequence[str], encode: bool = True) -> tuple[CategoricalFit, ...]:
     """Sorted categories and the most frequent one (ties: the smallest); empty columns are left out.
 
-    Without ``encode`` only the most frequent category is looked for.  The vocabulary to encode is part of the model and
-    goes to the driver; more than ``MOST_CATEGORIES`` of one column raise, as no model is meant to be that wide.
+    Without ``encode`` only the most frequent category is looked for.  Vocabularies pass through the driver as long as they
+    have at most ``MOST_CATEGORIES`` categories together; beyond that those of over ``NARROW`` stay a table (see ``dictionary.py``).
     """
     if not columns:
         return ()
     if not encode:
         modes = fit_modes(df, columns)
         return tuple(CategoricalFit(c, modes[c], ()) for c in columns if c in modes)
+    counts = category_counts(df, columns)
+    rows = counts.limit(MOST_CATEGORIES + 1).collect()
+    if len(rows) > MOST_CATEGORIES:
+        return _fit_wide(settle(counts, "category-counts"), columns)
     found: dict[str, list[tuple[str, int]]] = {}
-    rows = category_counts(df, columns).limit(MOST_CATEGORIES * len(columns) + 1).collect()
-    if len(rows) > MOST_CATEGORIES * len(columns):
-        raise ValueError(f"more than {MOST_CATEGORIES} categories per column are too many to encode: {', '.join(columns)}")
     for r in rows:
         found.setdefault(r["attribute"], []).append((r["category"], r["n"]))
     fits = []
     for c in columns:
         if c in found:
-            counts = sorted(found[c])
-            mode = max(counts, key=lambda pair: pair[1])[0]
-            fits.append(CategoricalFit(c, mode, tuple(name for name, _ in counts)))
+            ordered = sorted(found[c])
+            mode = max(ordered, key=lambda pair: pair[1])[0]
+            fits.append(CategoricalFit(c, mode, tuple(name for name, _ in ordered)))
     return tuple(fits)
 
 
+def _fit_wide(counts: DataFrame, columns: Sequence[str]) -> tuple[CategoricalFit, ...]:
+    """One row per column reaches the driver, the categories of narrow columns, and nothing of the wide ones."""
+    most = counts.groupBy("attribute").agg(F.count("*").alias("size"), F.max("n").alias("n"))
+    modes = counts.join(most, ["attribute", "n"]).groupBy("attribute").agg(F.min("category").alias("mode"), F.max("size").alias("size"))
+    facts = {r["attribute"]: (r["mode"], r["size"]) for r in modes.collect()}
+    wide = [c for c, (_, size) in facts.items() if size > NARROW]
+    narrow: dict[str, list[str]] = {}
+    for r in counts.where(~F.col("attribute").isin(wide)).collect():
+        narrow.setdefault(r["attribute"], []).append(r["category"])
+    # The table belongs to the fitted model and stays.
+    path = new_path(counts.sparkSession, "dictionary")
+    number_categories(counts.where(F.col("attribute").isin(wide))).write.parquet(path)
+    return tuple(
+        CategoricalFit(c, facts[c][0], (), facts[c][1], path) if c in wide else CategoricalFit(c, facts[c][0], tuple(sorted(narrow[c])))
+        for c in columns
+        if c in facts
+    )
+
+
 def _between(values: Sequence[float], part: float) -> float:
     low, high = values
     return low + (high - low) * part

@@ -77,7 +77,7 @@ def cluster_and_profile(
         elbow=found.elbow,
         k=found.k,
         suggested_k=found.suggested_k,
-        n_features=len(prep.feature_names),
+        n_features=prep.n_features,
         model=model,
     )
 
