@@ -141,3 +141,15 @@ def test_pages(spark):
     assert warc.read_archives(*warc.write_archives(pages.limit(0))).count() == 0
     large = warc.read_archives(*warc.write_archives(pages, min_revisit_bytes=1)).collect()
     assert {r["page_id"]: r["record_type"] for r in large}[4] == "response"
+
+
+def test_licenses(spark):
+    mit = licenses.TEMPLATES["mit"]
+    texts = [None, "", "  \n", mit, LONG + " " + mit, "漢字 é " + mit, "mit", mit + "\n" + mit]
+    rows = [(i, t, "en", "s", 1, 1.0, True, "x", 1) for i, t in enumerate(texts)]
+    rows += [rows[3], (None, mit, None, None, None, None, None, None, None)]
+    found = licenses.find_licenses(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    counts = sorted(((r["doc_id"], r["license"], r["coverage"]) for r in found), key=str)
+    assert counts == sorted([(i, "mit", 1.0) for i in (3, 3, 4, 5, 7, 7, None)], key=str)
+    by = {r["doc_id"]: r for r in found}
+    assert texts[4][by[4]["start"] : by[4]["end"]] == mit.rstrip(".") and texts[5][by[5]["start"] : by[5]["end"]] == mit.rstrip(".")

@@ -643,6 +643,49 @@ def test_near_notices_and_insertions():
     assert match.license == "isc" and match.matched == len(index.words[index.names.index("isc")]) and match.coverage < 1
 
 
+def test_versions_are_told_apart():
+    settings = licenses.Settings()
+    index = licenses.build_index(licenses.TEMPLATES, settings)
+    gpl, epl = licenses.TEMPLATES["gpl-3.0"], licenses.TEMPLATES["epl-1.0"]
+    found = {v: [m.license for m in licenses.scan([gpl.replace("version 3", f"version {v}").encode()], index, settings)[0]] for v in "1234"}
+    assert found == {"1": [], "2": ["gpl-2.0"], "3": ["gpl-3.0"], "4": []}
+    assert licenses.scan([epl.replace("v1.0", "v3.0").replace("v10", "v30").encode()], index, settings) == [[]]
+    numbered = gpl.replace("either", "see line 17 either")
+    assert [m.license for m in licenses.scan([numbered.encode()], index, settings)[0]] == ["gpl-3.0"]
+
+
+@pytest.mark.parametrize(
+    "line, name",
+    [
+        ("Licensed under the MIT license", "mit-licensed-notice"),
+        ("# The MIT License (MIT)", "mit-title"),
+        ("// SPDX-License-Identifier: Apache-2.0", "spdx-apache-2.0"),
+        ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "spdx-gpl-2.0-or-later"),
+    ],
+)
+def test_short_forms(line, name):
+    settings = licenses.Settings()
+    found = licenses.scan([line.encode()], licenses.build_index(licenses.TEMPLATES, settings), settings)[0]
+    assert [m.license for m in found] == [name]
+
+
+def test_alignment_against_a_plain_one():
+    draw = random.Random(8)
+    for _ in range(300):
+        text, template = ([draw.randrange(4) for _ in range(draw.randrange(1, 14))] for _ in range(2))
+        table = [[0] * (len(template) + 1) for _ in range(len(text) + 1)]
+        for i, a in enumerate(text):
+            for j, b in enumerate(template):
+                table[i + 1][j + 1] = table[i][j] + 1 if a == b else max(table[i][j + 1], table[i + 1][j])
+        matched, first, last = licenses.align(np.array(text), np.array(template), 0, 30)
+        assert matched == table[-1][-1]
+        if matched:
+            inner = text[first : last + 1]
+            assert text[first] in template and text[last] in template and len(inner) >= matched
+            narrow = licenses.align(np.array(text), np.array(template), 0, 1)[0]
+            assert narrow <= matched
+
+
 def test_winnowing_guarantee():
     hashes = np.random.default_rng(1).integers(0, 2**60, 200).astype(np.uint64)
     chosen = set(licenses.winnow(hashes, 4).tolist())

@@ -5,7 +5,8 @@ Templates are cut into words; the hashes of their runs of words are winnowed, so
 template and place).  A document's runs are looked up in it; the places where hits agree on an offset
 (document place minus template place) give candidates, and each is aligned word by word inside a
 diagonal band.  What is reported is how well the template is matched, and where.  Notices of a few words
-differ from those of other licenses in one word or two, so all their words must stand in a row.
+differ from those of other licenses in one word or two, so all their words must stand in a row; versions of a
+license differ in a number, so the numbers of a long template must all be there.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ _GNU = (
 # License notices as their licenses word them.
 TEMPLATES: Mapping[str, str] = {
     "mit-notice": "Released under the MIT License.",
+    "mit-licensed-notice": "Licensed under the MIT License.",
+    "mit-title": "The MIT License (MIT)",
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
@@ -57,7 +60,7 @@ TEMPLATES: Mapping[str, str] = {
         "governing permissions and limitations under the License."
     ),
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl": (
+    "gpl-3.0": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
         "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
@@ -114,12 +117,21 @@ TEMPLATES: Mapping[str, str] = {
     ),
 }
 
+# Identifiers of the licenses above in the SPDX list; each is a template behind the words that announce one.
+SPDX = (
+    "MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "CC0-1.0", "Unlicense", "EPL-1.0", "EPL-2.0",
+    "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later",
+    "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later",
+)
+TEMPLATES = {**TEMPLATES, **{f"spdx-{name.lower()}": f"SPDX-License-Identifier: {name}" for name in SPDX}}
+
 
 @dataclass(frozen=True)
 class Settings:
     """Words per run, runs per winnowing window, half width of the band, and least coverage of a template.
 
-    Templates of fewer than ``whole`` words must be matched word for word.
+    Templates of fewer than ``whole`` words must be matched word for word; of longer ones, all words that hold a digit, as
+    these tell versions apart.
     """
 
     run: int = 3
@@ -139,6 +151,7 @@ class Index:
 
     names: tuple[str, ...]
     words: tuple[np.ndarray, ...]
+    numbers: tuple[np.ndarray, ...]  # of these, the ones that hold a digit
     prints: np.ndarray
     template: np.ndarray
     place: np.ndarray
@@ -157,6 +170,18 @@ def folded(texts: list[bytes]) -> Texts:
     return Texts([t.translate(FOLD) for t in texts])
 
 
+def with_digit(read: Texts) -> np.ndarray:
+    """Whether each word holds a digit."""
+    before = np.concatenate(([0], np.cumsum((read.data >= 48) & (read.data < 58))))
+    return before[read.word_end] > before[read.word_start]
+
+
+def in_order(wanted: list, held: list) -> bool:
+    """Whether ``wanted`` is a subsequence of ``held``."""
+    rest = iter(held)
+    return all(word in rest for word in wanted)
+
+
 def build_index(templates: Mapping[str, str], settings: Settings) -> Index:
     names = tuple(templates)
     read = folded([templates[n].encode() for n in names])
@@ -172,7 +197,9 @@ def build_index(templates: Mapping[str, str], settings: Settings) -> Index:
     whole = np.concatenate(prints)
     by = np.argsort(whole, kind="stable")
     words = tuple(read.words[a:b] for a, b in zip(read.first_word[:-1], read.first_word[1:]))
-    return Index(names, words, whole[by], np.concatenate(owner)[by], np.concatenate(place)[by])
+    digits = with_digit(read)
+    numbers = tuple(read.words[a:b][digits[a:b]] for a, b in zip(read.first_word[:-1], read.first_word[1:]))
+    return Index(names, words, numbers, whole[by], np.concatenate(owner)[by], np.concatenate(place)[by])
 
 
 @lru_cache(maxsize=4)
@@ -242,6 +269,7 @@ def scan(texts: list[bytes], index: Index, settings: Settings) -> list[list[Matc
     if not len(index.prints):
         return out
     read = folded(texts)
+    digits = with_digit(read)
     for doc, places in candidates(read, index, settings).items():
         first_word = int(read.first_word[doc])
         words = read.words[first_word : read.first_word[doc + 1]]
@@ -255,7 +283,8 @@ def scan(texts: list[bytes], index: Index, settings: Settings) -> list[list[Matc
             matched, first, last = align(words, wanted, offset, settings.band)
             # Words put into the span count against it like words that are missing.
             coverage = matched / max(len(wanted), last - first + 1)
-            if coverage >= settings.coverage:
+            span = slice(first_word + first, first_word + last + 1)
+            if coverage >= settings.coverage and in_order(index.numbers[template].tolist(), read.words[span][digits[span]].tolist()):
                 found.add((matched, coverage, template, first, last))
         best: list[tuple[int, float, int, int, int]] = []
         for match in sorted(found, key=lambda m: (-m[0], -m[1], m[3], m[2])):
