@@ -153,3 +153,18 @@ def test_licenses(spark):
     assert counts == sorted([(i, "mit", 1.0) for i in (3, 3, 4, 5, 7, 7, None)], key=str)
     by = {r["doc_id"]: r for r in found}
     assert texts[4][by[4]["start"] : by[4]["end"]] == mit.rstrip(".") and texts[5][by[5]["start"] : by[5]["end"]] == mit.rstrip(".")
+
+
+def test_lines_are_drawn_from_the_whole_document():
+    assert linecrf.stretches(1, 200, 200) == [(0, 200)] and linecrf.stretches(1, 0, 200) == [(0, 0)]
+    found = [linecrf.stretches(i, 3005, 200) for i in range(50)]
+    assert all(len(f) == 10 and all(b <= c for (_, b), (c, _) in zip(f, f[1:])) and f[-1][1] <= 3005 for f in found)
+    starts = [a for f in found for a, _ in f]
+    assert all(sum(low <= a < low + 601 for a in starts) > 50 for low in range(0, 3005, 601))
+
+
+def test_repeated_documents_are_taught_once(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    rows = [(1, "a good line of words\nand another one"), (2, "## $$ ## $$")]
+    once, often = (linecrf.train(spark.createDataFrame(rows * n, "doc_id long, text string"), labels) for n in (1, 30))
+    assert (once.weights == often.weights).all() and once.bias == often.bias and (once.pairs == often.pairs).all()

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import BLANK, Texts, crc_mod, map_texts, repeats, slices
+from .text import BLANK, Texts, crc_mod, map_texts, mix, repeats, slices
 
 #: Bounds of the labelled sample that the model is fitted on: documents, and first lines of each.
 TRAIN_DOCUMENTS = 2000
@@ -187,11 +187,25 @@ def score_texts(texts: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarra
     return score, counts, np.bincount(doc[good < 0.5], minlength=len(texts))
 
 
+#: Lines of a stretch that is drawn from a long document.
+STRETCH = 20
+
+
+def stretches(doc_id: int, count: int, most: int) -> list[tuple[int, int]]:
+    """Ranges of lines of a document, all of them or as many stretches as ``most`` lines allow."""
+    if count <= most:
+        return [(0, count)]
+    first = np.arange(0, count, STRETCH)
+    drawn = np.argsort(mix(first.astype(np.uint64) ^ mix(np.array([doc_id], np.int64).view(np.uint64))), kind="stable")
+    return [(a, min(a + STRETCH, count)) for a in np.sort(first[drawn[: max(1, most // STRETCH)]]).tolist()]
+
+
 def train(docs: DataFrame, labels: DataFrame, most_documents: int = TRAIN_DOCUMENTS, most_lines: int = TRAIN_LINES) -> Model:
-    """Fit on at most ``most_documents`` labelled documents (those of smallest id hash) and ``most_lines`` first lines of each.
+    """Fit on at most ``most_documents`` labelled documents (those of smallest id hash) and ``most_lines`` lines of each.
 
-    ``labels``: ``doc_id`` and ``quality`` (0 or 1).  Null labels and ids are left out; a document labelled twice takes the
-    smaller label.  With one class or no label at all, every line gets the share of good labels (one half without any).
+    Of a longer document, stretches of ``STRETCH`` lines are drawn by a hash of document and place over all of it; each is a chain
+    of its own.  ``labels``: ``doc_id`` and ``quality`` (0 or 1).  Null labels and ids are left out; a document labelled twice takes
+    the smaller label, and one of several rows of an id is taken.  With one class or no label at all, every line gets the share of good labels (one half without any).
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     chosen = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_documents)
@@ -200,16 +214,20 @@ def train(docs: DataFrame, labels: DataFrame, most_documents: int = TRAIN_DOCUME
     def measured(batches):
         for batch, texts in slices(batches):
             features, _, counts = line_features(texts)
-            starts = np.cumsum(counts) - counts
-            rows = [features[a : a + min(c, most_lines)].astype("<f4").tobytes() for a, c in zip(starts, counts)]
+            ids, ends = batch.column("doc_id").to_pylist(), np.cumsum(counts)
+            rows = [
+                [features[end - count + a : end - count + b].astype("<f4").tobytes() for a, b in stretches(i, int(count), most_lines)]
+                for i, end, count in zip(ids, ends, counts)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("quality").cast(pa.int32()), pa.array(rows, pa.binary())],
+                [batch.column("doc_id").cast(pa.int64()), batch.column("quality").cast(pa.int32()), pa.array(rows, pa.list_(pa.binary()))],
                 ["doc_id", "quality", "lines"],
             )
 
-    found = map_texts(sample, measured, "doc_id long, quality int, lines binary", ("doc_id", "text", "quality"))
+    found = map_texts(sample, measured, "doc_id long, quality int, lines array<binary>", ("doc_id", "text", "quality"))
     # At most most_documents x most_lines lines reach the driver.
-    rows = found.orderBy("doc_id", "lines").limit(2 * most_documents).toArrow().to_pylist()
+    one_each = found.groupBy("doc_id").agg(F.min(F.struct("quality", "lines")).alias("of")).orderBy("doc_id")
+    rows = [{"quality": r["quality"], "lines": part} for r in one_each.select("of.*").toArrow().to_pylist() for part in r["lines"]]
     quality = np.array([r["quality"] for r in rows], np.int64)
     if len(set(quality.tolist())) < 2:
         share = float(np.clip(quality.mean(), 0.01, 0.99)) if len(quality) else 0.5

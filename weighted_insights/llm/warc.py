@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import new_path, settle
-from .text import prepare
+from .text import prepare, slices
 
 SKIPPABLE = 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
@@ -244,8 +244,9 @@ def write_archives(
         context = TaskContext.get()
         stem = f"bundle-{context.partitionId():06d}-{context.attemptNumber()}-{uuid.uuid4().hex[:12]}"
         bundle, n = None, 0
-        for batch in batches:
-            for page_id, url, payload, length, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+        for batch, payloads in slices(batches, "payload"):
+            columns = [payloads if name == "payload" else batch.column(name).to_pylist() for name in batch.schema.names]
+            for page_id, url, payload, length, digest, refers_to in zip(*columns):
                 if bundle is None:
                     bundle = BundleWriter(folder, f"{stem}-{n}.warc.zst", frame_bytes, level)
                     n += 1
