@@ -141,7 +141,7 @@ def test_model_choice():
         models.choose("none")
     assert {key: (g.rounds, g.shape) for key, g in models.BOOSTED.items()} == {"xgb": (500, "levels"), "lgbm": (700, "leaves"), "cat": (800, "symmetric")}
     assert models.build("xgb", rounds=4).growth.rounds == 4 and models.build("xgb").growth == models.BOOSTED["xgb"]
-    assert models.build("rf").getNumTrees() == 300
+    assert models.build("rf").forest == models.FOREST and models.FOREST.trees == 300 and models.build("rf", rounds=7).forest.trees == 7
 
 
 def test_probability_falls_back_to_score_then_prediction(spark):

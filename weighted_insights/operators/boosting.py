@@ -326,7 +326,7 @@ def renewed(block: Block, trees: Sequence[Tree]) -> np.ndarray:
     return margin
 
 
-def summed(blocks: RDD, request: Request) -> np.ndarray:
+def summed(blocks: RDD, request: Callable[[Iterator[Block]], Iterator[np.ndarray]]) -> np.ndarray:
     parts = blocks.mapPartitions(request)
     if blocks.getNumPartitions() > 16:
         return parts.treeReduce(np.add, 2 + (blocks.getNumPartitions() > 1000))
@@ -553,6 +553,41 @@ class Alone:
                 held = [replace(block, margin=renewed(block, [tree])) for block in held]
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """A training table as blocks, its layout with borders, parts, weight of the positives and of all, and the scale of exact sums."""
+
+    table: DataFrame
+    layout: Layout
+    parts: int
+    positive: float
+    whole: float
+
+    @property
+    def scale(self) -> float:
+        # Powers of two below the bound; the slack keeps the last bits of the sum from mattering.
+        return 2.0 ** math.floor(52 - math.log2(self.whole * (1 + 1e-9)))
+
+
+def prepared(train: DataFrame, features: str, label: str, weight: str, key: str | None, groups: Sequence[tuple[int, int]], bins: int) -> Prepared | None:
+    """None for a table without rows or weight."""
+    shared_folder(train.sparkSession)
+    first = train.select(vector_to_array(features).alias("x")).first()
+    if first is None:
+        return None
+    bare = layout_of(len(first["x"]), groups)
+    table = read_rows(train, features, label, weight, key, bare)
+    layout = fit_borders(table, bare, bins)
+    parts = 1 + (table.agg(F.sum("n").alias("n")).first()["n"] or 0) // PART_ROWS
+
+    def weights(row) -> tuple[float, float]:
+        y, w = (np.frombuffer(row[c], np.float64) for c in ("y", "w"))
+        return float(w.sum()), float(w @ y)
+
+    whole, positive = (math.fsum(s) for s in zip(*table.select("y", "w").rdd.map(weights).collect()))
+    return Prepared(table, layout, parts, positive, whole) if whole > 0 else None
+
+
 def boost(
     train: DataFrame,
     growth: Growth,
@@ -569,28 +604,15 @@ def boost(
     content, so that equal rows are drawn together.  Rows without weight teach nothing; without any weight, or with one class only, there
     is no tree.
     """
-    shared_folder(train.sparkSession)
-    first = train.select(vector_to_array(features).alias("x")).first()
-    if first is None:
-        return 0.0, []
-    table = read_rows(train, features, label, weight, key, layout_of(len(first["x"]), groups))
-    layout = fit_borders(table, layout_of(len(first["x"]), groups), growth.bins)
-    parts = 1 + (table.agg(F.sum("n").alias("n")).first()["n"] or 0) // PART_ROWS
-
-    def weights(row) -> tuple[float, float]:
-        y, w = (np.frombuffer(row[c], np.float64) for c in ("y", "w"))
-        return float(w.sum()), float(w @ y)
-
-    whole, positive = (math.fsum(s) for s in zip(*table.select("y", "w").rdd.map(weights).collect()))
-    if not whole > 0:
+    read = prepared(train, features, label, weight, key, groups, growth.bins)
+    if read is None:
         return 0.0, []
-    mean = round(positive * 2**20 / whole) / 2**20 if growth.from_mean else 0.5
+    mean = round(read.positive * 2**20 / read.whole) / 2**20 if growth.from_mean else 0.5
     mean = min(max(mean, 2.0**-20), 1 - 2.0**-20)
     start = math.log(mean / (1 - mean))
-    if not 0 < positive < whole or not len(layout.sizes):
+    if not 0 < read.positive < read.whole or not len(read.layout.sizes):
         return start, []
-    # Powers of two below the bound; the slack keeps the last bits of the sum from mattering.
-    scale = 2.0 ** math.floor(52 - math.log2(whole * (1 + 1e-9)))
+    table, layout, parts, scale = read.table, read.layout, read.parts, read.scale
     blocks = encode(table.coalesce(parts), layout, start).persist(StorageLevel.MEMORY_AND_DISK)
     grower = Grower(layout, growth, scale, seed)
     trees: list[Tree] = []

@@ -1,7 +1,7 @@
 """Weighted binary classifiers: presets, probabilities, evaluation.
 
-The linear model and the forest are MLlib's.  The boosted models grow as published: by levels, by leaves, or symmetric,
-with leaf penalties and columns drawn per tree (``operators/boosting.py``).
+The linear model is MLlib's.  The boosted models grow as published: by levels, by leaves, or symmetric, with leaf penalties
+and columns drawn per tree (``operators/boosting.py``); the forest draws its rows by their key (``operators/forest.py``).
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from ..functions.features import sigmoid
 from ..operators.boosting import Growth
 from ..operators.curves import evaluate, precision_threshold_measure, rank_models, score_curve
+from ..operators.forest import Forest
 from ..operators.reports import at_threshold, classification_report
 from ..storage import shared_folder
-from .boosted import BoostedTrees
+from .boosted import BoostedTrees, RandomForest
 
 SEED = 42
 # Rows per part of the training frame.
@@ -29,7 +30,7 @@ PART_ROWS = 50_000
 # Display names and settings of the compared models.
 MODEL_NAMES = {"sgd": "SGD Logistic", "rf": "RandomForest", "xgb": "XGBoost", "lgbm": "LightGBM", "cat": "CatBoost"}
 LINEAR = {"regParam": 1e-5, "elasticNetParam": 0.0, "maxIter": 25, "tol": 1e-3}
-FOREST = {"numTrees": 300, "maxDepth": 12, "minInstancesPerNode": 5, "featureSubsetStrategy": "sqrt"}
+FOREST = Forest(trees=300, depth=12, min_rows=5, features="sqrt")
 BOOSTED = {
     "xgb": Growth(rounds=500, shape="levels", rate=0.05, depth=6, penalty=1.0, rows=0.8, columns=0.8, min_curvature=1.0),
     # Its share of rows (0.8) takes effect only with a drawing frequency, which is not set.
@@ -67,8 +68,8 @@ def build(
     if key == "sgd":
         return LogisticRegression(**common, **LINEAR)
     if key == "rf":
-        settings = {**FOREST, **({"numTrees": rounds} if rounds else {})}
-        return RandomForestClassifier(**common, **settings, seed=seed)
+        forest = replace(FOREST, trees=rounds) if rounds else FOREST
+        return RandomForest(forest, columns.features, columns.label, columns.train_weight, columns.row, groups, seed)
     growth = replace(BOOSTED[key], rounds=rounds) if rounds else BOOSTED[key]
     return BoostedTrees(growth, columns.features, columns.label, columns.train_weight, columns.row, groups, seed)
 
