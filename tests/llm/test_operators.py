@@ -599,6 +599,25 @@ def test_lm_statistics_count_every_token(spark, small_model):
     assert want[lm.END_ID] == len(chosen) and np.allclose(got, want, rtol=1e-3, atol=1e-2)
 
 
+def test_lm_attention_learns_from_every_document(spark, small_model, monkeypatch):
+    """A document beyond those of the start changes the attention, not only the counts; groups are weighed by what they read."""
+    shape, store, texts, p = small_model
+    path, some = public_tokenizers.path(lm.VOCABULARY), [t.decode() for t in texts[:12]]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+    one, more = (lm.count_everywhere(d, p, path, shape) for d in (docs.where("doc_id < 11"), docs))
+    assert all(not np.allclose(getattr(one, m), getattr(p, m), atol=1e-5) for m in lm.MATRICES)
+    assert all(not np.allclose(getattr(one, m), getattr(more, m), atol=1e-6) for m in lm.MATRICES)
+    odd = lm.count_everywhere(docs.union(spark.createDataFrame([(99, "xylophone walrus " * 9)], docs.schema)), p, path, shape)
+    new = np.setdiff1d(lm.text_ids([b"xylophone walrus"], store)[0][1:-1], more.ids)
+    assert len(new) and not np.isclose(odd.embed[odd.rows(new)], p.embed[0]).all()
+    trainer, read = lm.trained_on([texts[:1]], p, store, shape)
+    alone = lm.count_everywhere(docs.where("doc_id = 0"), p, path, shape)
+    assert np.allclose(alone.query, trainer.p.query, atol=1e-6) and read[1 + lm.START_ID] == 1
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 2_000)
+    found = [lm.count_everywhere(docs.repartition(n), p, path, shape) for n in (1, 5)]
+    assert all(np.allclose(getattr(found[0], m), getattr(found[1], m), atol=1e-6) for m in ("embed", "stats", *lm.MATRICES))
+
+
 # Licenses ---------------------------------------------------------------------------------------
 
 
