@@ -246,3 +246,29 @@ def test_rows_are_drawn_by_key(spark):
 def test_unknown_shape():
     with pytest.raises(ValueError):
         B.Growth(rounds=1, shape="round")
+
+
+@pytest.mark.parametrize("growth", GROWTHS, ids=lambda g: g.shape)
+def test_rows_go_on_from_the_last_scan(growth):
+    """Inside a task rows take each test of a growing tree once; every scan from the root gives the same trees."""
+    draw = np.random.default_rng(3)
+    layout = B.Layout((0,), ((1, 5),), (np.arange(1.0, 12.0),))
+    codes = np.array([draw.integers(0, 12, 900), draw.integers(0, 5, 900)]).astype(np.uint8)
+    y = (draw.random(900) < 0.2 + 0.6 * ((codes[0] > 5) ^ (codes[1] == 2))).astype(float)
+    cuts = ((0, 400), (400, 900))
+    blocks = [B.Block(codes[:, a:b], y[a:b], np.ones(b - a), np.arange(a, b, dtype=np.uint64), np.zeros(b - a)) for a, b in cuts]
+    grower, asked, tests = B.Grower(layout, growth, 2.0**30, 7), [], []
+    want = grower.grow(0, lambda request: asked.append(request) or next(request(iter(blocks))))
+    plain = B.Tree.leaves
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(B.Tree, "leaves", lambda tree, codes, leaf=None, done=0: tests.append(done) or plain(tree, codes, leaf, done))
+        assert next(B.Alone(grower, 0, 1)(iter(blocks))) == want
+    assert len(asked) > 2 and len(tests) == 2 * len(asked) and max(tests) > 0
+
+
+def test_one_merged_value_reaches_the_driver(spark):
+    from weighted_insights.operators.merging import reduced
+
+    for parts in (1, 5, 40):
+        values = spark.sparkContext.parallelize(range(parts), parts)
+        assert reduced(values, lambda a, b: a + b) == parts * (parts - 1) // 2

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -26,13 +26,16 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from ..storage import settle, shared_folder
+from .merging import reduced
 
 #: Rows of a block, and rows that a partition is made for.
 BLOCK_ROWS = 1 << 16
 PART_ROWS = 1 << 18
+#: Parts that a table of more rows has at least, so that a cluster shares its scans.
+LEAST_PARTS = 16
 #: Trees after which the blocks' margins are renewed, and renewals after which the lineage is cut.
-RENEW = 8
-CUT = 8
+RENEW = 1
+CUT = 32
 #: Rounds that a table of one partition grows in one job.
 TOGETHER = 50
 
@@ -250,13 +253,12 @@ class Tree:
         self.left[node], self.right[node] = self.add(), self.add()
         return self.left[node], self.right[node]
 
-    def _reach(self, n: int, value: Callable[[np.ndarray, np.ndarray], np.ndarray], cut: np.ndarray, equals: np.ndarray) -> np.ndarray:
-        """The leaf of each of ``n`` rows; ``value`` gives what the rows hold where their tests look."""
-        leaf, rows = np.zeros(n, np.int64), np.arange(n)
+    def _reach(self, leaf: np.ndarray, tests: int, value: Callable[[np.ndarray, np.ndarray], np.ndarray], cut: np.ndarray, equals: np.ndarray) -> np.ndarray:
+        """The leaf of each row, from where it stood after so many ``tests``; ``value`` gives what the rows hold where their tests look."""
+        rows = np.arange(len(leaf))
         if self.symmetric:
-            for d in range(len(self.column) or len(self.feature)):
-                test = np.full(n, d)
-                leaf |= self._right(value(test, rows), cut[test], equals[test]).astype(np.int64) << d
+            for d in range(tests, len(self.column) or len(self.feature)):
+                leaf |= self._right(value(d, rows), cut[d], equals[d]).astype(np.int64) << d
             return leaf
         left, right = np.array(self.left), np.array(self.right)
         # All rows go down one level at a time, until none is left at a test.
@@ -269,21 +271,48 @@ class Tree:
     def _right(values: np.ndarray, cut: np.ndarray, equals: np.ndarray) -> np.ndarray:
         return np.where(equals, values == cut, values > cut)
 
-    def leaves(self, codes: np.ndarray) -> np.ndarray:
-        """The leaf of every row of a block."""
-        column = np.array(self.column, np.int64)
-        return self._reach(codes.shape[1], lambda test, rows: codes[column[test], rows], np.array(self.cut), np.array(self.equals, bool))
+    def leaves(self, codes: np.ndarray, leaf: np.ndarray | None = None, tests: int = 0) -> np.ndarray:
+        """The leaf of every row of a block; ``leaf``, which is changed, says where they stood when the tree had so many ``tests``."""
+        column, n = np.array(self.column, np.int64), codes.shape[1]
+        flat, leaf = codes.ravel(), np.zeros(n, np.int64) if leaf is None else leaf
+        return self._reach(leaf, tests, lambda test, rows: flat[column[test] * n + rows], np.array(self.cut), np.array(self.equals, bool))
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """The value of every feature vector (features x rows)."""
         feature = np.array(self.feature, np.int64)
         above = np.zeros(len(feature), bool)
-        return np.array(self.value)[self._reach(x.shape[1], lambda test, rows: x[feature[test], rows], np.array(self.threshold), above)]
+        leaf = np.zeros(x.shape[1], np.int64)
+        return np.array(self.value)[self._reach(leaf, 0, lambda test, rows: x[feature[test], rows], np.array(self.threshold), above)]
 
 
 # Histograms -------------------------------------------------------------------------------------
 
 
+@dataclass
+class Rows:
+    """The rows of a block that count in a growing tree, what they add to its histograms, and the leaf that each has come to."""
+
+    codes: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+    leaf: np.ndarray
+    tests: int = 0
+
+    def add(self, tree: Tree, slots: np.ndarray, sizes: np.ndarray, out: np.ndarray) -> None:
+        """Add the rows to the histograms (``out``) of the slots of their leaves; they go on from the leaves of the last call."""
+        self.leaf, self.tests = tree.leaves(self.codes, self.leaf, self.tests), len(tree.column)
+        slot, wanted = slots[self.leaf], out.shape[1]
+        rows = np.flatnonzero(slot >= 0)
+        # All rows are taken as they lie.
+        rows = slice(None) if len(rows) == len(slot) else rows
+        slot, measures, at = slot[rows], (self.first[rows], self.second[rows], None), 0
+        for codes, size in zip(self.codes, sizes.tolist()):
+            key = slot * size + codes[rows]
+            for k, measure in enumerate(measures):
+                out[k, :, at : at + size] += np.bincount(key, measure, wanted * size).reshape(wanted, size)
+            at += size
+
+
 @dataclass(frozen=True)
 class Request:
     """What one scan adds up: the histograms of the wanted nodes of a growing tree."""
@@ -297,26 +326,24 @@ class Request:
     draw: int
     share: float
 
-    def __call__(self, blocks: Iterator[Block]) -> Iterator[np.ndarray]:
+    def rows(self, block: Block) -> Rows:
+        """The drawn rows, with gradient and curvature."""
+        codes, y, w, margin = block.codes, block.y, block.w, renewed(block, self.trees)
+        if self.share < 1:
+            drawn = mix(block.key ^ mix(np.array([self.draw], np.uint64))) >> np.uint64(11)
+            kept = np.flatnonzero(drawn < np.uint64(int(self.share * (1 << 53))))
+            codes, y, w, margin = codes[:, kept], y[kept], w[kept], margin[kept]
+        p = 1 / (1 + np.exp(-margin))
+        return Rows(codes, np.rint((p - y) * w * self.scale), np.rint(p * (1 - p) * w * self.scale), np.zeros(len(y), np.int64))
+
+    def sums(self, parts: Iterable[Rows]) -> np.ndarray:
         out = np.zeros((3, self.wanted, int(self.sizes.sum())))
-        for block in blocks:
-            margin = renewed(block, self.trees)
-            p = 1 / (1 + np.exp(-margin))
-            gradient = np.rint((p - block.y) * block.w * self.scale)
-            curvature = np.rint(p * (1 - p) * block.w * self.scale)
-            slot = self.slots[self.tree.leaves(block.codes)]
-            if self.share < 1:
-                drawn = mix(block.key ^ mix(np.array([self.draw], np.uint64))) >> np.uint64(11)
-                slot = np.where(drawn < np.uint64(int(self.share * (1 << 53))), slot, -1)
-            rows = np.flatnonzero(slot >= 0)
-            slot, gradient, curvature = slot[rows], gradient[rows], curvature[rows]
-            at = 0
-            for codes, size in zip(block.codes, self.sizes.tolist()):
-                key = slot * size + codes[rows]
-                for k, measure in enumerate((gradient, curvature, None)):
-                    out[k, :, at : at + size] += np.bincount(key, measure, self.wanted * size).reshape(self.wanted, size)
-                at += size
-        yield out
+        for rows in parts:
+            rows.add(self.tree, self.slots, self.sizes, out)
+        return out
+
+    def __call__(self, blocks: Iterator[Block]) -> Iterator[np.ndarray]:
+        yield self.sums(map(self.rows, blocks))
 
 
 def renewed(block: Block, trees: Sequence[Tree]) -> np.ndarray:
@@ -327,10 +354,7 @@ def renewed(block: Block, trees: Sequence[Tree]) -> np.ndarray:
 
 
 def summed(blocks: RDD, request: Callable[[Iterator[Block]], Iterator[np.ndarray]]) -> np.ndarray:
-    parts = blocks.mapPartitions(request)
-    if blocks.getNumPartitions() > 16:
-        return parts.treeReduce(np.add, 2 + (blocks.getNumPartitions() > 1000))
-    return sum(parts.collect())
+    return reduced(blocks.mapPartitions(request), np.add)
 
 
 class Choice:
@@ -547,7 +571,14 @@ class Alone:
     def __call__(self, blocks: Iterator[Block]) -> Iterator[Tree]:
         held = list(blocks)
         for nth in range(self.first, self.last):
-            tree = self.grower.grow(nth, lambda request: next(request(iter(held))))
+            growing: list[Rows] = []
+
+            def scan(request: Request) -> np.ndarray:
+                # What a scan found out about the rows, the next one of this tree goes on from.
+                growing.extend(map(request.rows, () if growing else held))  # noqa: B023
+                return request.sums(growing)  # noqa: B023
+
+            tree = self.grower.grow(nth, scan)
             yield tree
             if len(tree.value) > 1:
                 held = [replace(block, margin=renewed(block, [tree])) for block in held]
@@ -579,6 +610,10 @@ def prepared(train: DataFrame, features: str, label: str, weight: str, key: str
     table = read_rows(train, features, label, weight, key, bare)
     layout = fit_borders(table, bare, bins)
     parts = 1 + (table.agg(F.sum("n").alias("n")).first()["n"] or 0) // PART_ROWS
+    if parts > 1:
+        parts = max(parts, LEAST_PARTS)
+        if table.rdd.getNumPartitions() < parts:
+            table = table.repartition(parts)
 
     def weights(row) -> tuple[float, float]:
         y, w = (np.frombuffer(row[c], np.float64) for c in ("y", "w"))
@@ -616,7 +651,7 @@ def boost(
     blocks = encode(table.coalesce(parts), layout, start).persist(StorageLevel.MEMORY_AND_DISK)
     grower = Grower(layout, growth, scale, seed)
     trees: list[Tree] = []
-    done, recent = 0, []
+    done, recent, before = 0, [], None
     while done < growth.rounds:
         if parts == 1:
             last = min(done + TOGETHER, growth.rounds)
@@ -628,6 +663,10 @@ def boost(
                 return summed(blocks, replace(request, trees=tuple(recent)))  # noqa: B023
 
             fresh = [grower.grow(done, scan)]
+        if before:
+            # The scans have filled the blocks that were made from these.
+            before.unpersist()
+            before = None
         kept = [tree for tree in fresh if len(tree.value) > 1]
         if len(kept) < len(fresh) and growth.columns >= 1 and growth.rows >= 1:
             # Nothing left to learn.  (With draws, other columns and rows may come next.)
@@ -636,13 +675,13 @@ def boost(
         trees, recent, done = trees + kept, recent + kept, last
         if len(recent) >= RENEW and done < growth.rounds:
             renewals = len(trees) // RENEW
-            blocks, recent = _renew(blocks, tuple(recent), cut=parts == 1 or renewals % CUT == 0), []
+            before, blocks, recent = blocks, _renew(blocks, tuple(recent), cut=parts == 1 or renewals % CUT == 0), []
     blocks.unpersist()
     return start, trees
 
 
 def _renew(blocks: RDD, trees: tuple[Tree, ...], cut: bool) -> RDD:
-    """The blocks with the margins after ``trees``; ``cut`` writes them to the shared folder."""
+    """The blocks with the margins after ``trees``, made by the scan that reads them first; ``cut`` writes them to the shared folder."""
 
     def run(block: Block) -> Block:
         return Block(block.codes, block.y, block.w, block.key, renewed(block, trees))
@@ -650,6 +689,4 @@ def _renew(blocks: RDD, trees: tuple[Tree, ...], cut: bool) -> RDD:
     fresh = blocks.map(run).persist(StorageLevel.MEMORY_AND_DISK)
     if cut:
         fresh.checkpoint()
-    fresh.count()
-    blocks.unpersist()
     return fresh

@@ -16,7 +16,7 @@ from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 
 from . import boosting as B
-from .boosting import Block, Layout, Tree
+from .boosting import Block, Layout, Rows, Tree
 
 #: Bytes of histograms that a scan adds up, trees that grow together, and tasks that share the trees of a small table.
 SCAN_BYTES = 64 << 20
@@ -57,20 +57,17 @@ class Scan:
     def __call__(self, blocks: Iterator[Block]) -> Iterator[np.ndarray]:
         out = np.zeros((3, self.wanted, int(self.sizes.sum())))
         for block in blocks:
-            whole = np.rint(block.w * self.scale)
             for tree, slots, draw in zip(self.trees, self.slots, self.draws):
-                times = times_drawn(block.key, draw)
-                slot = slots[tree.leaves(block.codes)]
-                rows = np.flatnonzero((slot >= 0) & (times > 0))
-                weight = whole[rows] * times[rows]
-                at = 0
-                for codes, size in zip(block.codes, self.sizes.tolist()):
-                    key = slot[rows] * size + codes[rows]
-                    for k, measure in enumerate((weight * block.y[rows], weight, None)):
-                        out[k, :, at : at + size] += np.bincount(key, measure, self.wanted * size).reshape(self.wanted, size)
-                    at += size
+                self.rows(block, draw).add(tree, slots, self.sizes, out)
         yield out
 
+    def rows(self, block: Block, draw: int) -> Rows:
+        """The rows that a tree draws, with the weight of the positives and of all."""
+        times = times_drawn(block.key, draw)
+        kept = np.flatnonzero(times)
+        weight = np.rint(block.w[kept] * self.scale) * times[kept]
+        return Rows(block.codes[:, kept], weight * block.y[kept], weight, np.zeros(len(kept), np.int64))
+
 
 @dataclass
 class Planter:
@@ -170,7 +167,18 @@ def plant(
 
         def some(i: int, held: Iterator[tuple[int, Block]]) -> Iterator[tuple[int, Tree]]:
             mine = [block for _, block in held]
-            return zip(shares[i], planter.grow(shares[i], lambda scan: next(scan(iter(mine)))))
+            for number in shares[i]:
+                growing: list[Rows] = []
+
+                def scan(wanted: Scan) -> np.ndarray:
+                    # One tree after the other; its rows go on from where the last scan left them.
+                    growing.extend(wanted.rows(block, wanted.draws[0]) for block in (() if growing else mine))  # noqa: B023
+                    out = np.zeros((3, wanted.wanted, int(wanted.sizes.sum())))
+                    for rows in growing:  # noqa: B023
+                        rows.add(wanted.trees[0], wanted.slots[0], wanted.sizes, out)
+                    return out
+
+                yield number, planter.grow([number], scan)[0]
 
         return [tree for _, tree in sorted(copies.mapPartitionsWithIndex(some).collect(), key=lambda found: found[0])]
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
