@@ -194,3 +194,26 @@ def test_model_has_the_best_centres(spark):
     fit = C.fit_best(rows, 4, restarts=3, row_id="id")
     assert fit.inertia == pytest.approx(best.inertia, rel=1e-9)
     assert fit.model.transform(rows).groupBy("cluster").count().count() == 4
+
+
+def test_first_of_equally_near_centres():
+    """Rows as near to two centres count with the first one; every trial counts each row once."""
+
+    class Held:
+        def mapPartitions(self, run):
+            self.found = list(run(iter([block])))
+            return self
+
+        getNumPartitions = staticmethod(lambda: 1)
+
+        def collect(self):
+            return self.found
+
+    x = np.array([[0.0, 1.0], [3.0, 0.0], [1.0, 1.0], [0.0, 5.0]])
+    at = [np.flatnonzero(row) for row in x]
+    block = lloyd.Block(np.array([1, 1, 2, 1], np.int32), np.concatenate(at).astype(np.int32), x[x != 0], np.array([1.0, 2, 3, 4]), np.arange(4))
+    same, apart = np.array([[1.0, 1.0], [1.0, 1.0], [9.0, 9.0]]), np.array([[0.0, 1.0], [0.0, 5.0]])
+    found = lloyd._assign_and_sum(Held(), [lloyd.Trial(3, 0, same), lloyd.Trial(2, 0, apart)])
+    assert sorted(found) == [0, 3, 4]
+    assert found[0][:2] == (10.0, 1 + 2 * 5 + 4 * 17) and np.allclose(found[0][2], [0.9, 2.4])
+    assert found[3][:2] == (6.0, 2 * 10 + 3) and found[4][:2] == (4.0, 0.0)

@@ -16,7 +16,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import TypeVar
 
 import numpy as np
@@ -29,11 +28,12 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from ..storage import settle
+from .merging import reduced
 
 T = TypeVar("T")
 
 #: Coordinates that a task holds at once.
-MOST_HELD = 2_000_000
+MOST_HELD = 50_000
 #: Rows that a part is made for, and the number of parts up to which a table is dealt out.
 PART_ROWS = 1 << 14
 MOST_PARTS = 512
@@ -100,11 +100,8 @@ def _batches(blocks: Iterator[Block], width: int) -> Iterator[tuple[np.ndarray,
 
 
 def _over(blocks: RDD, measure: Callable[[Iterator[Block]], T], merge: Callable[[T, T], T]) -> T:
-    """One value per partition, merged; by executors where there are many."""
-    parts = blocks.mapPartitions(lambda held: [measure(held)])
-    if blocks.getNumPartitions() > 16:
-        return parts.treeReduce(merge, 2 + (blocks.getNumPartitions() > 1000))
-    return reduce(merge, parts.collect())
+    """One value per partition, merged by executors."""
+    return reduced(blocks.mapPartitions(lambda held: [measure(held)]), merge)
 
 
 def _exponential(keys: np.ndarray, salt: int) -> np.ndarray:
@@ -122,8 +119,12 @@ def _salt(*parts: int) -> int:
 
 def _squared_distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distance of every row to every centre."""
-    mixed = x @ centres.T
-    return np.maximum((x * x).sum(1)[:, None] - 2 * mixed + (centres * centres).sum(1)[None, :], 0.0)
+    # Stored by centres, so that the nearest one is found by comparing whole rows of numbers.
+    out = centres @ x.T
+    out *= -2
+    out += np.einsum("ij,ij->i", x, x)
+    out += np.einsum("ij,ij->i", centres, centres)[:, None]
+    return np.maximum(out, 0.0, out=out).T
 
 
 def _offsets(trials: Sequence[Trial]) -> np.ndarray:
@@ -261,15 +262,19 @@ def _assign_and_sum(blocks: RDD, trials: Sequence[Trial]) -> dict[int, tuple[flo
     def partial_sums(held: Iterator[Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sums, weights, costs = np.zeros_like(centres), np.zeros(len(centres)), np.zeros(len(centres))
         for x, w, _ in _batches(held, width):
-            distances = _squared_distances(x, centres)
-            share = np.zeros((len(w), len(centres)))
-            every = np.arange(len(w))
+            # Centres by rows: a trial's nearest centre is found by comparing whole rows of numbers.
+            distances = _squared_distances(x, centres).T
+            share = np.empty_like(distances)
             for low, high in zip(offsets[:-1], offsets[1:]):
-                nearest = low + distances[:, low:high].argmin(1)
-                share[every, nearest] = w
-                costs += np.bincount(nearest, w * distances[every, nearest], len(centres))
-            sums += share.T @ x
-            weights += share.sum(0)
+                least = distances[low:high].min(0)
+                nearest = distances[low:high] == least
+                if np.count_nonzero(nearest) > len(w):
+                    # The first of equals.
+                    nearest &= np.cumsum(nearest, 0) == 1
+                np.multiply(nearest, w, out=share[low:high])
+                costs[low:high] += share[low:high] @ least
+            sums += share @ x
+            weights += share.sum(1)
         return sums, weights, costs
 
     sums, weights, costs = _over(blocks, partial_sums, lambda one, two: tuple(a + b for a, b in zip(one, two)))
