@@ -599,6 +599,15 @@ def test_lm_statistics_count_every_token(spark, small_model):
     assert want[lm.END_ID] == len(chosen) and np.allclose(got, want, rtol=1e-3, atol=1e-2)
 
 
+def test_only_one_word_store_holds_words():
+    """The stages of the pipeline share worker processes; the words of an earlier one are not kept beside those of the next."""
+    first, second = (text.WordStore(lambda words, k=k: [[k, len(w)] for w in words]) for k in (1, 2))
+    some = text.Texts([b"one three one", b"seven"])
+    for _ in range(2):
+        assert first.lookup(some)[0].tolist() == [1, 3, 1, 5, 1, 3, 1, 5] and len(first.at) == 3 and not second.at
+        assert second.lookup(some)[0].tolist() == [2, 3, 2, 5, 2, 3, 2, 5] and len(second.at) == 3 and not first.at
+
+
 def test_lm_attention_learns_from_every_document(spark, small_model, monkeypatch):
     """A document beyond those of the start changes the attention, not only the counts; groups are weighed by what they read."""
     shape, store, texts, p = small_model
