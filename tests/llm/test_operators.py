@@ -608,6 +608,51 @@ def test_only_one_word_store_holds_words():
         assert second.lookup(some)[0].tolist() == [2, 3, 2, 5, 2, 3, 2, 5] and len(second.at) == 3 and not first.at
 
 
+def test_word_store_finds_every_word_whatever_shares_its_slot(monkeypatch):
+    """Words that share a slot, that were met before, and a store that begins anew give the lists that they are encoded to."""
+    monkeypatch.setattr(text.WordStore, "SLOTS", 4)
+    asked = []
+    store = text.WordStore(lambda words: [asked.append(w) or [*w] for w in words], most=60)
+    draw = np.random.default_rng(3)
+    for k in range(40):
+        words = [b"w%d" % n for n in draw.integers(0, 40 if k < 20 else 90, 30)]
+        values, sizes = store.lookup(text.Texts([b" ".join(words[:9]), b"", b" ".join(words[9:])]))
+        assert values.tolist() == [b for w in words for b in w] and sizes.tolist() == [len(w) for w in words] and len(store.at) <= 60
+        # Nothing that is held is encoded again.
+        assert k != 19 or len(asked) == len(set(asked)) <= 40
+
+
+def test_lm_fading_counts_give_the_rows_of_the_distributions():
+    """Rows on demand, without a pass over the vocabulary, against the whole table; also after a very long run."""
+    draw = np.random.default_rng(4)
+    whole = draw.gamma(0.3, 5, (60, 6))
+    kept = lm.Statistics(whole)
+    for k in range(4000):
+        factor, rows, sums = draw.choice([0.9, 0.95]), np.sort(draw.choice(np.arange(1, 60), 20, False)), draw.gamma(1, 1, (20, 6)).astype(np.float32)
+        whole *= factor
+        whole[rows] += sums
+        kept.fade(factor)
+        kept.add(rows, sums)
+        if k in (0, 7, 3999):
+            some = np.array([0, 1, 17, 59])
+            assert np.allclose(kept.table(some, vocabulary=80), lm.distributions(whole, vocabulary=80)[some], rtol=1e-5)
+
+
+def test_lm_trainer_works_on_the_tokens_of_a_batch_alone(small_model):
+    """A step and its share of the upkeep must not pass over the vocabulary: rows that a batch lacks are neither read nor written."""
+    shape, store, texts, p = small_model
+    trainer = lm.Trainer(p.extended(np.arange(lm.VOCABULARY_SIZE)), shape)
+    rows = lm.windows_of(lm.text_ids(texts[:4], store), shape.window + 1) + 1
+    absent = np.setdiff1d(np.arange(1, lm.VOCABULARY_SIZE + 1), rows)
+    for a in (trainer.p.embed, *trainer.moments["embed"], trainer.running.counts):
+        a[absent] = np.nan
+    for _ in range(20):
+        trainer.step(rows[:40])
+    assert trainer.refreshed == 1 and np.isfinite(trainer.loss)
+    met = np.unique(rows[:40])
+    assert all(np.isfinite(a[met]).all() for a in (trainer.p.embed, trainer.running.counts, trainer.total))
+
+
 def test_lm_attention_learns_from_every_document(spark, small_model, monkeypatch):
     """A document beyond those of the start changes the attention, not only the counts; groups are weighed by what they read."""
     shape, store, texts, p = small_model
