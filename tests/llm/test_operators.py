@@ -17,7 +17,7 @@ import pytest
 import tiktoken
 import zstandard
 from pyspark.sql import functions as F
-from plain import Groups, base_counts, base_spans, lower, luhn, near_duplicates
+from plain import Groups, base_counts, base_spans, lower, luhn, near_duplicates, shingles
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -340,6 +340,30 @@ def test_large_families(spark, monkeypatch, group):
     assert got == want and len({c for _, c in want.values()}) > 30
 
 
+def test_full_sets_without_a_shuffle_of_texts(spark):
+    """The sets of the asked ids are those of a plain reading, few others come along, and texts stay where they are read."""
+    draw = random.Random(9)
+    texts = [" ".join(f"W{draw.randrange(40)}" for _ in range(draw.choice((0, 1, 2, 30)))) for _ in range(3000)]
+    rows = [*((i % 2900, t) for i, t in enumerate(texts)), (None, "a b c d"), (5, None)]
+    asked = [i for i in range(2900) if i % 7 == 0]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = spark.createDataFrame([(i,) for i in asked * 2], "id long")
+        sets = hyperminhash._sets(docs, ids, hyperminhash.Settings(shingle=3))
+        plan = sets._jdf.queryExecution().executedPlan().toString()
+        got = collections.Counter((r["id"], len(r["shingles"]) // 8, r["shingles"]) for r in sets.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(doc_id" not in plan and "SortMergeJoin" not in plan
+    held = {i for i, _, _ in got}
+    assert set(asked) <= held <= set(range(2900)) and len(held) < len(asked) + 150
+    want = collections.Counter((i, len(shingles(t, 3))) for i, t in rows if i in held)
+    assert want == collections.Counter((i, n) for i, n, _ in got.elements())
+    assert all((np.diff(np.frombuffer(s, "<u8").astype(object)) > 0).all() for _, _, s in got)
+
+
 @pytest.mark.parametrize("percent", [60, 70, 80, 85, 90])
 def test_bands_miss_one_pair_in_100000(percent):
     settings = hyperminhash.Settings(percent=percent)
