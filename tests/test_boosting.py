@@ -155,6 +155,24 @@ def test_partitions_do_not_matter(spark, growth, monkeypatch):
     assert one == two and len(one[1]) == 5
 
 
+@pytest.mark.parametrize("growth", GROWTHS, ids=lambda g: g.shape)
+def test_equal_rows_are_merged(spark, growth, monkeypatch):
+    """Where few rows differ, no scan is a job, however many rows there are; trees are those of the single rows, in one part or in many."""
+    x, y, w = sample(500, 6)
+    x[:, 0], x[:, 1], w = x[:, 0].round(0), x[:, 1].round(0), np.ceil(w)
+    x, y, w = np.tile(x, (6, 1)), np.tile(y, 6), np.tile(w, 6)
+    monkeypatch.setattr(B, "PART_ROWS", 1000)
+    with monkeypatch.context() as patch:
+        patch.setattr(B, "summed", None)
+        one = B.boost(frame(spark, x, y, w, 4), growth, key="id", groups=[(3, 7)])
+    assert len(one[1]) == growth.rounds
+    with monkeypatch.context() as patch:
+        patch.setattr(B, "merged", lambda table, layout, start: (B.encode(table, layout, start), 3))
+        assert B.boost(frame(spark, x, y, w, 4), growth, key="id", groups=[(3, 7)]) == one
+    monkeypatch.setattr(B, "PART_ROWS", 60)
+    assert B.boost(frame(spark, x, y, w, 4), growth, key="id", groups=[(3, 7)]) == one
+
+
 def test_groups_are_the_same_as_their_columns(spark):
     x, y, w = sample(seed=4)
     grouped, plain = (margins(spark, x, y, w, GROWTHS[0], groups)[0] for groups in ([(3, 7)], []))

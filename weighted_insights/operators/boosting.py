@@ -6,7 +6,8 @@ sums of all tasks choose the splits.  The larger child of a split is its parent
 
 Gradients are rounded to whole multiples of a power of two that keeps every sum below 2 ** 53, so sums do not depend on their
 order; rows are drawn by a hash of their key, borders come from exact counts.  The same rows give the same trees however
-they are dealt to partitions.  A scan is a job over all partitions; a table that fills only one (``PART_ROWS`` rows) grows its trees
+they are dealt to partitions.  Where no rows are drawn, those with the same codes are one to every tree: a block holds their codes and
+margin once, beside how many rows have each label and weight.  A scan is a job over all partitions; a table that fills only one (``PART_ROWS`` rows) grows its trees
 inside that one's task by the same code, as a job per scan would be nothing but waiting.
 """
 
@@ -14,8 +15,9 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -194,29 +196,82 @@ def fit_borders(table: DataFrame, layout: Layout, bins: int) -> Layout:
 
 @dataclass
 class Block:
-    """Codes (columns x rows), label, weight, key and margin of some rows."""
+    """Codes (columns x rows), label, weight, key and margin of some rows.
+
+    With ``of``, codes and margin are those of merged rows: label and weight stand for ``n`` equal rows, whose codes are the ``of``-th.
+    """
 
     codes: np.ndarray
     y: np.ndarray
     w: np.ndarray
-    key: np.ndarray
+    key: np.ndarray | None
     margin: np.ndarray
+    of: np.ndarray | None = None
+    n: np.ndarray | None = None
 
 
-def encode(table: DataFrame, layout: Layout, start: float) -> RDD:
+def _codes(row: Mapping, layout: Layout) -> np.ndarray:
+    """The codes (columns x rows) of a row of the table of :func:`read_rows`."""
     kind = np.min_scalar_type(int(max([1, *layout.sizes])) - 1)
-    columns = len(layout.numbers)
+    numbers = np.frombuffer(row["numbers"], np.float64).reshape(len(layout.numbers), row["n"])
+    codes = [np.searchsorted(b, x, side="left") for b, x in zip(layout.borders, numbers)]
+    codes += list(np.frombuffer(row["codes"], row["kind"]).reshape(len(layout.groups), row["n"]))
+    return np.array(codes, kind).reshape(len(codes), row["n"])
+
 
+def encode(table: DataFrame, layout: Layout, start: float) -> RDD:
     def run(row) -> Block:
-        numbers = np.frombuffer(row["numbers"], np.float64).reshape(columns, row["n"])
-        codes = [np.searchsorted(b, x, side="left") for b, x in zip(layout.borders, numbers)]
-        codes += list(np.frombuffer(row["codes"], row["kind"]).reshape(len(layout.groups), row["n"]))
         y, w = (np.frombuffer(row[c], np.float64) for c in ("y", "w"))
-        return Block(np.array(codes, kind).reshape(len(codes), row["n"]), y, w, np.frombuffer(row["key"], np.uint64), np.full(row["n"], start))
+        return Block(_codes(row, layout), y, w, np.frombuffer(row["key"], np.uint64), np.full(row["n"], start))
 
     return table.rdd.map(run)
 
 
+def merged(table: DataFrame, layout: Layout, start: float) -> tuple[RDD, int]:
+    """Blocks of merged rows for growing without draws, and the number of their partitions."""
+    columns, kind = len(layout.sizes), np.min_scalar_type(int(max([1, *layout.sizes])) - 1)
+    equal = np.dtype([("codes", kind, (columns,)), ("y", np.float64), ("w", np.float64)])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                rows = np.empty(row["n"], equal)
+                rows["codes"] = _codes(row, layout).T
+                rows["y"], rows["w"] = (np.frombuffer(row[c], np.float64) for c in ("y", "w"))
+                rows, n = np.unique(rows.view(f"V{equal.itemsize}"), return_counts=True)
+                fixed = pa.Array.from_buffers(pa.binary(equal.itemsize), len(rows), [None, pa.py_buffer(rows.tobytes())])
+                yield pa.RecordBatch.from_arrays([fixed.cast(pa.binary()), pa.array(n, pa.int64())], ["equal", "n"])
+
+    counted = table.select("n", "numbers", "codes", "y", "w", "kind").mapInArrow(count, "equal binary, n long")
+    counted = settle(counted.groupBy("equal").agg(F.sum("n").alias("n")), "training-counts")
+    parts = parts_for(counted.count())
+    dealt = counted.coalesce(1) if parts == 1 else counted.repartition(parts, "equal")
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+                size += batch.num_rows
+            if size >= BLOCK_ROWS or (batch is None and size):
+                rows = b"".join(chain.from_iterable(part.column("equal").to_pylist() for part in held))
+                n = np.concatenate([part.column("n").to_numpy() for part in held])
+                yield pa.RecordBatch.from_arrays([pa.array([rows], pa.binary()), pa.array([n.tobytes()], pa.binary())], ["equal", "n"])
+                held, size = [], 0
+
+    def run(row) -> Block:
+        # Rows of the same codes stand together.
+        rows, n = np.frombuffer(row["equal"], equal), np.frombuffer(row["n"], np.int64).astype(np.float64)
+        codes = np.ascontiguousarray(rows["codes"].T)
+        new = np.ones(len(rows), bool)
+        new[1:] = (codes[:, 1:] != codes[:, :-1]).any(0)
+        y, w = np.ascontiguousarray(rows["y"]), np.ascontiguousarray(rows["w"])
+        return Block(np.ascontiguousarray(codes[:, new]), y, w, None, np.full(int(new.sum()), start), np.cumsum(new) - 1, n)
+
+    gathered = dealt.sortWithinPartitions("equal").mapInArrow(gather, "equal binary, n binary")
+    return gathered.rdd.map(run), parts
+
+
 # Trees ------------------------------------------------------------------------------------------
 
 
@@ -297,6 +352,7 @@ class Rows:
     second: np.ndarray
     leaf: np.ndarray
     tests: int = 0
+    n: np.ndarray | None = None  # of merged rows
 
     def add(self, tree: Tree, slots: np.ndarray, sizes: np.ndarray, out: np.ndarray) -> None:
         """Add the rows to the histograms (``out``) of the slots of their leaves; they go on from the leaves of the last call."""
@@ -305,7 +361,7 @@ class Rows:
         rows = np.flatnonzero(slot >= 0)
         # All rows are taken as they lie.
         rows = slice(None) if len(rows) == len(slot) else rows
-        slot, measures, at = slot[rows], (self.first[rows], self.second[rows], None), 0
+        slot, measures, at = slot[rows], (self.first[rows], self.second[rows], None if self.n is None else self.n[rows]), 0
         for codes, size in zip(self.codes, sizes.tolist()):
             key = slot * size + codes[rows]
             for k, measure in enumerate(measures):
@@ -334,7 +390,13 @@ class Request:
             kept = np.flatnonzero(drawn < np.uint64(int(self.share * (1 << 53))))
             codes, y, w, margin = codes[:, kept], y[kept], w[kept], margin[kept]
         p = 1 / (1 + np.exp(-margin))
-        return Rows(codes, np.rint((p - y) * w * self.scale), np.rint(p * (1 - p) * w * self.scale), np.zeros(len(y), np.int64))
+        if block.of is None:
+            return Rows(codes, *self.slopes(p, y, w), np.zeros(len(y), np.int64))
+        first, second, n = (np.bincount(block.of, part * block.n, len(p)) for part in (*self.slopes(p[block.of], y, w), 1.0))
+        return Rows(codes, first, second, np.zeros(len(p), np.int64), n=n)
+
+    def slopes(self, p: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.rint((p - y) * w * self.scale), np.rint(p * (1 - p) * w * self.scale)
 
     def sums(self, parts: Iterable[Rows]) -> np.ndarray:
         out = np.zeros((3, self.wanted, int(self.sizes.sum())))
@@ -600,6 +662,11 @@ class Prepared:
         return 2.0 ** math.floor(52 - math.log2(self.whole * (1 + 1e-9)))
 
 
+def parts_for(rows: int) -> int:
+    """One part, or as many as share the scans of a large table."""
+    return 1 if rows < PART_ROWS else max(1 + rows // PART_ROWS, LEAST_PARTS)
+
+
 def prepared(train: DataFrame, features: str, label: str, weight: str, key: str | None, groups: Sequence[tuple[int, int]], bins: int) -> Prepared | None:
     """None for a table without rows or weight."""
     shared_folder(train.sparkSession)
@@ -609,11 +676,9 @@ def prepared(train: DataFrame, features: str, label: str, weight: str, key: str
     bare = layout_of(len(first["x"]), groups)
     table = read_rows(train, features, label, weight, key, bare)
     layout = fit_borders(table, bare, bins)
-    parts = 1 + (table.agg(F.sum("n").alias("n")).first()["n"] or 0) // PART_ROWS
-    if parts > 1:
-        parts = max(parts, LEAST_PARTS)
-        if table.rdd.getNumPartitions() < parts:
-            table = table.repartition(parts)
+    parts = parts_for(table.agg(F.sum("n").alias("n")).first()["n"] or 0)
+    if parts > 1 and table.rdd.getNumPartitions() < parts:
+        table = table.repartition(parts)
 
     def weights(row) -> tuple[float, float]:
         y, w = (np.frombuffer(row[c], np.float64) for c in ("y", "w"))
@@ -648,7 +713,11 @@ def boost(
     if not 0 < read.positive < read.whole or not len(read.layout.sizes):
         return start, []
     table, layout, parts, scale = read.table, read.layout, read.parts, read.scale
-    blocks = encode(table.coalesce(parts), layout, start).persist(StorageLevel.MEMORY_AND_DISK)
+    if growth.rows < 1:
+        blocks = encode(table.coalesce(parts), layout, start)
+    else:
+        blocks, parts = merged(table.coalesce(parts), layout, start)
+    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     grower = Grower(layout, growth, scale, seed)
     trees: list[Tree] = []
     done, recent, before = 0, [], None
@@ -684,7 +753,7 @@ def _renew(blocks: RDD, trees: tuple[Tree, ...], cut: bool) -> RDD:
     """The blocks with the margins after ``trees``, made by the scan that reads them first; ``cut`` writes them to the shared folder."""
 
     def run(block: Block) -> Block:
-        return Block(block.codes, block.y, block.w, block.key, renewed(block, trees))
+        return replace(block, margin=renewed(block, trees))
 
     fresh = blocks.map(run).persist(StorageLevel.MEMORY_AND_DISK)
     if cut:
